@@ -1,0 +1,41 @@
+"""Frequent itemsets by MLlib's parallel FP-growth."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.fpm import FPGrowth
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from basketry.params import MiningParams
+
+
+def fpgrowth_itemsets(carts: DataFrame, totals: DataFrame, params: MiningParams) -> DataFrame:
+    """(country_id, items, n): one distributed fit per country, since support is per country.
+
+    Only the list of countries and their counts come to the driver. A fit finds the frequent items;
+    the trees of all countries are built and mined in the one job that reads the result.
+    """
+    sets = [
+        _fit(carts, country.country_id, country.n_baskets, country.min_count)
+        for country in totals.collect()
+    ]
+    if not sets:
+        return carts.select("country_id", "items", F.lit(0).cast("long").alias("n")).limit(0)
+    found = reduce(DataFrame.unionByName, sets)
+    return found if params.max_len is None else found.filter(F.size("items") <= params.max_len)
+
+
+def _fit(carts: DataFrame, country_id: object, n_baskets: int, min_count: int) -> DataFrame:
+    """MLlib rounds ``share * n_baskets`` up, so a share half a count lower gives ``min_count``."""
+    share = (min_count - 0.5) / n_baskets
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=0.0).fit(
+        carts.filter(F.col("country_id") == country_id).select("items")
+    )
+    kind = carts.schema["country_id"].dataType
+    return model.freqItemsets.select(
+        F.lit(country_id).cast(kind).alias("country_id"),
+        F.sort_array("items").alias("items"),
+        F.col("freq").alias("n"),
+    )
