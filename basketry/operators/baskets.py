@@ -23,9 +23,13 @@ def baskets(rows: DataFrame) -> DataFrame:
 
 def basket_counts(baskets: DataFrame, params: MiningParams) -> DataFrame:
     """(country_id, n_baskets, min_count), single-item baskets included."""
-    least = F.ceil(F.lit(float(params.min_support)) * F.col("n_baskets"))
-    return (
-        baskets.groupBy("country_id")
-        .agg(F.count("*").alias("n_baskets"))
-        .withColumn("min_count", F.greatest(least, F.lit(params.min_count_floor).cast("long")))
+    return with_min_count(
+        baskets.groupBy("country_id").agg(F.count("*").alias("n_baskets")), params
     )
+
+
+def with_min_count(totals: DataFrame, params: MiningParams) -> DataFrame:
+    """Add the least number of baskets that makes an itemset frequent."""
+    least = F.ceil(F.lit(float(params.min_support)) * F.col("n_baskets"))
+    floor = F.lit(params.min_count_floor).cast("long")
+    return totals.withColumn("min_count", F.greatest(least, floor))

@@ -22,13 +22,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators.baskets import basket_counts, baskets
+from basketry.operators.baskets import basket_counts, baskets, with_min_count
 from basketry.operators.fpgrowth import fpgrowth_itemsets
 from basketry.params import MiningParams
 from basketry.workspace import Workspace
 
 log = logging.getLogger(__name__)
 
+BLOW_UP = (
+    "a country has a least count of 1: every subset of its baskets is frequent; "
+    "consider min_count_floor or max_len"
+)
 SET_KEYS = ("country_id", "prefix", "item")
 
 
@@ -41,12 +45,22 @@ def frequent_itemsets(
     """
     workspace = workspace or Workspace(rows.sparkSession)
     carts = workspace.save(baskets(rows), "baskets")
-    totals = workspace.save(basket_counts(carts, params), "totals")
-    _warn_of_blow_up(totals, params)
     if params.algorithm == "fpgrowth":
+        totals = workspace.save(basket_counts(carts, params), "totals")
         sets = fpgrowth_itemsets(carts, totals, params)
     else:
-        sets = grow_itemsets(carts, totals, params, workspace)
+        counts = workspace.save(item_counts(carts), "item-counts")
+        totals, least = workspace.save_measured(
+            with_min_count(
+                counts.filter("gtin is null").select("country_id", F.col("n").alias("n_baskets")),
+                params,
+            ),
+            "totals",
+            min_count=F.min("min_count"),
+        )
+        if least["min_count"] == 1 and params.max_len is None:
+            log.warning(BLOW_UP)
+        sets = grow_itemsets(carts, counts, totals, params, workspace)
     return workspace.save(
         sets.join(totals, "country_id").select(
             "country_id",
@@ -61,16 +75,25 @@ def frequent_itemsets(
 
 
 def grow_itemsets(
-    carts: DataFrame, totals: DataFrame, params: MiningParams, workspace: Workspace
+    carts: DataFrame,
+    counts: DataFrame,
+    totals: DataFrame,
+    params: MiningParams,
+    workspace: Workspace,
 ) -> DataFrame:
     """(country_id, items, n) of the baskets, level by level."""
-    items = workspace.save(frequent_items(carts, totals), "items")
+    items = workspace.save(frequent_items(counts, totals), "items")
     singles = items.select("country_id", F.array("gtin").alias("items"), "n")
     if params.max_len == 1:
         return singles
-    coded = workspace.save(coded_baskets(carts, items), "coded")
-    limits = workspace.save(wide_limits(coded, totals, params), "limits")
-    narrow = coded.join(limits, "country_id").filter(F.size("ids") <= F.col("widest"))
+    coded, widest = workspace.save_measured(
+        coded_baskets(carts, items), "coded", size=F.max(F.size("ids"))
+    )
+    narrow, wide = coded, None
+    if (widest["size"] or 0) > params.wide_basket:
+        limits = workspace.save(wide_limits(coded, totals, params), "limits")
+        narrow = coded.join(limits, "country_id").filter(F.size("ids") <= F.col("widest"))
+        wide = WideBaskets(coded, limits, workspace)
     states = tails(
         narrow.select(
             "country_id",
@@ -79,7 +102,6 @@ def grow_itemsets(
             "weight",
         )
     )
-    wide = WideBaskets(coded, limits, workspace) if _has_wide(limits) else None
     levels: list[DataFrame] = []
     while True:
         size = len(levels) + 2
@@ -90,11 +112,12 @@ def grow_itemsets(
         )
         if wide:
             counts = wide.add_to(counts)
-        level = workspace.save(
+        level, found = workspace.save_measured(
             counts.join(totals, "country_id").filter("n >= min_count").select(*SET_KEYS, "n"),
             f"level-{size}",
+            itemsets=F.count("*"),
         )
-        if level.isEmpty():
+        if not found["itemsets"]:
             break
         levels.append(level)
         if size == params.max_len:
@@ -105,13 +128,21 @@ def grow_itemsets(
     return reduce(DataFrame.unionByName, [decoded(level, items) for level in levels], singles)
 
 
-def frequent_items(carts: DataFrame, totals: DataFrame) -> DataFrame:
-    """(country_id, gtin, id, n) with ids from the rarest item of a country to its most frequent."""
-    rarest_first = Window.partitionBy("country_id").orderBy("n", "gtin")
+def item_counts(carts: DataFrame) -> DataFrame:
+    """(country_id, gtin, n): baskets per item, and under the null item all baskets, in one pass."""
+    everything = F.array(F.lit(None).cast("string"))
     return (
-        carts.select("country_id", F.explode("items").alias("gtin"))
+        carts.select("country_id", F.explode(F.concat("items", everything)).alias("gtin"))
         .groupBy("country_id", "gtin")
         .agg(F.count("*").alias("n"))
+    )
+
+
+def frequent_items(counts: DataFrame, totals: DataFrame) -> DataFrame:
+    """(country_id, gtin, id, n) with ids from the rarest item of a country to its most frequent."""
+    rarest_first = Window.partitionBy("country_id").orderBy("n", "gtin")
+    return (
+        counts.filter("gtin is not null")
         .join(totals, "country_id")
         .filter("n >= min_count")
         .select("country_id", "gtin", F.row_number().over(rarest_first).alias("id"), "n")
@@ -195,10 +226,6 @@ def wide_limits(coded: DataFrame, totals: DataFrame, params: MiningParams) -> Da
     )
 
 
-def _has_wide(limits: DataFrame) -> bool:
-    return not limits.filter("n_wide > 0").isEmpty()
-
-
 class WideBaskets:
     """Exact counts of the few very wide baskets, without expanding them.
 
@@ -247,12 +274,3 @@ class WideBaskets:
         self.held = self.matches.join(level.select(*SET_KEYS), list(SET_KEYS), "left_semi").select(
             "basket", "country_id", "weight", F.concat("prefix", F.array("item")).alias("prefix")
         )
-
-
-def _warn_of_blow_up(totals: DataFrame, params: MiningParams) -> None:
-    """With a least count of 1 every part of every basket is frequent."""
-    if params.max_len is None and not totals.filter("min_count = 1").isEmpty():
-        log.warning(
-            "a country has a least count of 1: all subsets of its baskets are frequent; "
-            "consider min_count_floor or max_len"
-        )

@@ -1,4 +1,4 @@
 from basketry.sources.star import StarSchema
-from basketry.sources.tables import Sources, read_sources, read_table
+from basketry.sources.tables import Sources, read_sources, read_table, table_exists
 
-__all__ = ["Sources", "StarSchema", "read_sources", "read_table"]
+__all__ = ["Sources", "StarSchema", "read_sources", "read_table", "table_exists"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -26,6 +27,14 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        read_table(spark, path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def read_sources(spark: SparkSession, root: str) -> Sources:
     """The inputs from ``root``, one folder per table."""
     return Sources(

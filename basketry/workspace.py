@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -45,6 +45,14 @@ class Workspace:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def save_measured(
+        self, df: DataFrame, name: str, **measures: Column
+    ) -> tuple[DataFrame, dict[str, object]]:
+        """``save``, and aggregates of the rows taken while they are written, without a second job."""
+        seen = Observation()
+        saved = self.save(df.observe(seen, *[m.alias(key) for key, m in measures.items()]), name)
+        return saved, seen.get
+
     def drop(self) -> None:
         """Delete the workspace. Frames returned by ``save`` are unusable afterwards."""
         jvm = self.spark.sparkContext._jvm
