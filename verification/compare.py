@@ -10,6 +10,7 @@ import duckdb
 import pandas as pd
 from pyspark.sql import SparkSession
 
+from basketry.session import with_settings
 from verification.oracle import ORACLE
 from verification.queries import QUERIES
 
@@ -44,13 +45,8 @@ def oracle_rows(con: duckdb.DuckDBPyConnection, name: str) -> tuple[list[str], l
 
 def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+    builder = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+    spark = with_settings(builder).config("spark.sql.shuffle.partitions", "8").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     for name in sys.argv[2:] or QUERIES:

@@ -40,11 +40,17 @@ catalogue as (
     select id, code as gtin from product_codes where id % 7 <> 0
 )"""
 
-WINDOW = "registered_date >= date '2001-08-02' - 365 and registered_date < date '2001-08-02' - 1"
+def _window(column: str, from_days: int = 365, to_days: int = 1) -> str:
+    run_date = "date '2001-08-02'"
+    return f"{column} >= {run_date} - {from_days} and {column} < {run_date} - {to_days}"
 
-ELIGIBLE = f"""{WINDOW} and business_type_id = 2 and country_name in ('AMERICA', 'EUROPE')"""
 
-SNAPSHOTS = """snapshots as (
+def _eligible(window: str) -> str:
+    return f"{window} and business_type_id = 2 and country_name in ('AMERICA', 'EUROPE')"
+
+
+def _snapshots(window: str) -> str:
+    return f"""snapshots as (
     select user_id as restaurant_id, cast(ts as date) - 8218 as date_id,
            event_type as business_type, 'partner ' || cast(user_id as varchar) as business_name,
            value as is_darkstore, cast(event_id % 7 as int) as business_category_id,
@@ -55,44 +61,47 @@ latest as (
     select s.restaurant_id, s.date_id, s.business_type, s.business_name,
            max(is_darkstore) as is_darkstore, max(business_category_id) as business_category_id
     from snapshots s
-    join (select restaurant_id, max(date_id) as date_id from snapshots
-          where yyyymmdd >= date '2001-08-02' - 365 and yyyymmdd < date '2001-08-02' - 1
-          group by 1) m
+    join (select restaurant_id, max(date_id) as date_id from snapshots where {window} group by 1) m
       on m.restaurant_id = s.restaurant_id and m.date_id = s.date_id
-    where yyyymmdd >= date '2001-08-02' - 365 and yyyymmdd < date '2001-08-02' - 1
+    where {window}
     group by 1, 2, 3, 4
 )"""
 
 
-def _units(catalogue: str, categories: str) -> str:
+def _units(catalogue: str, categories: str, days: tuple[int, int] = (365, 1)) -> str:
     """Units sold through all the joins, row by row."""
-    return f"""units as (
+    return f"""{LINES}, {PRODUCTS}, {_snapshots(_window("yyyymmdd", *days))},
+units as (
     select l.country_id, l.partner_id, p.code as gtin, sum(l.quantity) as items_sold
     from lines l
     left join latest h on h.restaurant_id = l.partner_id
     left join product_codes p on p.id = l.product_id
     left join ({catalogue}) c on lpad(c.gtin, 14, '0') = p.code
     left join ({categories}) b on b.business_category_id = h.business_category_id
-    where {ELIGIBLE} and confirmed_order = 1 and c.id is not null
+    where {_eligible(_window("registered_date", *days))} and confirmed_order = 1 and c.id is not null
     group by 1, 2, 3
 )"""
 
 
-PLAIN_UNITS = _units("from catalogue", "select r_regionkey as business_category_id from region")
-DOUBLE_UNITS = _units(
-    "from catalogue union all from catalogue",
-    "select n_regionkey as business_category_id from nation",
-)
-
-RANKING = f"""with {LINES}, {PRODUCTS}, {SNAPSHOTS}, {PLAIN_UNITS},
+def _ranking(units: str, k: int) -> str:
+    return f"""with {units},
 ranking as (
     select country_id, partner_id, gtin,
            row_number() over (partition by country_id, partner_id
                               order by items_sold desc, gtin) as rnk
     from units where items_sold > 0
-    qualify rnk <= 30
+    qualify rnk <= {k}
 )"""
 
+
+WINDOW = _window("registered_date")
+ELIGIBLE = _eligible(WINDOW)
+REGIONS = "select r_regionkey as business_category_id from region"
+NATIONS = "select n_regionkey as business_category_id from nation"
+RANKING = _ranking(_units("from catalogue", REGIONS), 30)
+RANKING_5 = _ranking(_units("from catalogue", REGIONS, (3650, 0)), 5)
+DOUBLE_UNITS = _units("from catalogue union all from catalogue", NATIONS)
+
 # Itemsets of any size: every order's itemsets grow by one later item per step, and an itemset that
 # too few orders hold is not grown.
 ITEMSETS = f"""with recursive {LINES},
@@ -183,7 +192,7 @@ ORACLE: dict[str, str] = {
 select order_id, registered_date, business_type_id, confirmed_order, country_id, country_name,
        partner_id, product_id, quantity
 from lines""",
-    "latest_snapshot": f"with {SNAPSHOTS} from latest",
+    "latest_snapshot": f"with {_snapshots(_window('yyyymmdd'))} from latest",
     "normalized_codes": f"with {PRODUCTS} select id, code from product_codes",
     "basket_rows": f"""with {LINES}, {PRODUCTS}
 select distinct l.order_id, l.country_name, l.country_id, l.partner_id, p.code as gtin
@@ -221,7 +230,8 @@ join catalogue c on lpad(c.gtin, 14, '0') = p.code
 where {ELIGIBLE} and confirmed_order = 1
 group by 1, 2, 3""",
     "ranking_topk": f"""{RANKING} select country_id, partner_id, gtin, rnk as "rank" from ranking""",
-    "ranking_fanout": f"with {LINES}, {PRODUCTS}, {SNAPSHOTS}, {DOUBLE_UNITS} from units",
+    "ranking_top5": f"""{RANKING_5} select country_id, partner_id, gtin, rnk as "rank" from ranking""",
+    "ranking_fanout": f"with {DOUBLE_UNITS} from units",
     "mba_documents": f"{PAIRS} {MBA_ENTRIES} from best",
     "ranking_documents": f"{RANKING} {RANKING_ENTRIES} from ranking",
     "mba_messages": f"{PAIRS} {MBA_ENTRIES}, 'mba' as event_type from best",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from basketry.sinks import upsert_history
 from basketry.sources import StarSchema, read_table
 
 WINDOW = RunWindow(dt.date(2001, 8, 2), from_days=365, to_days=1)
+ALL_DATES = RunWindow(dt.date(2001, 8, 2), from_days=3650, to_days=0)
 ORDERS = OrderFilter(business_type=2, countries=("AMERICA", "EUROPE"))
 MINING = MiningParams(min_support=0.005)
 HISTORY_DAYS = (dt.date(2001, 8, 1), dt.date(2001, 8, 2))
@@ -69,13 +71,16 @@ def basket_counts(spark: SparkSession, folder: str) -> DataFrame:
     return op.basket_counts(op.baskets(StarSchema(spark, folder).brand_rows()), MINING)
 
 
-def frequent_itemsets(spark: SparkSession, folder: str) -> DataFrame:
-    return _itemsets(spark, folder).withColumn("items", _text("items"))
+def frequent_itemsets(
+    spark: SparkSession, folder: str, mining: MiningParams = MINING
+) -> DataFrame:
+    return _itemsets(spark, folder, mining).withColumn("items", _text("items"))
 
 
-def frequent_itemsets_fpgrowth(spark: SparkSession, folder: str) -> DataFrame:
-    mining = MiningParams(min_support=MINING.min_support, algorithm="fpgrowth")
-    return _itemsets(spark, folder, mining).withColumn("items", _text("items"))
+def frequent_itemsets_fpgrowth(
+    spark: SparkSession, folder: str, mining: MiningParams = MINING
+) -> DataFrame:
+    return frequent_itemsets(spark, folder, replace(mining, algorithm="fpgrowth"))
 
 
 def association_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,8 +100,10 @@ def rule_metrics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def recommendation_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return op.recommendation_pairs(_itemsets(spark, folder))
+def recommendation_pairs(
+    spark: SparkSession, folder: str, mining: MiningParams = MINING
+) -> DataFrame:
+    return op.recommendation_pairs(_itemsets(spark, folder, mining))
 
 
 def pair_best_metric(spark: SparkSession, folder: str) -> DataFrame:
@@ -121,6 +128,21 @@ def ranking_topk(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ranking_top5(spark: SparkSession, folder: str) -> DataFrame:
+    """A short ranking over all dates, so that most partners have more codes than it keeps."""
+    star = StarSchema(spark, folder)
+    return op.ranking_topk(
+        star.order_lines(),
+        star.products(),
+        star.catalogue(),
+        star.partner_snapshots(),
+        star.categories(),
+        ALL_DATES,
+        ORDERS,
+        k=5,
+    )
+
+
 def ranking_fanout(spark: SparkSession, folder: str) -> DataFrame:
     """Units when dimension keys repeat: every code listed twice, five categories per key."""
     star = StarSchema(spark, folder)
@@ -159,8 +181,10 @@ def _read_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def mba_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return _entries(op.mba_documents(recommendation_pairs(spark, folder)))
+def mba_documents(
+    spark: SparkSession, folder: str, mining: MiningParams = MINING
+) -> DataFrame:
+    return _entries(op.mba_documents(recommendation_pairs(spark, folder, mining)))
 
 
 def ranking_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,6 +232,7 @@ QUERIES: dict[str, Query] = {
         pair_best_metric,
         units_sold,
         ranking_topk,
+        ranking_top5,
         ranking_fanout,
         mba_documents,
         ranking_documents,
