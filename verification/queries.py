@@ -241,3 +241,13 @@ QUERIES: dict[str, Query] = {
         history_upsert,
     )
 }
+
+
+def queries_without_actions() -> dict[str, Query]:
+    """Those whose plan runs from the tables to the result, with nothing written in between."""
+    one_plan = (
+        order_window, order_lines, latest_snapshot, normalized_codes, basket_rows, baskets,
+        basket_counts, units_sold, ranking_topk, ranking_top5, ranking_fanout,
+        ranking_documents, ranking_messages,
+    )
+    return {query.__name__: query for query in one_plan}
