@@ -4,6 +4,7 @@ from basketry.operators.dataset import (
     basket_rows,
     eligible_lines,
     listed_codes,
+    matched_lines,
     normalized_codes,
     order_lines,
     order_window,
@@ -26,6 +27,7 @@ __all__ = [
     "frequent_itemsets",
     "latest_snapshot",
     "listed_codes",
+    "matched_lines",
     "mba_documents",
     "normalized_codes",
     "order_lines",

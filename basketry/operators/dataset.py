@@ -77,20 +77,30 @@ def listed_codes(products: DataFrame, catalogue: DataFrame) -> DataFrame:
     )
 
 
-def basket_rows(
+def matched_lines(
     lines: DataFrame,
     products: DataFrame,
     catalogue: DataFrame,
     window: RunWindow,
     orders: OrderFilter = OrderFilter(),
 ) -> DataFrame:
-    """Distinct (order, country, partner, code) of the eligible lines.
+    """The basket rows with repeats: what ``baskets`` needs, without a shuffle to drop them.
 
-    Partner snapshots and categories add no column and no condition, and duplicates go, so neither
-    is joined.
+    Partner snapshots and categories add no column and no condition, so neither is joined.
     """
     codes = listed_codes(products, catalogue).select("product_id", "gtin")
-    return eligible_lines(lines, window, orders).join(codes, "product_id").select(*ROW_COLUMNS).distinct()
+    return eligible_lines(lines, window, orders).join(codes, "product_id").select(*ROW_COLUMNS)
+
+
+def basket_rows(
+    lines: DataFrame,
+    products: DataFrame,
+    catalogue: DataFrame,
+    window: RunWindow,
+    orders: OrderFilter = OrderFilter(),
+) -> DataFrame:
+    """Distinct (order, country, partner, code) of the eligible lines."""
+    return matched_lines(lines, products, catalogue, window, orders).distinct()
 
 
 def units_sold(

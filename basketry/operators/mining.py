@@ -8,6 +8,9 @@ was frequent with its prefix, and equal states merge into one weighted row.
 Items are numbered per country from rarest to most frequent. A prefix then starts with its rarest
 item, so the item a third of all orders hold comes last and leads no states of its own.
 
+A level is kept as ``(country_id, prefix, extensions)``, one row per prefix with the items that are
+frequent with it and their counts, which is the form the next level joins to.
+
 Sizes. A country has at most ``mean basket size / min_support`` frequent items, and likewise
 ``mean number of k-subsets / min_support`` frequent k-itemsets, however many orders it has: these
 tables stay small as the data grows. Whether one is broadcast is Catalyst's decision from the size
@@ -22,7 +25,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators.baskets import basket_counts, baskets, with_min_count
+from basketry.operators.baskets import basket_counts, with_min_count
 from basketry.operators.fpgrowth import fpgrowth_itemsets
 from basketry.params import MiningParams
 from basketry.workspace import Workspace
@@ -37,14 +40,13 @@ SET_KEYS = ("country_id", "prefix", "item")
 
 
 def frequent_itemsets(
-    rows: DataFrame, params: MiningParams = MiningParams(), workspace: Workspace | None = None
+    carts: DataFrame, params: MiningParams = MiningParams(), workspace: Workspace | None = None
 ) -> DataFrame:
-    """(country_id, items, number_of_items, n, n_baskets, support) of the basket rows.
+    """(country_id, items, number_of_items, n, n_baskets, support) of the baskets.
 
     ``items`` is sorted. The result is a table in the workspace.
     """
-    workspace = workspace or Workspace(rows.sparkSession)
-    carts = baskets(rows)
+    workspace = workspace or Workspace(carts.sparkSession)
     if params.algorithm == "fpgrowth":
         # Sorted files let each country's fit skip the pages of the others.
         carts = workspace.save(carts.sortWithinPartitions("country_id"), "baskets")
@@ -116,11 +118,14 @@ def grow_itemsets(
         if wide:
             counts = wide.add_to(counts)
         level, found = workspace.save_measured(
-            counts.join(totals, "country_id").filter("n >= min_count").select(*SET_KEYS, "n"),
+            counts.join(totals, "country_id")
+            .filter("n >= min_count")
+            .groupBy("country_id", "prefix")
+            .agg(F.collect_list(F.struct("item", "n")).alias("extensions")),
             f"level-{size}",
-            itemsets=F.count("*"),
+            prefixes=F.count("*"),
         )
-        if not found["itemsets"]:
+        if not found["prefixes"]:
             break
         levels.append(level)
         if size == params.max_len:
@@ -184,19 +189,23 @@ def tails(states: DataFrame) -> DataFrame:
 
 def next_states(states: DataFrame, level: DataFrame) -> DataFrame:
     """The states one item further, tails cut down to the items frequent with the old prefix."""
-    extensions = level.groupBy("country_id", "prefix").agg(F.collect_list("item").alias("kept"))
-    pruned = states.join(extensions, ["country_id", "prefix"]).select(
-        "country_id", "prefix", F.array_intersect("tail", "kept").alias("tail"), "weight"
+    kept = F.col("extensions.item")
+    pruned = states.join(level, ["country_id", "prefix"]).select(
+        "country_id", "prefix", F.array_intersect("tail", kept).alias("tail"), "weight"
     )
     return tails(pruned).groupBy("country_id", "prefix", "tail").agg(F.sum("weight").alias("weight"))
 
 
+def itemsets_of(level: DataFrame) -> DataFrame:
+    """(country_id, prefix, item, n): a level, one itemset per row."""
+    return level.select("country_id", "prefix", F.inline("extensions"))
+
+
 def decoded(level: DataFrame, items: DataFrame) -> DataFrame:
     """Itemsets of codes from itemsets of ids."""
     return (
-        level.select(
-            "country_id", F.concat("prefix", F.array("item")).alias("ids"), "n"
-        )
+        itemsets_of(level)
+        .select("country_id", F.concat("prefix", F.array("item")).alias("ids"), "n")
         .select("country_id", "ids", "n", F.explode("ids").alias("id"))
         .join(items.select("country_id", "id", "gtin"), ["country_id", "id"])
         .groupBy("country_id", "ids", "n")
@@ -274,6 +283,7 @@ class WideBaskets:
 
     def descend(self, level: DataFrame) -> None:
         """Of the matches, go on with the itemsets of ``level``."""
-        self.held = self.matches.join(level.select(*SET_KEYS), list(SET_KEYS), "left_semi").select(
+        frequent = itemsets_of(level).drop("n")
+        self.held = self.matches.join(frequent, list(SET_KEYS), "left_semi").select(
             "basket", "country_id", "weight", F.concat("prefix", F.array("item")).alias("prefix")
         )

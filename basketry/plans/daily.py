@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from basketry.operators import (
-    basket_rows,
+    baskets,
     frequent_itemsets,
+    matched_lines,
     mba_documents,
     order_lines,
     ranking_documents,
@@ -61,8 +62,8 @@ def recommendations_by_country(
     min_threshold: float = MIN_THRESHOLD,
     workspace: Workspace | None = None,
 ) -> DataFrame:
-    """Basket rows to item-to-item pairs, all countries together."""
-    itemsets = frequent_itemsets(rows, mining, workspace)
+    """Basket rows, repeated or not, to item-to-item pairs; all countries together."""
+    itemsets = frequent_itemsets(baskets(rows), mining, workspace)
     return recommendation_pairs(itemsets, metric, min_threshold)
 
 
@@ -85,7 +86,7 @@ def run_daily(
     out = Outputs(root)
     lines = order_lines(sources.orders)
     with Workspace(spark) as workspace:
-        rows = basket_rows(lines, sources.products, sources.catalogue, window, orders)
+        rows = matched_lines(lines, sources.products, sources.catalogue, window, orders)
         pairs = workspace.save(
             recommendations_by_country(rows, mining, metric, min_threshold, workspace), "pairs"
         )

@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A hot order or product is split even where that costs the next step a shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Mining runs many short, distinct stages; the default of 100 classes recompiles them each time.
     "spark.sql.codegen.cache.maxEntries": "2000",
     # Baskets are many small groups; the default of 128 groups sorts nearly all of them.

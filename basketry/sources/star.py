@@ -135,17 +135,33 @@ class StarSchema:
             categories=self.categories(),
         )
 
-    def brand_rows(self) -> DataFrame:
-        """Mining rows over all orders: the brand of each line as the item."""
-        brands = self.table("part").select(
-            F.col("p_partkey").alias("product_id"), F.col("p_brand").alias("gtin")
-        )
+    def brand_lines(self) -> DataFrame:
+        """(order_id, gtin): the brand of each line as its item."""
+        brands = self.table("part").select("p_partkey", F.col("p_brand").alias("gtin"))
+        return self.table("lineitem").join(
+            brands, F.col("l_partkey") == F.col("p_partkey")
+        ).select(F.col("l_orderkey").alias("order_id"), "gtin")
+
+    def brand_baskets(self) -> DataFrame:
+        """``operators.baskets`` of the brand lines of all orders.
+
+        An order has one country, so baskets are collected by order before the orders are joined:
+        the lines move once, and what is joined is one row per order.
+        """
+        countries = self.order_heads().select("order_id", "country_id")
         return (
-            self.order_lines()
-            .join(brands, "product_id")
-            .select("order_id", "country_name", "country_id", "partner_id", "gtin")
+            self.brand_lines()
+            .groupBy("order_id")
+            .agg(F.sort_array(F.collect_set("gtin")).alias("items"))
+            .join(countries, "order_id")
+            .select("country_id", "order_id", "items")
         )
 
+    def brand_rows(self) -> DataFrame:
+        """(country_id, order_id, gtin) of the brand lines of all orders, with repeats."""
+        countries = self.order_heads().select("order_id", "country_id")
+        return self.brand_lines().join(countries, "order_id").select("country_id", "order_id", "gtin")
+
 
 def _flag(condition: Column, yes: int, no: int) -> Column:
     return F.when(condition, F.lit(yes)).otherwise(F.lit(no))

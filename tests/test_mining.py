@@ -18,7 +18,7 @@ def rows_of(spark, baskets):
 
 
 def mined(rows, **params):
-    found = op.frequent_itemsets(rows, MiningParams(**params)).collect()
+    found = op.frequent_itemsets(op.baskets(rows), MiningParams(**params)).collect()
     sets = {(r.country_id, tuple(r["items"])): r.n for r in found}
     assert len(sets) == len(found)
     assert all(r.number_of_items == len(r["items"]) and r.support == r.n / r.n_baskets for r in found)

@@ -23,7 +23,7 @@ GOLDEN_BEST = {("a", "b"): 2, ("a", "c"): 3 / 2, ("b", "a"): 2, ("b", "c"): 2, (
 
 @pytest.fixture(scope="module")
 def golden(spark):
-    return op.frequent_itemsets(rows_of(spark, GOLDEN), MiningParams(min_support=0.3))
+    return op.frequent_itemsets(op.baskets(rows_of(spark, GOLDEN)), MiningParams(min_support=0.3))
 
 
 def test_golden_rules(golden):
@@ -46,7 +46,7 @@ def test_golden_pairs(golden):
 @pytest.mark.parametrize(("seed", "support"), [(1, 0.1), (7, 0.2)])
 def test_equals_brute_force(spark, seed, support):
     baskets = random_baskets(seed)
-    itemsets = op.frequent_itemsets(rows_of(spark, baskets), MiningParams(min_support=support))
+    itemsets = op.frequent_itemsets(op.baskets(rows_of(spark, baskets)), MiningParams(min_support=support))
     sets = brute.itemsets(baskets, support)
     wanted = brute.rules(baskets, sets, 1.0)
     rules = op.association_rules(itemsets).collect()
@@ -115,7 +115,7 @@ def test_unknown_metric(golden):
 
 def test_no_rules_from_single_items(spark):
     baskets = {1: [frozenset("a"), frozenset("b")]}
-    itemsets = op.frequent_itemsets(rows_of(spark, baskets), MiningParams(min_support=0.1))
+    itemsets = op.frequent_itemsets(op.baskets(rows_of(spark, baskets)), MiningParams(min_support=0.1))
     assert op.recommendation_pairs(itemsets).collect() == []
 
 

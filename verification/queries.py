@@ -36,7 +36,7 @@ def _text(column: str) -> F.Column:
 
 
 def _itemsets(spark: SparkSession, folder: str, mining: MiningParams = MINING) -> DataFrame:
-    return op.frequent_itemsets(StarSchema(spark, folder).brand_rows(), mining)
+    return op.frequent_itemsets(StarSchema(spark, folder).brand_baskets(), mining)
 
 
 def order_window(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,7 +68,7 @@ def baskets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def basket_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return op.basket_counts(op.baskets(StarSchema(spark, folder).brand_rows()), MINING)
+    return op.basket_counts(StarSchema(spark, folder).brand_baskets(), MINING)
 
 
 def frequent_itemsets(
