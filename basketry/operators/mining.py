@@ -65,7 +65,7 @@ def frequent_itemsets(
         )
         if least["min_count"] == 1 and params.max_len is None:
             log.warning(BLOW_UP)
-        sets = grow_itemsets(carts, counts, totals, params, workspace)
+        sets = levelwise_itemsets(carts, counts, totals, params, workspace)
     return workspace.save(
         sets.join(totals, "country_id").select(
             "country_id",
@@ -79,7 +79,7 @@ def frequent_itemsets(
     )
 
 
-def grow_itemsets(
+def levelwise_itemsets(
     carts: DataFrame,
     counts: DataFrame,
     totals: DataFrame,
@@ -130,7 +130,11 @@ def grow_itemsets(
         levels.append(level)
         if size == params.max_len:
             break
-        states = workspace.save(next_states(states, level), f"states-{size}")
+        states, left = workspace.save_measured(
+            next_states(states, level), f"states-{size}", rows=F.count("*")
+        )
+        if not left["rows"] and not wide:
+            break
         if wide:
             wide.descend(level)
     return reduce(DataFrame.unionByName, [decoded(level, items) for level in levels], singles)

@@ -31,7 +31,7 @@ COUNTRIES = (
     "Honduras",
 )
 
-ALGORITHMS = ("growth", "fpgrowth")
+ALGORITHMS = ("levelwise", "fpgrowth")
 
 
 @dataclass(frozen=True)
@@ -79,8 +79,8 @@ class MiningParams:
     min_support: float = MIN_SUPPORT
     max_len: int | None = None
     min_count_floor: int = 1
-    algorithm: str = "growth"
-    wide_basket: int = 128
+    algorithm: str = "levelwise"
+    wide_basket: int = 256
 
     def __post_init__(self) -> None:
         if not 0.0 < self.min_support <= 1.0:

@@ -38,13 +38,13 @@ def random_baskets(seed: int, sizes=(40, 15, 5)) -> dict:
     return baskets
 
 
-@pytest.mark.parametrize("algorithm", ["growth", "fpgrowth"])
+@pytest.mark.parametrize("algorithm", ["levelwise", "fpgrowth"])
 def test_golden(spark, algorithm):
     found = mined(rows_of(spark, GOLDEN), min_support=0.3, algorithm=algorithm)
     assert found == {(1, tuple(k)): n for k, n in GOLDEN_SETS.items()}
 
 
-@pytest.mark.parametrize("algorithm", ["growth", "fpgrowth"])
+@pytest.mark.parametrize("algorithm", ["levelwise", "fpgrowth"])
 @pytest.mark.parametrize(("seed", "support"), [(1, 0.1), (2, 0.25)])
 def test_equals_brute_force(spark, algorithm, seed, support):
     baskets = random_baskets(seed)
@@ -71,7 +71,7 @@ def test_wide_limit_rises_where_many_baskets_are_wide(spark):
 
 
 @pytest.mark.parametrize("max_len", [1, 2, 3])
-@pytest.mark.parametrize("algorithm", ["growth", "fpgrowth"])
+@pytest.mark.parametrize("algorithm", ["levelwise", "fpgrowth"])
 def test_max_len(spark, algorithm, max_len):
     baskets = random_baskets(3)
     found = mined(rows_of(spark, baskets), min_support=0.15, max_len=max_len, algorithm=algorithm)
@@ -103,7 +103,7 @@ def test_duplicates_order_and_nulls_change_nothing(spark):
     assert mined(df, min_support=0.3) == {(1, tuple(k)): n for k, n in GOLDEN_SETS.items()}
 
 
-@pytest.mark.parametrize("algorithm", ["growth", "fpgrowth"])
+@pytest.mark.parametrize("algorithm", ["levelwise", "fpgrowth"])
 def test_no_rows(spark, algorithm):
     assert mined(spark.createDataFrame([], ROWS), min_support=0.1, algorithm=algorithm) == {}
 
@@ -117,7 +117,7 @@ def test_only_single_item_baskets(spark):
 def test_text_countries(spark):
     rows = [(o, n, f"c{c}", p, g) for o, n, c, p, g in brute.basket_rows(GOLDEN)]
     df = spark.createDataFrame(rows, ROWS.replace("country_id int", "country_id string"))
-    for algorithm in ("growth", "fpgrowth"):
+    for algorithm in ("levelwise", "fpgrowth"):
         found = mined(df, min_support=0.3, algorithm=algorithm)
         assert found == {("c1", tuple(k)): n for k, n in GOLDEN_SETS.items()}
 
