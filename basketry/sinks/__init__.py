@@ -1,4 +1,4 @@
-from basketry.sinks.outbox import publish, write_outbox
+from basketry.sinks.outbox import publish, read_outbox, write_outbox
 from basketry.sinks.tables import replace_table, upsert_history, write_if_nonempty
 
-__all__ = ["publish", "replace_table", "upsert_history", "write_if_nonempty", "write_outbox"]
+__all__ = ["publish", "read_outbox", "replace_table", "upsert_history", "write_if_nonempty", "write_outbox"]

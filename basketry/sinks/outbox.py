@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 
 log = logging.getLogger(__name__)
 
@@ -17,6 +17,11 @@ def write_outbox(messages: DataFrame, path: str) -> None:
     messages.write.mode("overwrite").partitionBy("event_type").json(path)
 
 
+def read_outbox(spark: SparkSession, path: str) -> DataFrame:
+    """The messages of the outbox, as ``publish`` takes them."""
+    return spark.read.schema("message string, event_type string").json(path)
+
+
 def publish(messages: DataFrame, open_sender: Callable[[], Sender]) -> int:
     """Send every message and return how many were sent.
 

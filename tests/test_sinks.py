@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from basketry import Workspace
-from basketry.sinks import publish, replace_table, upsert_history, write_if_nonempty, write_outbox
+from basketry.sinks import publish, read_outbox, replace_table, upsert_history, write_if_nonempty, write_outbox
 from basketry.workspace import checkpoint_root
 
 PAIRS = "country_id int, antecedents string, consequents string, support double, confidence double, lift double"
@@ -73,7 +73,7 @@ def test_outbox(spark, tmp_path):
     path = str(tmp_path / "outbox")
     write_outbox(messages(spark, 9), path)
     write_outbox(messages(spark, 5), path)
-    found = spark.read.json(path)
+    found = read_outbox(spark, path)
     assert {r.event_type: r["count"] for r in found.groupBy("event_type").count().collect()} == {"mba": 2, "ranking": 3}
     assert {json.loads(r.message)["default"] for r in found.collect()} == set("01234")
 
@@ -93,8 +93,10 @@ def failing_sender():
     return send
 
 
-def test_publish_sends_each_message_once(spark, tmp_path):
-    assert publish(messages(spark, 11), file_sender(str(tmp_path))) == 11
+def test_publish_sends_each_message_of_the_outbox_once(spark, tmp_path_factory, tmp_path):
+    outbox = str(tmp_path_factory.mktemp("messages") / "outbox")
+    write_outbox(messages(spark, 11), outbox)
+    assert publish(read_outbox(spark, outbox), file_sender(str(tmp_path))) == 11
     sent = {p.name: json.loads(p.read_text()) for p in tmp_path.iterdir()}
     assert len(sent) == 11
     assert sent["1"] == {"event_type": "mba"}

@@ -84,7 +84,7 @@ units as (
 
 
 def _ranking(units: str, k: int) -> str:
-    return f"""with {units},
+    return f"""{units},
 ranking as (
     select country_id, partner_id, gtin,
            row_number() over (partition by country_id, partner_id
@@ -98,19 +98,18 @@ WINDOW = _window("registered_date")
 ELIGIBLE = _eligible(WINDOW)
 REGIONS = "select r_regionkey as business_category_id from region"
 NATIONS = "select n_regionkey as business_category_id from nation"
-RANKING = _ranking(_units("from catalogue", REGIONS), 30)
-RANKING_5 = _ranking(_units("from catalogue", REGIONS, (3650, 0)), 5)
+RANKING_STEPS = _ranking(_units("from catalogue", REGIONS), 30)
+RANKING = f"with {RANKING_STEPS}"
+RANKING_5 = "with " + _ranking(_units("from catalogue", REGIONS, (3650, 0)), 5)
 DOUBLE_UNITS = _units("from catalogue union all from catalogue", NATIONS)
 
-# Itemsets of any size: every order's itemsets grow by one later item per step, and an itemset that
-# too few orders hold is not grown.
-ITEMSETS = f"""with recursive {LINES},
-entries as (
-    select distinct country_id, order_id, p_brand as gtin from lines join part on product_id = p_partkey
-),
+def _itemsets(entries: str, support: str) -> str:
+    """Itemsets of any size: every order's itemsets grow by one later item per step, and an itemset
+    that too few orders hold is not grown."""
+    return f"""{entries},
 totals as (
     select country_id, count(distinct order_id) as n_baskets,
-           cast(ceil(cast(0.005 as double) * count(distinct order_id)) as bigint) as min_count
+           cast(ceil(cast({support} as double) * count(distinct order_id)) as bigint) as min_count
     from entries group by 1
 ),
 kept as (
@@ -135,8 +134,8 @@ itemsets as (
     join totals using (country_id)
 )"""
 
-RULES = f"""{ITEMSETS},
-masked as (
+
+RULE_STEPS = """masked as (
     select *, unnest(range(1, (1 << len(items)) - 1)) as mask from itemsets where len(items) > 1
 ),
 splits as (
@@ -157,8 +156,7 @@ rules as (
     join itemsets sc on sc.country_id = s.country_id and sc.items = s.c
 )"""
 
-PAIRS = f"""{RULES},
-crossed as (
+PAIR_STEPS = """crossed as (
     select country_id, antecedents, unnest(c) as consequents, support, confidence, lift
     from (select country_id, unnest(a) as antecedents, c, support, confidence, lift
           from rules where lift >= 1)
@@ -171,6 +169,23 @@ best as (
     select country_id, antecedents, consequents, max(lift) as lift from pairs group by 1, 2, 3
 )"""
 
+BRAND_ENTRIES = f"""{LINES},
+entries as (
+    select distinct country_id, order_id, p_brand as gtin from lines join part on product_id = p_partkey
+)"""
+
+CODE_ENTRIES = f"""entries as (
+    select distinct l.country_id, l.order_id, p.code as gtin
+    from lines l
+    join product_codes p on p.id = l.product_id
+    join catalogue c on lpad(c.gtin, 14, '0') = p.code
+    where {ELIGIBLE}
+)"""
+
+ITEMSETS = f"with recursive {_itemsets(BRAND_ENTRIES, '0.005')}"
+RULES = f"{ITEMSETS}, {RULE_STEPS}"
+PAIRS = f"{RULES}, {PAIR_STEPS}"
+
 ITEMSET_ROWS = f"""{ITEMSETS}
 select country_id, array_to_string(items, '|') as items, len(items) as number_of_items,
        n, n_baskets, n / n_baskets as support
@@ -236,6 +251,23 @@ group by 1, 2, 3""",
     "ranking_documents": f"{RANKING} {RANKING_ENTRIES} from ranking",
     "mba_messages": f"{PAIRS} {MBA_ENTRIES}, 'mba' as event_type from best",
     "ranking_messages": f"{RANKING} {RANKING_ENTRIES}, 'ranking' as event_type from ranking",
+    "listed_codes": f"""with {PRODUCTS}
+select p.id as product_id, p.code as gtin, count(*) as copies
+from product_codes p join catalogue c on lpad(c.gtin, 14, '0') = p.code
+group by 1, 2""",
+    "partner_copies": f"""with {_snapshots(_window('yyyymmdd'))}
+select h.restaurant_id as partner_id, count(*) as partner_copies
+from latest h
+left join ({NATIONS}) b on b.business_category_id = h.business_category_id
+group by 1""",
+    "fanout": """select count(*) as n_rows, count(distinct n_regionkey) as n_keys,
+       (select max(copies) from (select count(*) as copies from nation group by n_regionkey)) as max_copies
+from nation""",
+    "daily_run": f"""with recursive {_itemsets(f"{RANKING_STEPS}, {CODE_ENTRIES}", "0.0005")},
+{RULE_STEPS}, {PAIR_STEPS}
+{MBA_ENTRIES}, 'mba' as event_type from best
+union all
+{RANKING_ENTRIES}, 'ranking' as event_type from ranking""",
     "history_upsert": f"""{PAIRS}
 select country_id, antecedents, consequents, support, confidence, lift,
        date '2001-08-01' as audit_date

@@ -6,13 +6,14 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry import MiningParams, OrderFilter, RunWindow, Workspace
 from basketry import operators as op
 from basketry.operators.documents import MBA, RANKING
-from basketry.sinks import upsert_history
+from basketry.plans import run_daily
+from basketry.sinks import read_outbox, upsert_history
 from basketry.sources import StarSchema, read_table
 
 WINDOW = RunWindow(dt.date(2001, 8, 2), from_days=365, to_days=1)
@@ -31,7 +32,7 @@ DOCUMENT = (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _text(column: str) -> F.Column:
+def _text(column: str) -> Column:
     return F.array_join(column, SEPARATOR).alias(column)
 
 
@@ -39,6 +40,10 @@ def _itemsets(spark: SparkSession, folder: str, mining: MiningParams = MINING) -
     return op.frequent_itemsets(StarSchema(spark, folder).brand_baskets(), mining)
 
 
+def _repeated_categories(star: StarSchema) -> DataFrame:
+    return star.table("nation").select(F.col("n_regionkey").alias("business_category_id"))
+
+
 def order_window(spark: SparkSession, folder: str) -> DataFrame:
     heads = StarSchema(spark, folder).order_heads()
     return op.order_window(heads, WINDOW).select("order_id", "registered_date")
@@ -146,13 +151,12 @@ def ranking_top5(spark: SparkSession, folder: str) -> DataFrame:
 def ranking_fanout(spark: SparkSession, folder: str) -> DataFrame:
     """Units when dimension keys repeat: every code listed twice, five categories per key."""
     star = StarSchema(spark, folder)
-    categories = star.table("nation").select(F.col("n_regionkey").alias("business_category_id"))
     return op.ranked_units(
         star.order_lines(),
         star.products(),
         star.catalogue().unionAll(star.catalogue()),
         star.partner_snapshots(),
-        categories,
+        _repeated_categories(star),
         WINDOW,
         ORDERS,
     )
@@ -201,6 +205,28 @@ def ranking_messages(spark: SparkSession, folder: str) -> DataFrame:
     return _entries(_read_messages(op.to_messages(documents, RANKING)), "event_type")
 
 
+def listed_codes(spark: SparkSession, folder: str) -> DataFrame:
+    star = StarSchema(spark, folder)
+    return op.listed_codes(star.products(), star.catalogue())
+
+
+def partner_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Five categories per key, and snapshots whose category is not listed."""
+    star = StarSchema(spark, folder)
+    return op.partner_copies(star.partner_snapshots(), _repeated_categories(star), WINDOW)
+
+
+def fanout(spark: SparkSession, folder: str) -> DataFrame:
+    return op.fanout(_repeated_categories(StarSchema(spark, folder)), ["business_category_id"])
+
+
+def daily_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Everything from nested orders to the outbox, read back from there."""
+    sources = StarSchema(spark, folder).sources()
+    out = run_daily(sources, WINDOW, Workspace(spark).folder("daily"), ORDERS)
+    return _entries(_read_messages(read_outbox(spark, out.outbox)), "event_type")
+
+
 def history_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Two days, the second one written twice with different pairs."""
     workspace = Workspace(spark)
@@ -238,6 +264,10 @@ QUERIES: dict[str, Query] = {
         ranking_documents,
         mba_messages,
         ranking_messages,
+        listed_codes,
+        partner_copies,
+        fanout,
+        daily_run,
         history_upsert,
     )
 }
@@ -248,6 +278,6 @@ def queries_without_actions() -> dict[str, Query]:
     one_plan = (
         order_window, order_lines, latest_snapshot, normalized_codes, basket_rows, baskets,
         basket_counts, units_sold, ranking_topk, ranking_top5, ranking_fanout,
-        ranking_documents, ranking_messages,
+        ranking_documents, ranking_messages, listed_codes, partner_copies, fanout,
     )
     return {query.__name__: query for query in one_plan}
