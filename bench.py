@@ -29,6 +29,7 @@ HEADLINES = {
     "frequent_itemsets": lambda s, f: q.frequent_itemsets(s, f, MINING),
     "frequent_itemsets_fpgrowth": lambda s, f: q.frequent_itemsets_fpgrowth(s, f, MINING),
     "recommendation_pairs": lambda s, f: q.recommendation_pairs(s, f, MINING),
+    "daily_run": q.daily_run,
     "mba_documents": lambda s, f: q.mba_documents(s, f, MINING),
 }
 
