@@ -1,15 +1,17 @@
 """Frequent itemsets of every country, in one set of jobs.
 
-Pattern growth, breadth first. A *state* is ``(country_id, prefix, tail, weight)``: ``weight`` orders
-hold the itemset ``prefix`` and, among the items that come after it, exactly ``tail``. Counting a
-level is one explode of the tails and one sum; the next level's states keep of each tail only what
-was frequent with its prefix, and equal states merge into one weighted row.
+Pattern growth, breadth first. Every frequent itemset that leads to larger ones is a *node* with a
+number. A *state* is ``(node, item, tail, weight, least)``: ``weight`` orders hold the node's items and
+``item``, and of the items that come after it exactly ``tail``; ``least`` is the count below which an
+itemset of the country is of no use. Counting a level is one explode of the tails and one sum over
+keys of fixed width. The next level's states keep of each tail only what was frequent, and equal
+states merge into one weighted row.
 
-Items are numbered per country from rarest to most frequent. A prefix then starts with its rarest
-item, so the item a third of all orders hold comes last and leads no states of its own.
+A level is a written table with one row per ``(node, item)`` that has frequent extensions: the number
+of the ``child`` node they make, its ``path`` of items, and the extensions with their counts.
 
-A level is kept as ``(country_id, prefix, extensions)``, one row per prefix with the items that are
-frequent with it and their counts, which is the form the next level joins to.
+Items are numbered per country from rarest to most frequent. A path then starts with its rarest
+item, so the item a third of all orders hold comes last and leads no states of its own.
 
 Sizes. A country has at most ``mean basket size / min_support`` frequent items, and likewise
 ``mean number of k-subsets / min_support`` frequent k-itemsets, however many orders it has: these
@@ -36,7 +38,8 @@ BLOW_UP = (
     "a country has a least count of 1: every subset of its baskets is frequent; "
     "consider min_count_floor or max_len"
 )
-SET_KEYS = ("country_id", "prefix", "item")
+PREFIX = ("node", "item")
+ITEMSET = ("node", "item", "next")
 
 
 def frequent_itemsets(
@@ -47,24 +50,26 @@ def frequent_itemsets(
     ``items`` is sorted. The result is a table in the workspace.
     """
     workspace = workspace or Workspace(carts.sparkSession)
-    if params.algorithm == "fpgrowth":
+    fpgrowth = params.algorithm == "fpgrowth"
+    if fpgrowth:
         # Sorted files let each country's fit skip the pages of the others.
         carts = workspace.save(carts.sortWithinPartitions("country_id"), "baskets")
-        totals = workspace.save(basket_counts(carts, params), "totals")
-        sets = fpgrowth_itemsets(carts, totals, params)
+        wanted = basket_counts(carts, params)
     else:
         carts = workspace.save(carts, "baskets")
         counts = workspace.save(item_counts(carts), "item-counts")
-        totals, least = workspace.save_measured(
-            with_min_count(
-                counts.filter("gtin is null").select("country_id", F.col("n").alias("n_baskets")),
-                params,
-            ),
-            "totals",
-            min_count=F.min("min_count"),
-        )
-        if least["min_count"] == 1 and params.max_len is None:
-            log.warning(BLOW_UP)
+        everything = counts.filter("gtin is null").select("country_id", F.col("n").alias("n_baskets"))
+        wanted = with_min_count(everything, params)
+    totals, least = workspace.save_measured(
+        wanted.withColumn("child", F.monotonically_increasing_id()),
+        "totals",
+        min_count=F.min("min_count"),
+    )
+    if least["min_count"] == 1 and params.max_len is None:
+        log.warning(BLOW_UP)
+    if fpgrowth:
+        sets = fpgrowth_itemsets(carts, totals, params)
+    else:
         sets = levelwise_itemsets(carts, counts, totals, params, workspace)
     return workspace.save(
         sets.join(totals, "country_id").select(
@@ -94,38 +99,24 @@ def levelwise_itemsets(
     coded, widest = workspace.save_measured(
         coded_baskets(carts, items), "coded", size=F.max(F.size("ids"))
     )
-    narrow, wide = coded, None
+    level, wide = roots(totals), None
     if (widest["size"] or 0) > params.wide_basket:
-        limits = workspace.save(wide_limits(coded, totals, params), "limits")
-        narrow = coded.join(limits, "country_id").filter(F.size("ids") <= F.col("widest"))
-        wide = WideBaskets(coded, limits, workspace)
-    states = tails(
-        narrow.select(
-            "country_id",
-            F.array().cast("array<int>").alias("prefix"),
-            F.col("ids").alias("tail"),
-            "weight",
-        )
-    )
+        level = roots(workspace.save(wide_limits(coded, totals, params), "limits"))
+        wide = WideBaskets(at_roots(coded, level).filter(F.size("ids") > F.col("widest")), workspace)
+        known = at_roots(coded, level).filter(F.size("ids") <= F.col("widest"))
+    else:
+        known = at_roots(coded, level)
+    states = split_tails(known.select("node", F.col("ids").alias("tail"), "weight", "least"))
     levels: list[DataFrame] = []
     while True:
         size = len(levels) + 2
-        counts = (
-            states.select("country_id", "prefix", F.explode("tail").alias("item"), "weight")
-            .groupBy(*SET_KEYS)
-            .agg(F.sum("weight").alias("n"))
-        )
+        counts = extension_counts(states)
         if wide:
             counts = wide.add_to(counts)
         level, found = workspace.save_measured(
-            counts.join(totals, "country_id")
-            .filter("n >= min_count")
-            .groupBy("country_id", "prefix")
-            .agg(F.collect_list(F.struct("item", "n")).alias("extensions")),
-            f"level-{size}",
-            prefixes=F.count("*"),
+            next_level(counts, level), f"level-{size}", rows=F.count("*")
         )
-        if not found["prefixes"]:
+        if not found["rows"]:
             break
         levels.append(level)
         if size == params.max_len:
@@ -133,10 +124,10 @@ def levelwise_itemsets(
         states, left = workspace.save_measured(
             next_states(states, level), f"states-{size}", rows=F.count("*")
         )
-        if not left["rows"] and not wide:
-            break
         if wide:
             wide.descend(level)
+        elif not left["rows"]:
+            break
     return reduce(DataFrame.unionByName, [decoded(level, items) for level in levels], singles)
 
 
@@ -177,39 +168,88 @@ def coded_baskets(carts: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def tails(states: DataFrame) -> DataFrame:
-    """For each item of a tail: the prefix with it, and the part of the tail behind it."""
+def roots(countries: DataFrame) -> DataFrame:
+    """The level above the single items: one node without items per country.
+
+    Without limits for wide baskets, all that counts is the least count itself.
+    """
+    if "least" not in countries.columns:
+        countries = countries.withColumn("least", F.col("min_count"))
+    return countries.withColumn("path", F.array().cast("array<int>"))
+
+
+def at_roots(coded: DataFrame, roots: DataFrame) -> DataFrame:
+    """The baskets with the node of their country."""
+    return coded.join(roots.drop("path").withColumnRenamed("child", "node"), "country_id")
+
+
+def split_tails(tails: DataFrame) -> DataFrame:
+    """For each item of a tail with more behind it: the state of that item."""
     return (
-        states.select("country_id", "prefix", "tail", "weight", F.posexplode("tail"))
-        .filter(F.col("pos") < F.size("tail") - 1)
+        tails.select("node", "tail", "weight", "least", F.posexplode("tail").alias("place", "item"))
+        .filter(F.col("place") < F.size("tail") - 1)
         .select(
-            "country_id",
-            F.concat("prefix", F.array("col")).alias("prefix"),
-            F.slice("tail", F.col("pos") + 2, F.size("tail")).alias("tail"),
+            "node",
+            "item",
+            F.slice("tail", F.col("place") + 2, F.size("tail")).alias("tail"),
             "weight",
+            "least",
         )
     )
 
 
-def next_states(states: DataFrame, level: DataFrame) -> DataFrame:
-    """The states one item further, tails cut down to the items frequent with the old prefix."""
-    kept = F.col("extensions.item")
-    pruned = states.join(level, ["country_id", "prefix"]).select(
-        "country_id", "prefix", F.array_intersect("tail", kept).alias("tail"), "weight"
+def extension_counts(states: DataFrame) -> DataFrame:
+    """(node, item, next, n) of the itemsets one item larger that are worth keeping."""
+    return (
+        states.select("node", "item", F.explode("tail").alias("next"), "weight", "least")
+        .groupBy(*ITEMSET, "least")
+        .agg(F.sum("weight").alias("n"))
+        .filter("n >= least")
+        .drop("least")
     )
-    return tails(pruned).groupBy("country_id", "prefix", "tail").agg(F.sum("weight").alias("weight"))
 
 
-def itemsets_of(level: DataFrame) -> DataFrame:
-    """(country_id, prefix, item, n): a level, one itemset per row."""
-    return level.select("country_id", "prefix", F.inline("extensions"))
+def next_level(counts: DataFrame, above: DataFrame) -> DataFrame:
+    """The frequent ones of the counted itemsets as a level, below the nodes of ``above``.
+
+    A child's number is given in the task that writes its row, and is read from there only.
+    """
+    nodes = above.select(F.col("child").alias("node"), "country_id", "min_count", "path")
+    return (
+        counts.groupBy(*PREFIX)
+        .agg(F.collect_list(F.struct("next", "n")).alias("extensions"))
+        .join(nodes, "node")
+        .withColumn("extensions", F.filter("extensions", lambda e: e["n"] >= F.col("min_count")))
+        .filter(F.size("extensions") > 0)
+        .select(
+            *PREFIX,
+            F.monotonically_increasing_id().alias("child"),
+            "country_id",
+            "min_count",
+            F.concat("path", F.array("item")).alias("path"),
+            "extensions",
+        )
+    )
+
+
+def next_states(states: DataFrame, level: DataFrame) -> DataFrame:
+    """The states of the level's nodes."""
+    nodes = level.select(*PREFIX, "child", F.col("extensions.next").alias("kept"))
+    tails = states.join(nodes, list(PREFIX)).select(
+        F.col("child").alias("node"), F.array_intersect("tail", "kept").alias("tail"), "weight", "least"
+    )
+    return (
+        split_tails(tails)
+        .groupBy("node", "item", "tail", "least")
+        .agg(F.sum("weight").alias("weight"))
+    )
 
 
 def decoded(level: DataFrame, items: DataFrame) -> DataFrame:
-    """Itemsets of codes from itemsets of ids."""
+    """(country_id, items, n): the level's itemsets, of codes again."""
     return (
-        itemsets_of(level)
-        .select("country_id", F.concat("prefix", F.array("item")).alias("ids"), "n")
+        level.select("country_id", "path", F.inline("extensions"))
+        .select("country_id", F.concat("path", F.array("next")).alias("ids"), "n")
         .select("country_id", "ids", "n", F.explode("ids").alias("id"))
         .join(items.select("country_id", "id", "gtin"), ["country_id", "id"])
         .groupBy("country_id", "ids", "n")
@@ -219,10 +259,10 @@ def decoded(level: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def wide_limits(coded: DataFrame, totals: DataFrame, params: MiningParams) -> DataFrame:
-    """(country_id, widest, n_wide, spare): up to how many items a country's baskets are expanded.
+    """(country_id, child, min_count, least, widest): up to how many items baskets are expanded.
 
     Expanding a basket costs the square of its size. ``widest`` is the smallest size, not below
-    ``params.wide_basket``, that leaves at most half of ``min_count`` orders above it. ``spare`` is
+    ``params.wide_basket``, that leaves at most half of ``min_count`` orders above it. ``least`` is
     ``min_count`` less those orders: an itemset that the other baskets hold less often than that
     cannot become frequent through the wide ones.
     """
@@ -236,9 +276,15 @@ def wide_limits(coded: DataFrame, totals: DataFrame, params: MiningParams) -> Da
         sizes.withColumn("above", F.coalesce(F.sum("orders").over(larger), F.lit(0)))
         .join(totals, "country_id")
         .withColumn("widest", F.greatest(smallest, F.lit(params.wide_basket)))
-        .groupBy("country_id", "min_count", "widest")
+        .groupBy("country_id", "child", "min_count", "widest")
         .agg(F.sum(F.when(F.col("size") > F.col("widest"), F.col("orders")).otherwise(0)).alias("n_wide"))
-        .select("country_id", "widest", "n_wide", (F.col("min_count") - F.col("n_wide")).alias("spare"))
+        .select(
+            "country_id",
+            "child",
+            "min_count",
+            (F.col("min_count") - F.col("n_wide")).alias("least"),
+            "widest",
+        )
     )
 
 
@@ -249,45 +295,31 @@ class WideBaskets:
     a prefix is joined to the candidates of that prefix, then to its own items.
     """
 
-    def __init__(self, coded: DataFrame, limits: DataFrame, workspace: Workspace) -> None:
+    def __init__(self, wide: DataFrame, workspace: Workspace) -> None:
         self.workspace = workspace
-        self.spare = limits.select("country_id", "spare")
-        # Ids of a written table are stable, so the second write is too.
-        wide = workspace.save(
-            coded.join(limits, "country_id").filter(F.size("ids") > F.col("widest")).select(
-                "country_id", "ids", "weight"
-            ),
+        baskets = workspace.save(
+            wide.select(F.monotonically_increasing_id().alias("basket"), "node", "ids", "weight"),
             "wide",
         )
-        self.contents = workspace.save(
-            wide.withColumn("basket", F.monotonically_increasing_id()).select(
-                "basket", "country_id", "weight", F.explode("ids").alias("item")
-            ),
-            "wide-items",
-        )
-        self.held = self.contents.select(
-            "basket", "country_id", "weight", F.array("item").alias("prefix")
-        )
+        self.held = baskets.select("basket", "node", F.explode("ids").alias("item"), "weight")
+        self.contents = self.held.select("basket", F.col("item").alias("next"))
         self.matches = self.held
 
     def add_to(self, counts: DataFrame) -> DataFrame:
         """``counts`` of the other baskets plus the orders of the wide ones."""
         counts = self.workspace.save(counts, "narrow-counts")
-        candidates = (
-            counts.join(self.spare, "country_id").filter("n >= spare").select(*SET_KEYS)
-        )
         self.matches = self.workspace.save(
-            self.held.join(candidates, ["country_id", "prefix"]).join(
-                self.contents.select("basket", "item"), ["basket", "item"]
+            self.held.join(counts.select(*ITEMSET), list(PREFIX)).join(
+                self.contents, ["basket", "next"]
             ),
             "wide-matches",
         )
-        found = self.matches.groupBy(*SET_KEYS).agg(F.sum("weight").alias("n"))
-        return counts.unionByName(found).groupBy(*SET_KEYS).agg(F.sum("n").alias("n"))
+        found = self.matches.groupBy(*ITEMSET).agg(F.sum("weight").alias("n"))
+        return counts.unionByName(found).groupBy(*ITEMSET).agg(F.sum("n").alias("n"))
 
     def descend(self, level: DataFrame) -> None:
         """Of the matches, go on with the itemsets of ``level``."""
-        frequent = itemsets_of(level).drop("n")
-        self.held = self.matches.join(frequent, list(SET_KEYS), "left_semi").select(
-            "basket", "country_id", "weight", F.concat("prefix", F.array("item")).alias("prefix")
+        frequent = level.select(*PREFIX, "child", F.explode("extensions.next").alias("next"))
+        self.held = self.matches.join(frequent, list(ITEMSET)).select(
+            "basket", F.col("child").alias("node"), F.col("next").alias("item"), "weight"
         )

@@ -58,34 +58,33 @@ class StarSchema:
         return self.order_heads().join(lines, "order_id")
 
     def nested_orders(self) -> DataFrame:
-        """Order facts with their lines nested, in records of at most 1000 line numbers.
+        """Order facts with the lines of one partner nested, at most 1000 to a record.
 
-        The record number keeps an order of any length from ending up in one row.
+        Lines read one after another share a record, so an order of any length makes many records
+        and none of them grows with it.
         """
-        records = (
+        record = F.floor(F.monotonically_increasing_id() / LINES_PER_RECORD)
+        return self._order_facts(
             self.table("lineitem")
-            .groupBy(
-                F.col("l_orderkey").alias("order_id"),
-                F.struct(F.col("l_suppkey").alias("id")).alias("restaurant"),
-                F.floor(F.col("l_linenumber") / LINES_PER_RECORD).alias("record"),
-            )
-            .agg(
-                F.collect_list(
-                    F.struct(
-                        F.struct(F.col("l_partkey").alias("product_id")).alias("product"),
-                        F.col("l_quantity").alias("quantity"),
-                    )
-                ).alias("details")
-            )
-            .drop("record")
+            .select("*", record.alias("record"))
+            .groupBy("l_orderkey", "l_suppkey", "record")
+            .agg(F.collect_list(_nested_line()).alias("details"))
         )
-        return self.order_heads().join(records, "order_id").select(
+
+    def single_line_orders(self) -> DataFrame:
+        """Order facts with one line to a record, which takes no shuffle to make."""
+        return self._order_facts(
+            self.table("lineitem").withColumn("details", F.array(_nested_line()))
+        )
+
+    def _order_facts(self, records: DataFrame) -> DataFrame:
+        return self.order_heads().join(records, F.col("order_id") == F.col("l_orderkey")).select(
             "order_id",
             "registered_date",
             "business_type_id",
             "confirmed_order",
             F.struct("country_id", "country_name").alias("country"),
-            "restaurant",
+            F.struct(F.col("l_suppkey").alias("id")).alias("restaurant"),
             "details",
         )
 
@@ -128,7 +127,7 @@ class StarSchema:
 
     def sources(self) -> Sources:
         return Sources(
-            orders=self.nested_orders(),
+            orders=self.single_line_orders(),
             partner_snapshots=self.partner_snapshots(),
             products=self.products(),
             catalogue=self.catalogue(),
@@ -163,5 +162,12 @@ class StarSchema:
         return self.brand_lines().join(countries, "order_id").select("country_id", "order_id", "gtin")
 
 
+def _nested_line() -> Column:
+    return F.struct(
+        F.struct(F.col("l_partkey").alias("product_id")).alias("product"),
+        F.col("l_quantity").alias("quantity"),
+    )
+
+
 def _flag(condition: Column, yes: int, no: int) -> Column:
     return F.when(condition, F.lit(yes)).otherwise(F.lit(no))

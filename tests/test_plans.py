@@ -90,12 +90,13 @@ def test_hot_product_splits(spark, small_skew):
 def test_hot_prefix_splits(spark, small_skew):
     """States of one prefix: the join that prunes them is split too."""
     states = spark.range(20000, numPartitions=8).selectExpr(
-        "1 as country_id", "array(if(id % 3 > 0, 1, cast(id % 100 as int))) as prefix",
+        "1L as node", "if(id % 3 > 0, 1, cast(id % 100 as int)) as item",
         "transform(sequence(1, 4), i -> cast(101 + (id * i) % 97 as int)) as tail", "1L as weight",
+        "9L as least",
     )
     level = spark.range(100).selectExpr(
-        "1 as country_id", "array(cast(id as int)) as prefix",
-        "transform(sequence(101, 180), i -> struct(i as item, 9L as n)) as extensions",
+        "1L as node", "cast(id as int) as item", "id as child",
+        "transform(sequence(101, 180), i -> struct(i as next, 9L as n)) as extensions",
     )
     pruned = next_states(states, level)
     pruned.collect()

@@ -46,7 +46,8 @@ def oracle_rows(con: duckdb.DuckDBPyConnection, name: str) -> tuple[list[str], l
 def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     builder = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-    spark = with_settings(builder).config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    builder = with_settings(builder).config("spark.sql.shuffle.partitions", "8")
+    spark = builder.config("spark.driver.memory", "8g").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     for name in sys.argv[2:] or QUERIES:
