@@ -186,7 +186,10 @@ def at_roots(coded: DataFrame, roots: DataFrame) -> DataFrame:
 def split_tails(tails: DataFrame) -> DataFrame:
     """For each item of a tail with more behind it: the state of that item."""
     return (
-        tails.select("node", "tail", "weight", "least", F.posexplode("tail").alias("place", "item"))
+        # Without "outer" Spark would work the tail out again to filter empty ones before the explode.
+        tails.select(
+            "node", "tail", "weight", "least", F.posexplode_outer("tail").alias("place", "item")
+        )
         .filter(F.col("place") < F.size("tail") - 1)
         .select(
             "node",
@@ -217,7 +220,7 @@ def next_level(counts: DataFrame, above: DataFrame) -> DataFrame:
     nodes = above.select(F.col("child").alias("node"), "country_id", "min_count", "path")
     return (
         counts.groupBy(*PREFIX)
-        .agg(F.collect_list(F.struct("next", "n")).alias("extensions"))
+        .agg(F.sort_array(F.collect_list(F.struct("next", "n"))).alias("extensions"))
         .join(nodes, "node")
         .withColumn("extensions", F.filter("extensions", lambda e: e["n"] >= F.col("min_count")))
         .filter(F.size("extensions") > 0)
@@ -233,10 +236,14 @@ def next_level(counts: DataFrame, above: DataFrame) -> DataFrame:
 
 
 def next_states(states: DataFrame, level: DataFrame) -> DataFrame:
-    """The states of the level's nodes."""
+    """The states of the level's nodes.
+
+    The intersection keeps the order of its first array, sorted like the tails, and hashes the second,
+    which is the shorter one.
+    """
     nodes = level.select(*PREFIX, "child", F.col("extensions.next").alias("kept"))
     tails = states.join(nodes, list(PREFIX)).select(
-        F.col("child").alias("node"), F.array_intersect("tail", "kept").alias("tail"), "weight", "least"
+        F.col("child").alias("node"), F.array_intersect("kept", "tail").alias("tail"), "weight", "least"
     )
     return (
         split_tails(tails)
