@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.decontamination import contamination
+from basketry.llm.mixing import mixed
 from basketry.llm.near_duplicates import Similarity, near_duplicates
+from basketry.llm.quality_rules import POLICIES, kept, ledger
 from basketry.llm.rows import identified
+from basketry.llm.sharding import assign_shards
 from basketry.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +35,25 @@ def _drop(ws: Workspace) -> None:
         ws.drop()
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    base, policy = POLICIES
+    rows = ledger(read(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~kept(base)).alias("base_failed"), kept(policy).alias("kept"), "failed", "n_lines", "n_capitals",
+    )
+
+
+def op2_jump_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    rows = assign_shards(read(spark, folder, "documents"), 40, workspace(spark))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixed(read(spark, folder, "documents"), workspace(spark))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs", "chosen")
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"), workspace(spark))
     return found.select(
@@ -46,6 +68,9 @@ def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_jump_sharding": op2_jump_sharding,
+    "op3_source_mixing": op3_source_mixing,
     "op5_decontamination": op5_decontamination,
     "op6_ngram_jaccard": op6_ngram_jaccard,
 }
