@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.decontamination import contamination
+from basketry.llm import rule_ensemble, toxicity
+from basketry.llm.labelled import fold
 from basketry.llm.mixing import mixed
 from basketry.llm.near_duplicates import Similarity, near_duplicates
 from basketry.llm.quality_rules import POLICIES, kept, ledger
@@ -16,6 +18,7 @@ from basketry.llm.rows import identified
 from basketry.llm.sharding import assign_shards
 from basketry.workspace import Workspace
 
+CERTAIN = 0.7  # least score of a predicted 1
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -54,6 +57,21 @@ def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs", "chosen")
 
 
+def _decided(scores: DataFrame, folds: int, held_out: int) -> DataFrame:
+    held = F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False))
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= CERTAIN).cast("int").alias("predicted"))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scores = toxicity.toxicity_scores(read(spark, folder, "documents"), read(spark, folder, "labels"), workspace(spark))
+    return _decided(scores, toxicity.FOLDS, toxicity.HELD_OUT)
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    scores = rule_ensemble.quality_scores(read(spark, folder, "documents"), read(spark, folder, "labels"), workspace(spark))
+    return _decided(scores, rule_ensemble.FOLDS, rule_ensemble.HELD_OUT)
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"), workspace(spark))
     return found.select(
@@ -71,6 +89,8 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jump_sharding": op2_jump_sharding,
     "op3_source_mixing": op3_source_mixing,
+    "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_quality_classifier": op7_quality_classifier,
 }
