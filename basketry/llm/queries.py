@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.decontamination import contamination
-from basketry.llm import rule_ensemble, toxicity
+from basketry.llm import pii, rule_ensemble, secrets, spans, toxicity
 from basketry.llm.labelled import fold
+from basketry.llm.line_dedup import deduplicated
 from basketry.llm.mixing import mixed
 from basketry.llm.near_duplicates import Similarity, near_duplicates
 from basketry.llm.quality_rules import POLICIES, kept, ledger
@@ -85,6 +86,26 @@ def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id")
 
 
+def _digests(rows: DataFrame, kinds: tuple[str, ...], base: int) -> DataFrame:
+    counts = [spans.count(F.col("base"), k).alias(f"n_{kinds[k]}") for k in range(base)]
+    sha = F.sha2(spans.written(F.col("base"), kinds), 256).alias("base_sha256")
+    return rows.select("doc_id", *counts, sha, spans.written(F.col("spans"), kinds).alias("spans"))
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return _digests(secrets.secret_spans(read(spark, folder, "documents"), workspace(spark)), secrets.KINDS, 3)
+
+
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = deduplicated(read(spark, folder, "documents"), workspace(spark))
+    n = F.size("removed").cast("long").alias("n_removed")
+    return rows.select("doc_id", "n_lines", n, F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"), "text")
+
+
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return _digests(pii.personal_spans(read(spark, folder, "documents"), workspace(spark)), pii.KINDS, 4)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jump_sharding": op2_jump_sharding,
@@ -93,4 +114,7 @@ QUERIES: dict[str, Query] = {
     "op5_decontamination": op5_decontamination,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_personal_data": op10_personal_data,
 }
