@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.llm.bits import LOG_BITS, bitmap, present
-from basketry.llm.rows import ROW_KEY, batch, identified, plain
+from basketry.llm.rows import ROW_KEY, batch, identified, plain, row_key
 from basketry.llm.words import ALNUM_LOWER, Words, grams, mix, slices, words_of
 from basketry.workspace import Workspace
 
@@ -197,3 +197,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, ws: Workspace, span: in
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, ws: Workspace, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """The rows of ``docs`` without hits, all columns as they are."""
+    _, windows = contaminated_windows(docs, benchmark, ws, span, gram)
+    a, b = (f"_{c}" for c in ROW_KEY)
+    hit = ws.save(windows.select(F.col("row_a").alias(a), F.col("row_b").alias(b)).distinct(), "hit-rows")
+    keyed = docs.withColumns(dict(zip((a, b), row_key(F.col("doc_id").cast("long"), F.col("text")), strict=True)))
+    return keyed.join(hit, [a, b], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -62,7 +62,7 @@ def mixed(docs: DataFrame, ws: Workspace, seed: int = SEED, most: int = MOST) ->
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.size(word_list(text)).cast("long").alias("size"),
-        sampling_key(F.col("doc_id"), text, quality_weight(text), seed).alias("key"), *row_key(F.col("doc_id").cast("long"), F.col("text")),
+        sampling_key(F.col("doc_id"), text, quality_weight(text), seed).alias("key"), *row_key(F.col("doc_id").cast("long"), F.struct(F.col("source").cast("string").alias("source"), "text")),
     )
     order = [F.col("source").asc_nulls_last(), *map(F.col, ("key", "doc_id", "row_a", "row_b"))]
     placed = ws.save(in_order(rows, order, ["size"], ws, "mix"), "mix")
@@ -78,3 +78,19 @@ def mixed(docs: DataFrame, ws: Workspace, seed: int = SEED, most: int = MOST) ->
     taken = F.col("size") * (F.col("epochs") + F.col("chosen").cast("long"))
     return placed.select("doc_id", "source", "size", "source_size", "target", "epochs", "chosen", taken.alias("taken"), "row_a", "row_b")
 
+
+
+def mixture(docs: DataFrame, ws: Workspace, seed: int = SEED, most: int = MOST) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, all columns as they are."""
+    rows = mixed(docs, ws, seed, most).groupBy("row_a", "row_b")
+    rows = ws.save(rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("epochs") + F.col("chosen").cast("long")).alias("copies")), "copies")
+    names = ["_row_a", "_row_b", "_rows", "_copies"]
+    rows = rows.filter("copies > 0").toDF(*names)
+    key = row_key(F.col("doc_id").cast("long"), F.struct(F.col("source").cast("string").alias("source"), "text"))
+    keyed = docs.withColumns(dict(zip(names, key, strict=False)))
+    # Equal rows share one count; hardly any, and reduced before they move.
+    alone = keyed.join(rows.filter("_rows = 1"), names[:2])
+    equal = keyed.join(rows.filter("_rows > 1").select(*names[:2]), names[:2], "left_semi").dropDuplicates(names[:2])
+    taken = alone.unionByName(equal.join(rows, names[:2]))
+    taken = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])

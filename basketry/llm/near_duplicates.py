@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.bits import bitmap, present
 from basketry.llm.components import connected_components
-from basketry.llm.rows import batch, plain
+from basketry.llm.rows import ROW_KEY, batch, identified, plain, row_key
 from basketry.llm.words import SPACED_LOWER, grams, mix, slices, words_of
 from basketry.workspace import Workspace
 
@@ -384,10 +384,10 @@ class _Join:
 
 
 def near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similarity) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text, row_a, row_b) as (doc_id, row_a, row_b, n_shingles, component_id, copies)
+    """Every row of ``docs`` (doc_id, text, row_a, row_b) as (doc_id, row_a, row_b, n_shingles, component_id, component, copies)
 
     component_id: the smallest doc_id among the rows that links lead to; own rows without words: their own.
-    copies: rows of the component.
+    copies: rows of the component. component: its label, null where the row is alone.
     """
     run, schema = _features(similarity)
     features = docs.select("doc_id", "text", "row_a", "row_b").mapInArrow(run, schema)
@@ -405,5 +405,26 @@ def near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similarity) -> D
     out = worded.unionByName(bare.select(*worded.columns))
     return out.select(
         "doc_id", "row_a", "row_b", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("copies", F.lit(1).cast("long")).alias("copies"),
+        "component", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similarity) -> DataFrame:
+    """One row of each component, the first by (id, content); all columns as they are.
+
+    Of rows with equal id and text one stays, whatever their other columns.
+    """
+    found = near_duplicates(identified(docs), ws, similarity).filter("copies > 1")
+    place = F.struct("doc_id", *ROW_KEY)
+    rows = found.groupBy("component", "doc_id", *ROW_KEY).agg(F.count(F.lit(1)).alias("rows"))
+    rows = ws.save(rows, "repeated-rows")
+    first = rows.groupBy("component").agg(F.min(place).alias("first"))
+    rows = rows.join(first, "component").withColumn("stays", (F.col("first.row_a") == F.col("row_a")) & (F.col("first.row_b") == F.col("row_b")))
+    rows = ws.save(rows.select(*ROW_KEY, "stays", "rows"), "decided")
+    a, b = (f"_{c}" for c in ROW_KEY)
+    keyed = docs.withColumns(dict(zip((a, b), row_key(F.col("doc_id").cast("long"), F.col("text")), strict=True)))
+    key = [F.col("row_a").alias(a), F.col("row_b").alias(b)]
+    alone = keyed.join(rows.filter("not stays or rows > 1").select(*key), [a, b], "left_anti")
+    # Rows that are equal in id and text: hardly any, and reduced before they move.
+    equal = keyed.join(rows.filter("stays and rows > 1").select(*key), [a, b], "left_semi").dropDuplicates([a, b])
+    return alone.unionByName(equal).select(*[F.col(f"`{c}`") for c in docs.columns])

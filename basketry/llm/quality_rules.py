@@ -95,13 +95,18 @@ def repeated_words(words: Column, neighbours: Column) -> Column:
     )
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id and the measurements that rules use."""
+CARRIED = "_row"
+
+
+def measured(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id and the measurements that rules use; with ``carry`` the whole row as a struct, too."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), word_list(text).alias("words"), text_lines(text).alias("lines"))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(CARRIED)] if carry else []
+    rows = docs.select(*row, F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), word_list(text).alias("words"), text_lines(text).alias("lines"))
     rows = rows.withColumn("packed", packed_windows(F.col("words")))
     rows = rows.withColumn("neighbours", hash_neighbours(F.col("packed")))
     return rows.select(
+        *([CARRIED] if carry else []),
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),

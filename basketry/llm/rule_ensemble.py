@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.labelled import labelled_sample
-from basketry.llm.quality_rules import measured
+from basketry.llm.quality_rules import CARRIED, measured
 from basketry.workspace import Workspace
 
 FOLDS, HELD_OUT = 4, 2
@@ -74,9 +74,15 @@ class RuleEnsemble:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the statistics of each row."""
-    return measured(docs).select("doc_id", *[F.expr(e).cast("double").alias(n) for n, e in STATISTICS.items()])
+def statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id and the statistics of each row; with ``carry`` the whole row as a struct, too.
+
+    They leave through a generator: a filter on the score stays above it, where the statistics are
+    values, instead of repeating the measuring for each of its terms.
+    """
+    values = [F.expr(e).cast("double").alias(n) for n, e in STATISTICS.items()]
+    one = F.struct(*([F.col(CARRIED)] if carry else []), "doc_id", *values)
+    return measured(docs, carry).select(F.inline(F.array(one)))
 
 
 def _paths(node, bounds: dict[str, tuple[float, float]], names: list[str], out: set[Rule]) -> None:
@@ -121,6 +127,15 @@ def quality_model(rows: DataFrame, labels: DataFrame, ws: Workspace) -> RuleEnse
     return fit(ws.save(rows.join(sample, "doc_id"), "training"), ws)
 
 
+def good_documents(docs: DataFrame, labels: DataFrame, least: float, ws: Workspace) -> DataFrame:
+    """The rows of ``docs`` with a score of ``least`` or more, all columns as they are."""
+    sample = labelled_sample(labels, "quality", FOLDS, HELD_OUT, PER_CLASS, ws)
+    taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
+    taught = statistics(taught, carry=True).withColumn("label", F.col(f"{CARRIED}.label")).drop(CARRIED)
+    model = fit(ws.save(taught, "training"), ws)
+    return statistics(docs, carry=True).filter(model.score() >= least).select(f"{CARRIED}.*")
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
     """(doc_id, score) of each row."""
     rows = ws.save(statistics(docs), "statistics")
