@@ -146,7 +146,8 @@ def deduplicated(docs: DataFrame, ws: Workspace, least: int = LEAST) -> DataFram
     covered = covered.agg(F.collect_set("line").alias("covered"))
     table = lines.select(*ROW_KEY, "line").join(covered, ROW_KEY).dropDuplicates(ROW_KEY)
     table = ws.save(table.select(*ROW_KEY, F.array_sort(F.array_intersect("line", "covered")).alias("removed")), "removed")
-    rows = identified(docs).join(table, ROW_KEY, "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
+    # Texts meet their removals in one shuffle at every size; removals of a corpus have no bound to broadcast by.
+    rows = identified(docs).join(table.hint("merge"), ROW_KEY, "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
     text = F.when(F.size("removed") == 0, F.col("text")).otherwise(kept)
     worded = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != ""))
