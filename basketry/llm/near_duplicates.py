@@ -16,7 +16,7 @@ still in several components, a second sketch (bit parities, whose Hamming distan
 symmetric difference) is compared in blocks: each class with its nearest of another component, and at
 last all that remain. Groups that are linked already are never expanded into pairs.
 
-Equal sets are one class from the start, told by 128 bits of XOR and sum over their hashes.
+Equal sets are one class from the start, told by 64 bits made of the XOR and the sum over their hashes.
 
 Cases: texts without words (null, empty) have empty sets and no links, each its own component; a text
 with fewer than n words has one shingle; equal rows are one class; null ids take part, and a component
@@ -64,6 +64,7 @@ class Band:
     high: int
     parts: int
     spare: int  # g
+    least: int  # shingles of a telling part
 
 
 class Bands:
@@ -82,16 +83,17 @@ class Bands:
         return self._bands[number]
 
     @staticmethod
-    def _parts(low: int, apart: int) -> tuple[int, int]:
-        """Parts, and as many spare ones as a set of the band will hardly have parts with under two shingles."""
+    def _parts(low: int, apart: int) -> tuple[int, int, int]:
+        """Parts, spare ones, and how many shingles tell: two where the spare parts cover those with fewer, else one."""
         if not apart:
-            return 1, 0
-        for spare in range(1, 2 * apart + 4):
-            parts = apart + 1 + spare
-            thin = parts * math.exp(-low / parts) * (1 + low / parts)
-            if thin + 2 * math.sqrt(thin) <= spare:
-                break
-        return parts, spare
+            return 1, 0, 1
+        for least in (2, 1):
+            for spare in range(1, apart // 2 + 4):
+                parts = apart + 1 + spare
+                thin = parts * math.exp(-low / parts) * (1 + (low / parts if least == 2 else 0))
+                if thin + 2 * math.sqrt(thin) <= spare:
+                    return parts, spare, least
+        return parts, spare, least
 
     def of(self, n: int) -> Iterator[Band]:
         """The band of size ``n``, and the next one if a set of it may be linked with this."""
@@ -117,7 +119,7 @@ def _telling_parts(shingles: np.ndarray, band: Band, edges: np.ndarray) -> np.nd
     np.bitwise_xor.accumulate(shingles, out=upto[1:])
     value = upto[at[1:]] ^ upto[at[:-1]]
     keys = mix(value + mix(np.arange(band.parts, dtype=np.uint64) + np.uint64(band.number << 32)))
-    thin = np.diff(at) < 2
+    thin = np.diff(at) < band.least
     return keys if thin.sum() > band.spare else keys[~thin]
 
 
@@ -134,27 +136,25 @@ def _shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray
                 yield first + row, grams(words.hash[low:high], high - low) if high > low else np.zeros(0, np.uint64)
 
 
-def _set_ids(shingles: np.ndarray) -> tuple[np.uint64, np.uint64]:
-    """128 bits that stand for the set."""
+def _set_id(shingles: np.ndarray) -> np.uint64:
+    """64 bits that stand for the set, from XOR and sum over its hashes."""
     if not len(shingles):
-        return np.uint64(0), np.uint64(0)
+        return np.uint64(0)
     n = np.uint64(len(shingles))
-    both = np.array([np.bitwise_xor.reduce(shingles) + n, np.add.reduce(mix(shingles + n))], np.uint64)
-    return tuple(mix(both))
+    both = mix(np.array([np.bitwise_xor.reduce(shingles) + n, np.add.reduce(mix(shingles + n))], np.uint64))
+    return mix(both[:1] + both[1:] * np.uint64(3))[0]
 
 
 def _features(similarity: Similarity) -> tuple[Callable, str]:
-    fields = pa.schema([("doc_id", pa.int64()), ("row_a", pa.int64()), ("row_b", pa.int64()), ("n_shingles", pa.int64()), ("set", pa.int64()), ("set_b", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    fields = pa.schema([("doc_id", pa.int64()), ("row_a", pa.int64()), ("row_b", pa.int64()), ("n_shingles", pa.int64()), ("set", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, edges = Bands(similarity), {}
         for b in batches:
-            sizes, ids, others, keys = [], [], [], []
+            sizes, ids, keys = [], [], []
             for _, s in _shingle_sets(b.column(1), similarity.words):
                 sizes.append(len(s))
-                first, second = _set_ids(s)
-                ids.append(first)
-                others.append(second)
+                ids.append(_set_id(s))
                 own = []
                 for band in bands.of(len(s)) if len(s) else ():
                     if band.number not in edges:
@@ -166,10 +166,10 @@ def _features(similarity: Similarity) -> tuple[Callable, str]:
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
             yield batch(fields, dict(zip(fields.names, [
                 *[plain(b.column(i)) for i in (0, 2, 3)], sizes,
-                np.array(ids, np.uint64).view(np.int64), np.array(others, np.uint64).view(np.int64), lists,
+                np.array(ids, np.uint64).view(np.int64), lists,
             ], strict=True)))
 
-    return run, "doc_id long, row_a long, row_b long, n_shingles long, set long, set_b long, keys array<long>"
+    return run, "doc_id long, row_a long, row_b long, n_shingles long, set long, keys array<long>"
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,16 +206,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(fields, {"key": [carried[0]], "set": [carried[2]], "pivot": [carried[2]], "border": [True]})
 
 
-def _shared_parts(features: DataFrame, ws: Workspace) -> DataFrame:
+def _shared_parts(keys: DataFrame, ws: Workspace) -> DataFrame:
     """(key, set, pivot) for every part value of several classes; all pivots of a key lead to one."""
-    rows = features.filter("n_shingles > 0").select(F.explode("keys").alias("key"), "set")
+    rows = keys.select(F.explode("keys").alias("key"), "set")
     ordered = rows.repartitionByRange("key", "set").sortWithinPartitions("key", "set")
     runs = ws.save(ordered.mapInArrow(_runs, "key long, set long, pivot long, border boolean"), "runs")
     # Two rows per task: runs that go on in other tasks.
     border = runs.filter("border").select("key", "set").distinct()
     least = border.groupBy("key").agg(F.min("set").alias("pivot"), F.count(F.lit(1)).alias("pivots")).filter("pivots > 1")
     inside = runs.filter("not border").select("key", "set", "pivot")
-    return ws.save(inside.union(border.join(least, "key").select("key", "set", "pivot")), "shared-parts")
+    return inside.union(border.join(least, "key").select("key", "set", "pivot"))
 
 
 def _sets_of(similarity: Similarity, wanted: Broadcast) -> tuple[Callable, str]:
@@ -228,7 +228,7 @@ def _sets_of(similarity: Similarity, wanted: Broadcast) -> tuple[Callable, str]:
             texts = plain(b.column(0)).filter(pa.array(passed))
             sets, bodies = [], []
             for _, s in _shingle_sets(texts, similarity.words):
-                sets.append(_set_ids(s)[0])
+                sets.append(_set_id(s))
                 bodies.append(s.tobytes())
             if sets:
                 yield batch(fields, {"set": np.array(sets, np.uint64).view(np.int64), "shingles": bodies})
@@ -237,6 +237,7 @@ def _sets_of(similarity: Similarity, wanted: Broadcast) -> tuple[Callable, str]:
 
 
 def _verify(similarity: Similarity) -> Callable:
+    """Pairs with both sets → whether they are linked."""
     fields = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,6 +254,24 @@ def _verify(similarity: Similarity) -> Callable:
     return run
 
 
+def _possible(similarity: Similarity) -> Callable:
+    """Pairs with sizes and parities of both → those that the parities don't rule out."""
+    fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            a, c, n, m, x, y = (plain(col) for col in b.columns)
+            passed = []
+            for total, one, two in zip((n.to_numpy() + m.to_numpy()).tolist(), x.to_pylist(), y.to_pylist(), strict=True):
+                width = min(len(one), len(two)) // 8
+                apart = int(np.bitwise_count(_folded(one, width) ^ _folded(two, width)).sum())
+                passed.append(apart <= similarity.most_apart(total))
+            keep = pa.array(passed, pa.bool_())
+            yield batch(fields, {"a": a.filter(keep), "b": c.filter(keep)})
+
+    return run
+
+
 def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets → their size and bit parities, of a power of two of bits from two to four times the size."""
     fields = pa.schema([("set", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
@@ -335,26 +354,31 @@ BLOCK = 1000
 class _Join:
     """The rounds over the shared parts of one corpus."""
 
-    def __init__(self, similarity: Similarity, features: DataFrame, docs: DataFrame, ws: Workspace) -> None:
-        self.similarity, self.ws = similarity, ws
-        self.shared = _shared_parts(features, ws)
-        spark = docs.sparkSession
-        sets = self.shared.select("set").distinct()
-        rows = features.groupBy("set").agg(F.min(F.struct("doc_id", "row_a")).alias("first"))
-        rows = ws.save(rows.join(sets, "set").select(F.col("first.row_a").alias("row_a")), "class-rows")
-        wanted = spark.sparkContext.broadcast(bitmap(rows, "row_a"))
+    def __init__(self, similarity: Similarity, features: DataFrame, shared: DataFrame, docs: DataFrame, ws: Workspace) -> None:
+        self.similarity, self.ws, self.shared = similarity, ws, shared
+        # Two classes in one run are verified as a pair at first; the later rounds need longer runs only.
+        rows = shared.select("key", "set").distinct()
+        long_runs = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 2")
+        self.crowded = ws.save(rows.join(long_runs, "key").select("key", "set", "rows"), "crowded-parts")
+        sets = shared.select("set").distinct()
+        first = features.groupBy("set").agg(F.min(F.struct("doc_id", "row_a")).alias("first"))
+        first = ws.save(first.join(sets, "set").select(F.col("first.row_a").alias("row_a")), "class-rows")
+        wanted = docs.sparkSession.sparkContext.broadcast(bitmap(first, "row_a"))
         run, schema = _sets_of(similarity, wanted)
-        self.sets = ws.save(docs.select("text", "row_a").mapInArrow(run, schema).join(sets, "set").dropDuplicates(["set"]), "class-sets")
+        self.sets = ws.save(docs.select("text", "row_a").mapInArrow(run, schema).dropDuplicates(["set"]), "class-sets")
         self.parities = ws.save(self.sets.mapInArrow(_parities, "set long, n long, bits binary"), "parities")
         self.verified: DataFrame | None = None
 
-    def verify(self, pairs: DataFrame) -> None:
-        """Compare the sets of new pairs (a, b) exactly."""
+    def verify(self, pairs: DataFrame, compared: bool) -> None:
+        """Compare the sets of new pairs (a, b) exactly, after their parities unless these were ``compared``."""
         if self.verified is not None:
             pairs = pairs.join(self.verified, ["a", "b"], "left_anti")
-        one = self.sets.select(F.col("set").alias("a"), F.col("shingles").alias("x"))
-        two = self.sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
-        whole = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+        if not compared:
+            one = self.parities.toDF("a", "n", "x")
+            two = self.parities.toDF("b", "m", "y")
+            pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "x", "y")
+            pairs = self.ws.save(pairs.mapInArrow(_possible(self.similarity), "a long, b long"), "possible")
+        whole = pairs.join(self.sets.toDF("a", "x"), "a").join(self.sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
         found = self.ws.save(whole.mapInArrow(_verify(self.similarity), "a long, b long, linked boolean"), "verified")
         self.verified = found if self.verified is None else self.verified.union(found)
 
@@ -364,12 +388,11 @@ class _Join:
     def across(self, nearest: bool) -> DataFrame:
         """Pairs of different components that share a part and may be linked."""
         labels = self.components().withColumnRenamed("node", "set")
-        rows = self.shared.select("key", "set").distinct().join(labels, "set", "left")
-        rows = self.ws.save(rows.select("key", "set", F.coalesce("component", "set").alias("component")), "labelled-parts")
-        # Two classes in one run were verified as a pair at first.
-        several = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("rows"))
-        several = several.filter("least < most and rows > 2").select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-        rows = rows.join(several, "key").withColumn("block", F.pmod(F.xxhash64("set"), "blocks").cast("int"))
+        rows = self.crowded.join(labels, "set", "left")
+        rows = self.ws.save(rows.select("key", "set", "rows", F.coalesce("component", "set").alias("component")), "labelled-parts")
+        several = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        rows = rows.join(several.filter("least < most").select("key"), "key")
+        rows = rows.withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("set"), "blocks").cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         cells = rows.select("key", "set", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
         cells = cells.join(self.parities, "set").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
@@ -377,9 +400,9 @@ class _Join:
 
     def run(self) -> DataFrame:
         first = self.shared.filter("set <> pivot")
-        self.verify(first.select(F.least("set", "pivot").alias("a"), F.greatest("set", "pivot").alias("b")).distinct())
-        self.verify(self.across(nearest=True))
-        self.verify(self.across(nearest=False))
+        self.verify(first.select(F.least("set", "pivot").alias("a"), F.greatest("set", "pivot").alias("b")).distinct(), compared=False)
+        self.verify(self.across(nearest=True), compared=True)
+        self.verify(self.across(nearest=False), compared=True)
         return self.components()
 
 
@@ -391,8 +414,12 @@ def near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similarity) -> D
     """
     run, schema = _features(similarity)
     features = docs.select("doc_id", "text", "row_a", "row_b").mapInArrow(run, schema)
-    features = ws.save(features, "features")
-    labels = _Join(similarity, features, docs, ws).run().withColumnRenamed("node", "set")
+    # The keys are needed once, and dropped with their folder then.
+    with Workspace(docs.sparkSession) as keys:
+        features = keys.save(features, "keys")
+        shared = _shared_parts(features.filter("n_shingles > 0"), ws)
+        features = ws.save(features.drop("keys"), "features")
+    labels = _Join(similarity, features, shared, docs, ws).run().withColumnRenamed("node", "set")
     rows = features.select("doc_id", "row_a", "row_b", "n_shingles", "set")
     classes = rows.filter("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     classes = classes.join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
