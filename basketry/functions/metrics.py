@@ -58,5 +58,15 @@ METRICS = {
 
 
 def number_text(value: Column) -> Column:
-    """A double as plain decimal text without trailing zeros: ``2``, ``1.5``, ``0.0005``."""
-    return F.regexp_replace(F.format_string("%.18f", value), r"\.?0+$", "")
+    """A double as the shortest plain decimal text that reads back as it: ``2``, ``1.5``, ``0.0005``."""
+    text = value.cast("string")
+    part = lambda group: F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", group)
+    digits = F.concat(part(2), F.regexp_replace(part(3), "^0$", ""))
+    exponent = part(4).cast("int")
+    after = F.length(digits) - 1 - exponent  # digits right of the point
+    small = F.concat(part(1), F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    large = F.when(after <= 0, F.concat(part(1), digits, F.repeat(F.lit("0"), -after))).otherwise(
+        F.concat(part(1), F.substr(digits, F.lit(1), exponent + 1), F.lit("."), F.substr(digits, exponent + 2))
+    )
+    plain = F.regexp_replace(text, r"\.0$", "")
+    return F.when(~text.contains("E"), plain).when(exponent < 0, small).otherwise(large)

@@ -8,31 +8,27 @@ from pyspark.sql import functions as F
 from basketry.functions.metrics import METRICS
 from basketry.params import METRIC, MIN_THRESHOLD
 
-MAX_ITEMS = 30
+BITS = 12  # of a mask that one step adds: no row holds more than 2^12 values
+STEPS = 5
 PAIR_COLUMNS = ("country_id", "antecedents", "consequents", "support", "confidence", "lift")
 
 
 def split_rules(itemsets: DataFrame) -> DataFrame:
     """Every way to split every itemset into an antecedent and a consequent, with the counts.
 
-    The bits of a number from 1 to 2^size - 2 tell the sides apart. Both sides are frequent
-    themselves, so inner joins with the itemsets find their counts. An itemset of 30 items would
-    come with 2^30 frequent subsets; longer ones are refused.
+    The bits of a long from 1 to 2^size - 2 tell the sides apart; it is made in steps of 12 bits, so
+    that no row holds all splits of a long itemset. Both sides are frequent themselves, so inner joins
+    with the itemsets find their counts. An itemset of more than 60 items would come with 2^60 others.
     """
-    size = F.col("number_of_items")
-    last = F.when(size <= MAX_ITEMS, F.call_function("shiftleft", F.lit(1), size) - 2).otherwise(
-        F.raise_error(F.lit(f"an itemset has more than {MAX_ITEMS} items"))
-    )
-    splits = (
-        itemsets.filter(size > 1)
-        .select("country_id", "items", "n", "n_baskets", F.explode(F.sequence(F.lit(1), last)).alias("mask"))
-        .select(
-            "country_id",
-            _side(1).alias("antecedents"),
-            _side(0).alias("consequents"),
-            "n",
-            "n_baskets",
-        )
+    power = lambda bits: F.call_function("shiftleft", F.lit(1).cast("long"), bits.cast("int"))
+    splits = itemsets.filter(F.col("number_of_items") > 1).withColumn("mask", F.lit(0).cast("long"))
+    for low in range(0, BITS * STEPS, BITS):
+        bits = F.greatest(F.lit(0), F.least(F.lit(BITS), F.col("number_of_items") - low))
+        # Outer: the array is never empty, and Spark then adds no filter that evaluates it again.
+        splits = splits.withColumn("part", F.explode_outer(F.sequence(F.lit(0).cast("long"), power(bits) - 1)))
+        splits = splits.withColumn("mask", F.col("mask") + F.call_function("shiftleft", F.col("part"), F.lit(low))).drop("part")
+    splits = splits.filter((F.col("mask") > 0) & (F.col("mask") < power(F.col("number_of_items")) - 1)).select(
+        "country_id", _side(1).alias("antecedents"), _side(0).alias("consequents"), "n", "n_baskets"
     )
     for side, count in (("antecedents", "n_a"), ("consequents", "n_c")):
         known = itemsets.select("country_id", F.col("items").alias(side), F.col("n").alias(count))
@@ -59,8 +55,8 @@ def recommendation_pairs(
     """
     return (
         _above(split_rules(itemsets), metric, min_threshold)
-        .withColumn("antecedents", F.explode("antecedents"))
-        .withColumn("consequents", F.explode("consequents"))
+        .withColumn("antecedents", F.explode_outer("antecedents"))
+        .withColumn("consequents", F.explode_outer("consequents"))
         .groupBy("country_id", "antecedents", "consequents", "n", "n_a", "n_baskets")
         .agg(F.min("n_c").alias("n_c"))
         .withColumns({name: METRICS[name]() for name in ("support", "confidence", "lift")})

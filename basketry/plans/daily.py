@@ -18,6 +18,7 @@ from basketry.operators import (
     to_messages,
 )
 from basketry.operators.documents import MBA, RANKING
+from basketry.operators.rules import PAIR_COLUMNS
 from basketry.params import METRIC, MIN_THRESHOLD, TOP_K, MiningParams, OrderFilter, RunWindow
 from basketry.sinks import replace_table, upsert_history, write_if_nonempty, write_outbox
 from basketry.sources import Sources, read_table, table_exists
@@ -82,6 +83,8 @@ def run_daily(
     An empty mining result leaves the pairs and the history as they were; documents and messages
     are made of the pairs as they then stand.
     """
+    if metric not in PAIR_COLUMNS[3:]:
+        raise ValueError(f"pairs carry {', '.join(PAIR_COLUMNS[3:])}, not {metric!r}")
     spark = sources.orders.sparkSession
     out = Outputs(root)
     lines = order_lines(sources.orders)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -12,8 +13,22 @@ from basketry.operators.rules import PAIR_COLUMNS
 
 
 def replace_table(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
-    """Replace the table. ``sort`` orders the rows of each file, with no shuffle for it."""
-    (df.sortWithinPartitions(*sort) if sort else df).write.mode("overwrite").parquet(path)
+    """Replace the table. ``sort`` orders the rows of each file, with no shuffle for it.
+
+    The new table is written beside the old one and takes its place when it is complete, so a broken
+    write leaves the old one as it was.
+    """
+    sc = df.sparkSession.sparkContext
+    mark = uuid.uuid4().hex
+    hadoop = sc._jvm.org.apache.hadoop.fs.Path
+    old, fresh, aside = (hadoop(path.rstrip("/") + end) for end in ("", f".new-{mark}", f".old-{mark}"))
+    files = old.getFileSystem(sc._jsc.hadoopConfiguration())
+    (df.sortWithinPartitions(*sort) if sort else df).write.parquet(fresh.toString())
+    replaced = files.exists(old)
+    if replaced and not files.rename(old, aside) or not files.rename(fresh, old):
+        raise OSError(f"{path} could not be replaced; the new table is in {fresh.toString()}")
+    if replaced:
+        files.delete(aside, True)
 
 
 def write_if_nonempty(df: DataFrame, path: str) -> bool:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -28,11 +27,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        read_table(spark, path)
-    except AnalysisException:
-        return False
-    return True
+    """Whether there is something at the path. That it can be read is not asked: reading will tell."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
 def read_sources(spark: SparkSession, root: str) -> Sources:

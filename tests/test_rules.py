@@ -117,10 +117,3 @@ def test_no_rules_from_single_items(spark):
     baskets = {1: [frozenset("a"), frozenset("b")]}
     itemsets = op.frequent_itemsets(op.baskets(rows_of(spark, baskets)), MiningParams(min_support=0.1))
     assert op.recommendation_pairs(itemsets).collect() == []
-
-
-def test_too_long_itemset_is_refused(spark):
-    schema = "country_id int, items array<string>, number_of_items int, n long, n_baskets long"
-    long = spark.createDataFrame([(1, [str(i) for i in range(31)], 31, 1, 1)], schema)
-    with pytest.raises(Exception, match="more than 30 items"):
-        op.association_rules(long).collect()
