@@ -40,6 +40,18 @@ def sampling_key(doc_id: Column, text: Column, weight: Column, seed: int = SEED)
     return -F.log((digits + 0.5) / F.lit(float(1 << 48))) / weight
 
 
+PLACE = ["key", "doc_id", "row_a", "row_b"]
+
+
+def _place(seed: int) -> dict[str, Column]:
+    """The source of a row, and what orders the rows of a source."""
+    doc_id, source = F.col("doc_id").cast("long"), F.col("source").cast("string")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    key = sampling_key(F.col("doc_id"), text, quality_weight(text), seed)
+    row = row_key(doc_id, F.struct(source.alias("source"), "text"))
+    return {"source": source, **dict(zip(PLACE, [key, doc_id, *row], strict=True))}
+
+
 def source_targets(sources: DataFrame, ws: Workspace, most: int = MOST) -> DataFrame:
     """(source, source_size) → with ``target``: weights 1, 2, 3, repeating, by code point of the source."""
     ranked = in_order(sources, [F.col("source").asc_nulls_last()], [], ws, "sources")
@@ -58,12 +70,8 @@ def source_targets(sources: DataFrame, ws: Workspace, most: int = MOST) -> DataF
 
 def mixed(docs: DataFrame, ws: Workspace, seed: int = SEED, most: int = MOST) -> DataFrame:
     """(doc_id, source, size, source_size, target, epochs, chosen, taken) of each row; taken = size × copies."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        F.size(word_list(text)).cast("long").alias("size"),
-        sampling_key(F.col("doc_id"), text, quality_weight(text), seed).alias("key"), *row_key(F.col("doc_id").cast("long"), F.struct(F.col("source").cast("string").alias("source"), "text")),
-    )
+    size = F.size(word_list(F.coalesce(F.col("text"), F.lit("")))).cast("long")
+    rows = docs.select(size.alias("size"), *[c.alias(name) for name, c in _place(seed).items()])
     order = [F.col("source").asc_nulls_last(), *map(F.col, ("key", "doc_id", "row_a", "row_b"))]
     placed = ws.save(in_order(rows, order, ["size"], ws, "mix"), "mix")
     sources = placed.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("size_before").alias("first"))
@@ -76,21 +84,38 @@ def mixed(docs: DataFrame, ws: Workspace, seed: int = SEED, most: int = MOST) ->
     before = F.col("size_before") - F.col("first")
     placed = placed.withColumn("epochs", epochs.cast("long")).withColumn("chosen", (F.col("size") > 0) & (2 * before + F.col("size") <= 2 * rest))
     taken = F.col("size") * (F.col("epochs") + F.col("chosen").cast("long"))
-    return placed.select("doc_id", "source", "size", "source_size", "target", "epochs", "chosen", taken.alias("taken"), "row_a", "row_b")
-
+    return placed.select("doc_id", "source", "size", "source_size", "target", "epochs", "chosen", taken.alias("taken"), *PLACE)
 
 
 def mixture(docs: DataFrame, ws: Workspace, seed: int = SEED, most: int = MOST) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, all columns as they are."""
-    rows = mixed(docs, ws, seed, most).groupBy("row_a", "row_b")
-    rows = ws.save(rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("epochs") + F.col("chosen").cast("long")).alias("copies")), "copies")
-    names = ["_row_a", "_row_b", "_rows", "_copies"]
-    rows = rows.filter("copies > 0").toDF(*names)
-    key = row_key(F.col("doc_id").cast("long"), F.struct(F.col("source").cast("string").alias("source"), "text"))
-    keyed = docs.withColumns(dict(zip(names, key, strict=False)))
-    # Equal rows share one count; hardly any, and reduced before they move.
-    alone = keyed.join(rows.filter("_rows = 1"), names[:2])
-    equal = keyed.join(rows.filter("_rows > 1").select(*names[:2]), names[:2], "left_semi").dropDuplicates(names[:2])
-    taken = alone.unionByName(equal.join(rows, names[:2]))
-    taken = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` as often as the mix takes them, all columns as they are.
+
+    The rows chosen from a source are the first in its order, so its last one tells for each row whether it is
+    chosen, and texts need not move. Where equal rows lie on both sides of that limit, one stands for all.
+    """
+    rows = mixed(docs, ws, seed, most)
+    place = F.struct(*PLACE)
+    ends = rows.groupBy(F.col("source").alias("own")).agg(
+        F.max("epochs").alias("epochs"),
+        F.max(F.when(F.col("chosen"), place)).alias("last"),
+        F.min(F.when(~F.col("chosen") & (F.col("size") > 0), place)).alias("next"),
+    )
+    ends = ws.save(ends.withColumn("divided", F.coalesce(F.col("last") == F.col("next"), F.lit(False))), "ends")
+    own = _place(seed)
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own["source"].alias("source"),
+        F.struct(*[own[c].alias(c) for c in PLACE]).alias("place"),
+        F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"),
+    ).join(ends, F.col("source").eqNullSafe(F.col("own")))
+    chosen = F.col("worded") & F.coalesce(F.col("place") <= F.col("last"), F.lit(False))
+    at_limit = F.col("divided") & (F.col("place") == F.col("last"))
+    taken = whole.filter(~F.coalesce(at_limit, F.lit(False))).withColumn("copies", F.col("epochs") + chosen.cast("long")).select("row", "copies")
+    divided = ends.filter("divided")
+    if not divided.isEmpty():
+        counts = rows.select("source", "epochs", "chosen", place.alias("place")).join(
+            divided.select("own", "last"), F.col("source").eqNullSafe(F.col("own")) & (F.col("place") == F.col("last"))
+        ).groupBy("own").agg(F.sum(F.col("epochs") + F.col("chosen").cast("long")).alias("copies")).toDF("of", "copies")
+        equal = whole.filter(at_limit).dropDuplicates(["own"])
+        taken = taken.unionByName(equal.join(counts, F.col("own").eqNullSafe(F.col("of"))).select("row", "copies"))
+    taken = taken.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return taken.select(*[F.col(f"row.`{c}`") for c in docs.columns])
