@@ -146,30 +146,53 @@ def _set_id(shingles: np.ndarray) -> np.uint64:
 
 
 def _features(similarity: Similarity) -> tuple[Callable, str]:
-    fields = pa.schema([("doc_id", pa.int64()), ("row_a", pa.int64()), ("row_b", pa.int64()), ("n_shingles", pa.int64()), ("set", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    """Rows (doc_id, text, row_a, row_b) → their set's size and identity."""
+    fields = pa.schema([("doc_id", pa.int64()), ("row_a", pa.int64()), ("row_b", pa.int64()), ("n_shingles", pa.int64()), ("set", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, edges = Bands(similarity), {}
         for b in batches:
-            sizes, ids, keys = [], [], []
+            sizes, ids = [], []
             for _, s in _shingle_sets(b.column(1), similarity.words):
                 sizes.append(len(s))
                 ids.append(_set_id(s))
-                own = []
-                for band in bands.of(len(s)) if len(s) else ():
-                    if band.number not in edges:
-                        edges[band.number] = _edges(band.parts)
-                    own.append(_telling_parts(s, band, edges[band.number]))
-                keys.append(np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64))
-            bounds = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
             yield batch(fields, dict(zip(fields.names, [
-                *[plain(b.column(i)) for i in (0, 2, 3)], sizes,
-                np.array(ids, np.uint64).view(np.int64), lists,
+                *[plain(b.column(i)) for i in (0, 2, 3)], sizes, np.array(ids, np.uint64).view(np.int64),
             ], strict=True)))
 
-    return run, "doc_id long, row_a long, row_b long, n_shingles long, set long, keys array<long>"
+    return run, "doc_id long, row_a long, row_b long, n_shingles long, set long"
+
+
+def _of_listed(similarity: Similarity, listed: Broadcast, name: str, kind: pa.DataType, made: Callable) -> Callable:
+    """Rows (text, row_a) that the bitmap passes → (set, ``name``), the latter ``made`` of their shingles."""
+    fields = pa.schema([("set", pa.int64()), (name, kind)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            passed = present(listed.value, plain(b.column(1)).to_numpy(zero_copy_only=False).view(np.uint64))
+            sets, values = [], []
+            for _, s in _shingle_sets(plain(b.column(0)).filter(pa.array(passed)), similarity.words):
+                if len(s):
+                    sets.append(_set_id(s))
+                    values.append(made(s))
+            if sets:
+                yield batch(fields, {"set": np.array(sets, np.uint64).view(np.int64), name: pa.array(values, kind)})
+
+    return run
+
+
+def _all_keys(similarity: Similarity) -> Callable:
+    """Keys of a set's parts in all its bands."""
+    bands, edges = Bands(similarity), {}
+
+    def made(shingles: np.ndarray) -> np.ndarray:
+        own = []
+        for band in bands.of(len(shingles)):
+            if band.number not in edges:
+                edges[band.number] = _edges(band.parts)
+            own.append(_telling_parts(shingles, band, edges[band.number]))
+        return np.concatenate(own).view(np.int64)
+
+    return made
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,24 +241,6 @@ def _shared_parts(keys: DataFrame, ws: Workspace) -> DataFrame:
     return inside.union(border.join(least, "key").select("key", "set", "pivot"))
 
 
-def _sets_of(similarity: Similarity, wanted: Broadcast) -> tuple[Callable, str]:
-    """The shingle sets of the rows whose ``row_a`` passes the bitmap."""
-    fields = pa.schema([("set", pa.int64()), ("shingles", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            passed = present(wanted.value, plain(b.column(1)).to_numpy(zero_copy_only=False).view(np.uint64))
-            texts = plain(b.column(0)).filter(pa.array(passed))
-            sets, bodies = [], []
-            for _, s in _shingle_sets(texts, similarity.words):
-                sets.append(_set_id(s))
-                bodies.append(s.tobytes())
-            if sets:
-                yield batch(fields, {"set": np.array(sets, np.uint64).view(np.int64), "shingles": bodies})
-
-    return run, "set long, shingles binary"
-
-
 def _verify(similarity: Similarity) -> Callable:
     """Pairs with both sets → whether they are linked."""
     fields = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
@@ -272,18 +277,11 @@ def _possible(similarity: Similarity) -> Callable:
     return run
 
 
-def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets → their size and bit parities, of a power of two of bits from two to four times the size."""
-    fields = pa.schema([("set", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
-    for b in batches:
-        sizes, bodies = [], []
-        for x in plain(b.column(1)):
-            s = np.frombuffer(x.as_buffer(), np.uint64)
-            m = 1 << min(17, max(7, (2 * len(s)).bit_length()))
-            odd = np.bincount((s & np.uint64(m - 1)).astype(np.int64), minlength=m).astype(np.uint8) & 1
-            sizes.append(len(s))
-            bodies.append(np.packbits(odd, bitorder="little").tobytes())
-        yield batch(fields, {"set": b.column(0), "n": sizes, "bits": bodies})
+def _parities(shingles: np.ndarray) -> bytes:
+    """Bit parities of a set, of a power of two of bits from one to two times its size."""
+    m = 1 << min(17, max(7, len(shingles).bit_length()))
+    odd = np.bincount((shingles & np.uint64(m - 1)).astype(np.int64), minlength=m).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").tobytes()
 
 
 def _folded(body: bytes, size: int) -> np.ndarray:
@@ -354,21 +352,24 @@ BLOCK = 1000
 class _Join:
     """The rounds over the shared parts of one corpus."""
 
-    def __init__(self, similarity: Similarity, features: DataFrame, shared: DataFrame, docs: DataFrame, ws: Workspace) -> None:
-        self.similarity, self.ws, self.shared = similarity, ws, shared
+    def __init__(self, similarity: Similarity, classes: DataFrame, shared: DataFrame, docs: DataFrame, ws: Workspace) -> None:
+        self.similarity, self.ws, self.shared, self.classes = similarity, ws, shared, classes
+        self.texts = docs.select("text", "row_a")
         # Two classes in one run are verified as a pair at first; the later rounds need longer runs only.
-        rows = shared.select("key", "set").distinct()
+        rows = shared.select("key", "set")
         long_runs = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 2")
         self.crowded = ws.save(rows.join(long_runs, "key").select("key", "set", "rows"), "crowded-parts")
-        sets = shared.select("set").distinct()
-        first = features.groupBy("set").agg(F.min(F.struct("doc_id", "row_a")).alias("first"))
-        first = ws.save(first.join(sets, "set").select(F.col("first.row_a").alias("row_a")), "class-rows")
-        wanted = docs.sparkSession.sparkContext.broadcast(bitmap(first, "row_a"))
-        run, schema = _sets_of(similarity, wanted)
-        self.sets = ws.save(docs.select("text", "row_a").mapInArrow(run, schema).dropDuplicates(["set"]), "class-sets")
-        self.parities = ws.save(self.sets.mapInArrow(_parities, "set long, n long, bits binary"), "parities")
+        bits = self.made_of(shared.select("set").distinct(), "bits", _parities)
+        self.parities = ws.save(bits.join(classes.select("set", F.col("n_shingles").alias("n")), "set").select("set", "n", "bits"), "parities")
         self.verified: DataFrame | None = None
 
+    def made_of(self, sets: DataFrame, name: str, made: Callable) -> DataFrame:
+        """(set, ``name``) of these sets, made anew of one text each; others may be among them."""
+        listed = self.ws.save(self.classes.join(sets, "set").select("row_a"), f"rows-{name}")
+        listed = listed.sparkSession.sparkContext.broadcast(bitmap(listed, "row_a"))
+        run = _of_listed(self.similarity, listed, name, pa.binary(), made)
+        return self.texts.mapInArrow(run, f"set long, {name} binary").dropDuplicates(["set"])
+
     def verify(self, pairs: DataFrame, compared: bool) -> None:
         """Compare the sets of new pairs (a, b) exactly, after their parities unless these were ``compared``."""
         if self.verified is not None:
@@ -377,8 +378,12 @@ class _Join:
             one = self.parities.toDF("a", "n", "x")
             two = self.parities.toDF("b", "m", "y")
             pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "x", "y")
-            pairs = self.ws.save(pairs.mapInArrow(_possible(self.similarity), "a long, b long"), "possible")
-        whole = pairs.join(self.sets.toDF("a", "x"), "a").join(self.sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+            pairs = pairs.mapInArrow(_possible(self.similarity), "a long, b long")
+        pairs = self.ws.save(pairs.select("a", "b"), "possible")
+        sets = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
+        # Only the sets of pairs that the parities leave are made and moved.
+        sets = self.ws.save(self.made_of(sets, "shingles", np.ndarray.tobytes), "sets")
+        whole = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
         found = self.ws.save(whole.mapInArrow(_verify(self.similarity), "a long, b long, linked boolean"), "verified")
         self.verified = found if self.verified is None else self.verified.union(found)
 
@@ -413,13 +418,17 @@ def near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similarity) -> D
     copies: rows of the component. component: its label, null where the row is alone.
     """
     run, schema = _features(similarity)
-    features = docs.select("doc_id", "text", "row_a", "row_b").mapInArrow(run, schema)
+    features = ws.save(docs.select("doc_id", "text", "row_a", "row_b").mapInArrow(run, schema), "features")
+    # Copies share a set, and the parts of one are enough.
+    first = features.filter("n_shingles > 0").groupBy("set", "n_shingles").agg(F.min(F.struct("doc_id", "row_a")).alias("first"))
+    first = ws.save(first.select("set", "n_shingles", F.col("first.row_a").alias("row_a")), "classes")
+    listed = docs.sparkSession.sparkContext.broadcast(bitmap(first, "row_a"))
+    run = _of_listed(similarity, listed, "keys", pa.list_(pa.int64()), _all_keys(similarity))
     # The keys are needed once, and dropped with their folder then.
     with Workspace(docs.sparkSession) as keys:
-        features = keys.save(features, "keys")
-        shared = _shared_parts(features.filter("n_shingles > 0"), ws)
-        features = ws.save(features.drop("keys"), "features")
-    labels = _Join(similarity, features, shared, docs, ws).run().withColumnRenamed("node", "set")
+        found = keys.save(docs.select("text", "row_a").mapInArrow(run, "set long, keys array<long>"), "keys")
+        shared = _shared_parts(found, ws)
+    labels = _Join(similarity, first, shared, docs, ws).run().withColumnRenamed("node", "set")
     rows = features.select("doc_id", "row_a", "row_b", "n_shingles", "set")
     classes = rows.filter("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     classes = classes.join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
@@ -441,17 +450,36 @@ def without_near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similari
 
     Of rows with equal id and text one stays, whatever their other columns.
     """
-    found = near_duplicates(identified(docs), ws, similarity).filter("copies > 1")
+    every = ws.save(near_duplicates(identified(docs), ws, similarity).select("component", "doc_id", *ROW_KEY, "copies"), "every-row")
     place = F.struct("doc_id", *ROW_KEY)
-    rows = found.groupBy("component", "doc_id", *ROW_KEY).agg(F.count(F.lit(1)).alias("rows"))
+    rows = every.filter("copies > 1").groupBy("component", "doc_id", *ROW_KEY).agg(F.count(F.lit(1)).alias("rows"))
     rows = ws.save(rows, "repeated-rows")
     first = rows.groupBy("component").agg(F.min(place).alias("first"))
     rows = rows.join(first, "component").withColumn("stays", (F.col("first.row_a") == F.col("row_a")) & (F.col("first.row_b") == F.col("row_b")))
     rows = ws.save(rows.select(*ROW_KEY, "stays", "rows"), "decided")
-    a, b = (f"_{c}" for c in ROW_KEY)
-    keyed = docs.withColumns(dict(zip((a, b), row_key(F.col("doc_id").cast("long"), F.col("text")), strict=True)))
-    key = [F.col("row_a").alias(a), F.col("row_b").alias(b)]
-    alone = keyed.join(rows.filter("not stays or rows > 1").select(*key), [a, b], "left_anti")
+    # Rows whose bit is not set stay where they are. Of the others only those move that have the bit of a row to keep.
+    listed = rows.filter("not stays or rows > 1")
+    passes_first = _passes(docs, bitmap(listed, "row_a"))
+    kept = every.filter("copies = 1").select(*ROW_KEY).union(rows.filter("stays").select(*ROW_KEY))
+    passes_second = _passes(docs, bitmap(kept.filter(passes_first("row_a")), "row_b"))
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        *[k.alias(c) for c, k in zip(ROW_KEY, row_key(F.col("doc_id").cast("long"), F.col("text")), strict=True)],
+    )
+    moved = keyed.filter(passes_first("row_a")).filter(passes_second("row_b"))
+    alone = moved.join(listed.select(*ROW_KEY), ROW_KEY, "left_anti")
     # Rows that are equal in id and text: hardly any, and reduced before they move.
-    equal = keyed.join(rows.filter("stays and rows > 1").select(*key), [a, b], "left_semi").dropDuplicates([a, b])
-    return alone.unionByName(equal).select(*[F.col(f"`{c}`") for c in docs.columns])
+    equal = moved.join(rows.filter("stays and rows > 1").select(*ROW_KEY), ROW_KEY, "left_semi").dropDuplicates(ROW_KEY)
+    out = keyed.filter(~passes_first("row_a")).unionByName(alone).unionByName(equal)
+    return out.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+
+
+def _passes(docs: DataFrame, bits: np.ndarray) -> Callable:
+    """Whether a key passes the bitmap."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def passes(keys: pd.Series) -> pd.Series:
+        return pd.Series(present(sent.value, keys.to_numpy().view(np.uint64)))
+
+    return passes
