@@ -110,6 +110,24 @@ def test_mixing(docs, empty, ws):
     assert mixing.mixed(empty, ws).count() == 0
 
 
+def test_mixture_divides_equal_rows(spark, ws):
+    many = [(1, "same words here", "a")] * 40 + [(2, "one two three four", "b"), (3, None, "b"), (4, "five six", None)]
+    docs = spark.createDataFrame(many, "doc_id long, text string, source string").repartition(5)
+    table = mixing.mixed(docs, ws).collect()
+    wanted = {i: sum(r["epochs"] + r["chosen"] for r in table if r["doc_id"] == i) for i in range(1, 5)}
+    found = mixing.mixture(docs, ws).collect()
+    assert wanted == {i: sum(r["doc_id"] == i for r in found) for i in range(1, 5)}
+    assert 0 < wanted[1] < 40
+
+
+def test_near_duplicates_with_a_full_bitmap(docs, ws, monkeypatch):
+    similarity = near_duplicates.Similarity(5, 80)
+    wanted = rows(near_duplicates.without_near_duplicates(docs, ws, similarity), "doc_id", "text")
+    whole = near_duplicates.bitmap
+    monkeypatch.setattr(near_duplicates, "bitmap", lambda keys, column: whole(keys, column, 6))
+    assert rows(near_duplicates.without_near_duplicates(docs, ws, similarity), "doc_id", "text") == wanted
+
+
 def test_targets_stop_and_share_the_excess(spark, ws):
     sources = spark.createDataFrame([("a", 1000), ("b", 10), ("c", 20), (None, 0)], "source string, source_size long")
     found = {r["source"]: r["target"] for r in mixing.source_targets(sources, ws).collect()}
