@@ -299,7 +299,7 @@ class WideBaskets:
     """Exact counts of the few very wide baskets, without expanding them.
 
     Only candidates that the other baskets leave within reach are looked up: a basket known to hold
-    a prefix is joined to the candidates of that prefix, then to its own items.
+    a prefix meets the candidates of that prefix as one array, and keeps those among its own items.
     """
 
     def __init__(self, wide: DataFrame, workspace: Workspace) -> None:
@@ -309,17 +309,17 @@ class WideBaskets:
             "wide",
         )
         self.held = baskets.select("basket", "node", F.explode("ids").alias("item"), "weight")
-        self.contents = self.held.select("basket", F.col("item").alias("next"))
+        self.contents = baskets.select("basket", "ids")
         self.matches = self.held
 
     def add_to(self, counts: DataFrame) -> DataFrame:
         """``counts`` of the other baskets plus the orders of the wide ones."""
         counts = self.workspace.save(counts, "narrow-counts")
+        candidates = counts.groupBy(*PREFIX).agg(F.collect_list("next").alias("candidates"))
+        held = self.held.join(candidates, list(PREFIX)).join(self.contents, "basket")
+        among = F.explode_outer(F.array_intersect("candidates", "ids")).alias("next")
         self.matches = self.workspace.save(
-            self.held.join(counts.select(*ITEMSET), list(PREFIX)).join(
-                self.contents, ["basket", "next"]
-            ),
-            "wide-matches",
+            held.select("basket", *PREFIX, "weight", among).filter("next is not null"), "wide-matches"
         )
         found = self.matches.groupBy(*ITEMSET).agg(F.sum("weight").alias("n"))
         return counts.unionByName(found).groupBy(*ITEMSET).agg(F.sum("n").alias("n"))

@@ -17,6 +17,7 @@ from basketry.operators import (
     recommendation_pairs,
     to_messages,
 )
+from basketry.operators.dataset import eligible_lines
 from basketry.operators.documents import MBA, RANKING
 from basketry.operators.rules import PAIR_COLUMNS
 from basketry.params import METRIC, MIN_THRESHOLD, TOP_K, MiningParams, OrderFilter, RunWindow
@@ -87,28 +88,31 @@ def run_daily(
         raise ValueError(f"pairs carry {', '.join(PAIR_COLUMNS[3:])}, not {metric!r}")
     spark = sources.orders.sparkSession
     out = Outputs(root)
-    lines = order_lines(sources.orders)
     with Workspace(spark) as workspace:
+        # The order facts are read once: both halves take the lines that count from here.
+        lines = workspace.save(
+            eligible_lines(order_lines(sources.orders), window, orders), "lines"
+        )
         rows = matched_lines(lines, sources.products, sources.catalogue, window, orders)
         pairs = workspace.save(
             recommendations_by_country(rows, mining, metric, min_threshold, workspace), "pairs"
         )
         if write_if_nonempty(pairs, out.pairs):
             upsert_history(pairs, out.history, window.run_date)
-    replace_table(
-        ranking_topk(
-            lines,
-            sources.products,
-            sources.catalogue,
-            sources.partner_snapshots,
-            sources.categories,
-            window,
-            orders,
-            k,
-        ),
-        out.ranking,
-        sort=("partner_id", "rank"),
-    )
+        replace_table(
+            ranking_topk(
+                lines,
+                sources.products,
+                sources.catalogue,
+                sources.partner_snapshots,
+                sources.categories,
+                window,
+                orders,
+                k,
+            ),
+            out.ranking,
+            sort=("partner_id", "rank"),
+        )
     replace_table(ranking_documents(read_table(spark, out.ranking)), out.ranking_documents)
     messages = to_messages(read_table(spark, out.ranking_documents), RANKING)
     if table_exists(spark, out.pairs):

@@ -12,8 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Mining runs many short, distinct stages; the default of 100 classes recompiles them each time.
     "spark.sql.codegen.cache.maxEntries": "2000",
-    # Baskets are many small groups; the default of 128 groups sorts nearly all of them.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # Baskets are many small groups; the default of 128 groups sorts nearly all of them. A task holds at
+    # most this many before it sorts and spills.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
 }
 
 

@@ -22,12 +22,15 @@ def read_outbox(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("message string, event_type string").json(path)
 
 
-def publish(messages: DataFrame, open_sender: Callable[[], Sender]) -> int:
+def publish(messages: DataFrame, open_sender: Callable[[], Sender], senders: int | None = None) -> int:
     """Send every message and return how many were sent.
 
-    Each task opens one sender and calls it with the message text and the attributes. What a sender
-    raises fails the job. A task that is run again sends its messages again: at least once.
+    Each task opens one sender and calls it with the message text and the attributes; ``senders`` is
+    the number of tasks (None: as the messages are partitioned). What a sender raises fails the job.
+    A task that is run again sends its messages again: at least once.
     """
+    if senders is not None:
+        messages = messages.repartition(senders)
     sent = messages.sparkSession.sparkContext.accumulator(0)
 
     def send_all(rows: Iterable[Row]) -> None:

@@ -5,10 +5,13 @@ Partners are the suppliers of the lines, countries the customers' regions, snaps
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions import normalize_code
+from basketry.params import RunWindow
 from basketry.sources.tables import Sources, read_table
 
 # Fixed values of the analogue.
@@ -71,12 +74,6 @@ class StarSchema:
             .agg(F.collect_list(_nested_line()).alias("details"))
         )
 
-    def single_line_orders(self) -> DataFrame:
-        """Order facts with one line to a record, which takes no shuffle to make."""
-        return self._order_facts(
-            self.table("lineitem").withColumn("details", F.array(_nested_line()))
-        )
-
     def _order_facts(self, records: DataFrame) -> DataFrame:
         return self.order_heads().join(records, F.col("order_id") == F.col("l_orderkey")).select(
             "order_id",
@@ -108,10 +105,19 @@ class StarSchema:
             "id", normalize_code(F.col("gtin"), F.col("integration_code")).alias("gtin")
         )
 
-    def partner_snapshots(self) -> DataFrame:
-        """One snapshot per event: user, day, kind, and a value; days moved into the order dates."""
+    def partner_snapshots(self, window: RunWindow | None = None) -> DataFrame:
+        """One snapshot per event: user, day, kind, and a value; days moved into the order dates.
+
+        With ``window`` only its days, by bounds on the events' own column, which reach the scan.
+        """
+        events = self.table("events")
+        if window:
+            shift = dt.timedelta(days=SNAPSHOT_SHIFT_DAYS)
+            kind = events.schema["ts"].dataType
+            start, end = (F.lit(day + shift).cast(kind) for day in (window.start, window.end))
+            events = events.filter((F.col("ts") >= start) & (F.col("ts") < end))
         day = F.date_sub(F.col("ts").cast("date"), SNAPSHOT_SHIFT_DAYS)
-        return self.table("events").select(
+        return events.select(
             F.col("user_id").alias("restaurant_id"),
             day.alias("date_id"),
             F.col("event_type").alias("business_type"),
@@ -125,10 +131,10 @@ class StarSchema:
         """One category per region."""
         return self.table("region").select(F.col("r_regionkey").alias("business_category_id"))
 
-    def sources(self) -> Sources:
+    def sources(self, window: RunWindow | None = None) -> Sources:
         return Sources(
-            orders=self.single_line_orders(),
-            partner_snapshots=self.partner_snapshots(),
+            orders=self.nested_orders(),
+            partner_snapshots=self.partner_snapshots(window),
             products=self.products(),
             catalogue=self.catalogue(),
             categories=self.categories(),
@@ -141,21 +147,6 @@ class StarSchema:
             brands, F.col("l_partkey") == F.col("p_partkey")
         ).select(F.col("l_orderkey").alias("order_id"), "gtin")
 
-    def brand_baskets(self) -> DataFrame:
-        """``operators.baskets`` of the brand lines of all orders.
-
-        An order has one country, so baskets are collected by order before the orders are joined:
-        the lines move once, and what is joined is one row per order.
-        """
-        countries = self.order_heads().select("order_id", "country_id")
-        return (
-            self.brand_lines()
-            .groupBy("order_id")
-            .agg(F.sort_array(F.collect_set("gtin")).alias("items"))
-            .join(countries, "order_id")
-            .select("country_id", "order_id", "items")
-        )
-
     def brand_rows(self) -> DataFrame:
         """(country_id, order_id, gtin) of the brand lines of all orders, with repeats."""
         countries = self.order_heads().select("order_id", "country_id")

@@ -9,6 +9,7 @@ import json
 import os
 import re
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 MINING = MiningParams()
+# A least count well above 1: with 1, the run would measure the subsets of its baskets.
+DAILY = MiningParams(min_count_floor=5)
 
 HEADLINES = {
     "ranking_topk": q.ranking_topk,
@@ -29,7 +32,9 @@ HEADLINES = {
     "frequent_itemsets": lambda s, f: q.frequent_itemsets(s, f, MINING),
     "frequent_itemsets_fpgrowth": lambda s, f: q.frequent_itemsets_fpgrowth(s, f, MINING),
     "recommendation_pairs": lambda s, f: q.recommendation_pairs(s, f, MINING),
-    "daily_run": q.daily_run,
+    "association_rules": q.association_rules,
+    "history_upsert": q.history_upsert,
+    "daily_run": lambda s, f: q.daily_run(s, f, DAILY),
     "mba_documents": lambda s, f: q.mba_documents(s, f, MINING),
 }
 
@@ -39,11 +44,17 @@ def write(df: DataFrame) -> None:
 
 
 def main() -> None:
+    with tempfile.TemporaryDirectory(prefix="bench-") as checkpoints:
+        measure(checkpoints)
+
+
+def measure(checkpoints: str) -> None:
     builder = SparkSession.builder.master(f"local[{CPUS}]").appName("bench")
     spark = (
         with_settings(builder)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", checkpoints)
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .getOrCreate()

@@ -43,6 +43,11 @@ def test_latest_snapshot_limits_before_the_shuffle(star):
     assert plan_of(op.latest_snapshot(star.partner_snapshots(), WINDOW)).count("WindowGroupLimit") == 2
 
 
+def test_snapshot_days_reach_the_scan(star):
+    plan = plan_of(op.latest_snapshot(star.partner_snapshots(WINDOW), WINDOW))
+    assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
+
+
 def test_scan_reads_needed_columns_and_pushes_filters(star):
     plan = plan_of(op.basket_rows(star.order_lines(), star.products(), star.catalogue(), WINDOW, ORDERS))
     assert "struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint>" in plan

@@ -225,6 +225,7 @@ select country_id, count(distinct order_id) as n_baskets,
 from lines group by 1""",
     "frequent_itemsets": ITEMSET_ROWS,
     "frequent_itemsets_fpgrowth": ITEMSET_ROWS,
+    "frequent_itemsets_wide": ITEMSET_ROWS,
     "association_rules": f"""{RULES}
 select country_id, array_to_string(a, '|') as antecedents, array_to_string(c, '|') as consequents,
        n, n_a, n_c, support, confidence, lift

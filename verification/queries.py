@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
@@ -36,8 +37,21 @@ def _text(column: str) -> Column:
     return F.array_join(column, SEPARATOR).alias(column)
 
 
+def workspace(spark: SparkSession) -> Workspace:
+    """A workspace that outlives the query, since its rows are read later; dropped when Python ends."""
+    made = Workspace(spark)
+    atexit.register(_drop, made)
+    return made
+
+
+def _drop(made: Workspace) -> None:
+    if made.spark.sparkContext._jsc is not None:
+        made.drop()
+
+
 def _itemsets(spark: SparkSession, folder: str, mining: MiningParams = MINING) -> DataFrame:
-    return op.frequent_itemsets(StarSchema(spark, folder).brand_baskets(), mining)
+    carts = op.baskets(StarSchema(spark, folder).brand_rows())
+    return op.frequent_itemsets(carts, mining, workspace(spark))
 
 
 def _repeated_categories(star: StarSchema) -> DataFrame:
@@ -54,7 +68,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return op.latest_snapshot(StarSchema(spark, folder).partner_snapshots(), WINDOW)
+    return op.latest_snapshot(StarSchema(spark, folder).partner_snapshots(WINDOW), WINDOW)
 
 
 def normalized_codes(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,7 +87,7 @@ def baskets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def basket_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return op.basket_counts(StarSchema(spark, folder).brand_baskets(), MINING)
+    return op.basket_counts(op.baskets(StarSchema(spark, folder).brand_rows()), MINING)
 
 
 def frequent_itemsets(
@@ -88,6 +102,11 @@ def frequent_itemsets_fpgrowth(
     return frequent_itemsets(spark, folder, replace(mining, algorithm="fpgrowth"))
 
 
+def frequent_itemsets_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Baskets above four items (or what the country's limit rises to) are looked up, not expanded."""
+    return frequent_itemsets(spark, folder, replace(MINING, wide_basket=4))
+
+
 def association_rules(spark: SparkSession, folder: str) -> DataFrame:
     return op.association_rules(_itemsets(spark, folder)).select(
         "country_id", _text("antecedents"), _text("consequents"), "n", "n_a", "n_c",
@@ -126,7 +145,7 @@ def ranking_topk(spark: SparkSession, folder: str) -> DataFrame:
         star.order_lines(),
         star.products(),
         star.catalogue(),
-        star.partner_snapshots(),
+        star.partner_snapshots(WINDOW),
         star.categories(),
         WINDOW,
         ORDERS,
@@ -140,7 +159,7 @@ def ranking_top5(spark: SparkSession, folder: str) -> DataFrame:
         star.order_lines(),
         star.products(),
         star.catalogue(),
-        star.partner_snapshots(),
+        star.partner_snapshots(ALL_DATES),
         star.categories(),
         ALL_DATES,
         ORDERS,
@@ -155,7 +174,7 @@ def ranking_fanout(spark: SparkSession, folder: str) -> DataFrame:
         star.order_lines(),
         star.products(),
         star.catalogue().unionAll(star.catalogue()),
-        star.partner_snapshots(),
+        star.partner_snapshots(WINDOW),
         _repeated_categories(star),
         WINDOW,
         ORDERS,
@@ -220,18 +239,20 @@ def fanout(spark: SparkSession, folder: str) -> DataFrame:
     return op.fanout(_repeated_categories(StarSchema(spark, folder)), ["business_category_id"])
 
 
-def daily_run(spark: SparkSession, folder: str) -> DataFrame:
+def daily_run(
+    spark: SparkSession, folder: str, mining: MiningParams = MiningParams()
+) -> DataFrame:
     """Everything from nested orders to the outbox, read back from there."""
-    sources = StarSchema(spark, folder).sources()
-    out = run_daily(sources, WINDOW, Workspace(spark).folder("daily"), ORDERS)
+    sources = StarSchema(spark, folder).sources(WINDOW)
+    out = run_daily(sources, WINDOW, workspace(spark).folder("daily"), ORDERS, mining)
     return _entries(_read_messages(read_outbox(spark, out.outbox)), "event_type")
 
 
 def history_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Two days, the second one written twice with different pairs."""
-    workspace = Workspace(spark)
-    pairs = workspace.save(recommendation_pairs(spark, folder), "pairs")
-    path = workspace.folder("history")
+    own = workspace(spark)
+    pairs = own.save(recommendation_pairs(spark, folder), "pairs")
+    path = own.folder("history")
     first, second = HISTORY_DAYS
     low, high = HISTORY_LIFTS
     upsert_history(pairs.filter(F.col("lift") >= low), path, first)
@@ -252,6 +273,7 @@ QUERIES: dict[str, Query] = {
         basket_counts,
         frequent_itemsets,
         frequent_itemsets_fpgrowth,
+        frequent_itemsets_wide,
         association_rules,
         rule_metrics,
         recommendation_pairs,
