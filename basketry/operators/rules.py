@@ -17,22 +17,27 @@ def split_rules(itemsets: DataFrame) -> DataFrame:
     """Every way to split every itemset into an antecedent and a consequent, with the counts.
 
     The bits of a long from 1 to 2^size - 2 tell the sides apart; it is made in steps of 12 bits, so
-    that no row holds all splits of a long itemset. Both sides are frequent themselves, so inner joins
-    with the itemsets find their counts. An itemset of more than 60 items would come with 2^60 others.
+    that no row holds all splits of a long itemset. Both sides are frequent themselves, so joins with the
+    itemsets find their counts. An itemset of more than 60 items would come with 2^60 others.
     """
     power = lambda bits: F.call_function("shiftleft", F.lit(1).cast("long"), bits.cast("int"))
     splits = itemsets.filter(F.col("number_of_items") > 1).withColumn("mask", F.lit(0).cast("long"))
-    for low in range(0, BITS * STEPS, BITS):
+    # High bits first: all steps but the last see a row per itemset where itemsets are short.
+    for low in reversed(range(0, BITS * STEPS, BITS)):
         bits = F.greatest(F.lit(0), F.least(F.lit(BITS), F.col("number_of_items") - low))
         # Outer: the array is never empty, and Spark then adds no filter that evaluates it again.
         splits = splits.withColumn("part", F.explode_outer(F.sequence(F.lit(0).cast("long"), power(bits) - 1)))
         splits = splits.withColumn("mask", F.col("mask") + F.call_function("shiftleft", F.col("part"), F.lit(low))).drop("part")
+    sides = F.struct(_side(1).alias("antecedents"), _side(0).alias("consequents"))
+    # The sides leave through a generator: the null tests of the joins stay above it, where they are values.
     splits = splits.filter((F.col("mask") > 0) & (F.col("mask") < power(F.col("number_of_items")) - 1)).select(
-        "country_id", _side(1).alias("antecedents"), _side(0).alias("consequents"), "n", "n_baskets"
+        "country_id", F.inline_outer(F.array(sides)), "n", "n_baskets"
     )
     for side, count in (("antecedents", "n_a"), ("consequents", "n_c")):
         known = itemsets.select("country_id", F.col("items").alias(side), F.col("n").alias(count))
-        splits = splits.join(known, ["country_id", side])
+        # Left: only the itemsets, whose size is known, may be broadcast, and never the splits, whose size
+        # Spark takes for that of the rows they are made of. The count is there; 0 would fail in a division.
+        splits = splits.join(known, ["country_id", side], "left").withColumn(count, F.coalesce(count, F.lit(0)))
     return splits
 
 

@@ -10,6 +10,7 @@ import pytest
 from basketry import RunWindow
 from basketry import operators as op
 from basketry.operators.mining import next_states
+from basketry.operators.rules import split_rules
 from basketry.sources import StarSchema
 from verification.queries import ALL_DATES, ORDERS, WINDOW, queries_without_actions
 
@@ -106,3 +107,33 @@ def test_hot_prefix_splits(spark, small_skew):
     pruned = next_states(states, level)
     pruned.collect()
     assert "skew=true" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def pairs_with_a_hot_item(spark):
+    names = "format_string('item %05d', id)"
+    rest = spark.range(20000, numPartitions=8)
+
+    def itemsets(rows, items, n):
+        return rows.selectExpr("1 as country_id", f"array({items}) as items", f"{n}L as n", "20000L as n_baskets")
+
+    sets = itemsets(spark.range(1), "'hot'", 20000).union(itemsets(rest, names, 5))
+    return sets.union(itemsets(rest, f"'hot', {names}", 3)).selectExpr("*", "size(items) as number_of_items")
+
+
+def test_hot_side_of_rules_splits(spark, small_skew, tmp_path):
+    """One item is a side of every rule: the join that finds its count is split, and nothing is lost."""
+    path = str(tmp_path / "itemsets")
+    pairs_with_a_hot_item(spark).write.parquet(path)
+    rules = split_rules(spark.read.parquet(path))
+    assert sorted({(r.n, r.n_a, r.n_c) for r in rules.collect()}) == [(3, 5, 20000), (3, 20000, 5)]
+    plan = rules._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+
+
+def test_rules_make_their_sides_once_and_never_broadcast_splits(spark, tmp_path):
+    path = str(tmp_path / "itemsets")
+    pairs_with_a_hot_item(spark).limit(50).write.parquet(path)
+    plan = plan_of(op.recommendation_pairs(spark.read.parquet(path)))
+    assert "BuildLeft" not in plan and plan.count("BuildRight") == 2
+    simple = plan.split("+- == Initial Plan ==")[0]
+    assert simple.count("filter(items") == 2

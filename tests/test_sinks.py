@@ -103,6 +103,17 @@ def test_publish_sends_each_message_of_the_outbox_once(spark, tmp_path_factory,
     assert sent["2"] == {"event_type": "ranking"}
 
 
+def test_publish_runs_as_many_senders_as_asked(spark, tmp_path):
+    opened = spark.sparkContext.accumulator(0)
+
+    def open_sender():
+        opened.add(1)
+        return lambda message, attributes: None
+
+    assert publish(messages(spark, 40), open_sender, senders=3) == 40
+    assert opened.value == 3
+
+
 def test_a_failing_sender_fails_the_job(spark):
     with pytest.raises(Exception, match="refused"):
         publish(messages(spark, 2), failing_sender)
