@@ -37,6 +37,7 @@ FOLDS, HELD_OUT = 3, 1
 PER_CLASS = 3000
 SHORTEST, LONGEST = 4, 8  # letters of word beginnings
 LEAST_DOCS, LEAST_ODDS, MOST_UNITS = 4, 2.0, 2000
+SURE = 1.4  # standard errors by which log odds must exceed LEAST_ODDS
 
 # Closed word classes in English, German, French and Spanish.
 THREATS = "kill hurt destroy die burn beat shoot attack töten sterben verbrennen schlagen tuer mourir brûler frapper matar morir quemar golpear"
@@ -186,13 +187,17 @@ def _document_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def learn_lexicon(training: DataFrame) -> Lexicon:
-    """Units in enough toxic documents at high enough odds; longer ones only where they say more."""
+    """Units in enough toxic documents at odds that are surely high; longer ones only where they say more.
+
+    Without the standard error, words of a few near copies would pass for insults.
+    """
     sizes = {r["label"]: r["count"] for r in training.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     counts = training.select("text", "label").mapInArrow(_document_units, "unit string, toxic long, clean long")
     counts = counts.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    counts = counts.filter((F.col("toxic") >= LEAST_DOCS) & (odds >= LEAST_ODDS)).orderBy(F.desc("toxic"), "unit").limit(MOST_UNITS)
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    counts = counts.filter((F.col("toxic") >= LEAST_DOCS) & (odds - SURE * error >= LEAST_ODDS)).orderBy(F.desc("toxic"), "unit").limit(MOST_UNITS)
     table = Lexicon({}, toxic, clean)
     kept: dict[str, tuple[int, int]] = {}
     for r in sorted(counts.collect(), key=lambda r: (len(r["unit"].rstrip("*")), not r["unit"].endswith("*"), r["unit"])):
