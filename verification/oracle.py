@@ -249,6 +249,8 @@ group by 1, 2, 3""",
     "ranking_top5": f"""{RANKING_5} select country_id, partner_id, gtin, rnk as "rank" from ranking""",
     "ranking_fanout": f"with {DOUBLE_UNITS} from units",
     "mba_documents": f"{PAIRS} {MBA_ENTRIES} from best",
+    "mba_documents_support": f"""{PAIRS} {MBA_ENTRIES.replace('lift', 'support')}
+from (select country_id, antecedents, consequents, max(support) as support from pairs group by 1, 2, 3)""",
     "ranking_documents": f"{RANKING} {RANKING_ENTRIES} from ranking",
     "mba_messages": f"{PAIRS} {MBA_ENTRIES}, 'mba' as event_type from best",
     "ranking_messages": f"{RANKING} {RANKING_ENTRIES}, 'ranking' as event_type from ranking",

@@ -210,6 +210,11 @@ def mba_documents(
     return _entries(op.mba_documents(recommendation_pairs(spark, folder, mining)))
 
 
+def mba_documents_support(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by another metric, whose values have many digits."""
+    return _entries(op.mba_documents(recommendation_pairs(spark, folder), "support"))
+
+
 def ranking_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _entries(op.ranking_documents(ranking_topk(spark, folder)))
 
@@ -283,6 +288,7 @@ QUERIES: dict[str, Query] = {
         ranking_top5,
         ranking_fanout,
         mba_documents,
+        mba_documents_support,
         ranking_documents,
         mba_messages,
         ranking_messages,
