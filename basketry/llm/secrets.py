@@ -2,10 +2,15 @@
 
 The patterns give the base spans. Every other long token gets the smallest encoding that holds it, and
 three tests against uniform randomness over that alphabet: chi-squared, runs about the middle of the
-alphabet, and serial correlation of neighbours. A token that one of them rejects is no secret. For the
+alphabet, and serial correlation of neighbours. A token that one of them rejects is no secret as a whole.
+A token that no alphabet holds, or that a test rejects, is split at '=', then at the separators foreign to
+each base64 alphabet, then at all separators, and its parts of ``LEAST_TOKEN`` characters are tested; of
+overlapping ones the least like language stays. For the
 rest the chance that a token of a language looks as even is taken from the noncentral chi-squared
 law, which falls with length, and Benjamini and Hochberg's procedure picks the tokens per class of
-length, over the whole corpus: chances are counted in bins, so the driver sees one bounded table.
+length, over the whole corpus: chances are counted in bins, so the driver sees one bounded table. Tokens
+of letters of one case, as language words are, are tested over their 26 letters in classes of their own.
+Tokens of digits alone are not tested: most are numbers.
 
 Cases: null and empty texts have no spans; equal rows get equal results; null ids are kept; an empty table
 gives no rows; other columns are ignored. Time is linear in the text's length.
@@ -36,7 +41,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_VALUE = 6
 
+LEAST_TOKEN = 16
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Ways to split a token: at inner '=', at what base64 and base64url do not have, at every separator.
+PARTS = tuple(re.compile(p) for p in (r"[^=]+(?:=+$)?", r"[^=_-]+(?:=+$)?", r"[^=+/]+(?:=+$)?", r"[^=+/_-]+(?:=+$)?"))
 LENGTHS = (24, 32, 48)  # bounds of the classes of length
 REJECT = 0.001  # a random token is lost to each test this often
 DISCOVERIES = 0.01  # expected share of false ones among tokens reported
@@ -64,6 +72,7 @@ ENCODINGS = (
     Encoding("base64url", UPPER + LOWER + DIGITS + "-_", 0.06),
 )
 CODES = [(e, {c: i for i, c in enumerate(e.alphabet)}) for e in ENCODINGS]
+LETTERS = Encoding("letters", LOWER, 0.068)  # tokens without digits, of one case but for a leading capital
 
 
 def normal_below(z: float) -> float:
@@ -115,18 +124,47 @@ def base_spans(text: str) -> list[spans.Span]:
     return out
 
 
+def one_case(token: str) -> bool:
+    return not any(c in DIGITS for c in token) and (token[1:].lower() == token[1:] or token.upper() == token)
+
+
+def _tested(token: str) -> tuple[int, int] | None:
+    """(class of length, bin) of a token or part that an alphabet holds and no test rejects."""
+    if one_case(token):
+        found = LETTERS, [LOWER.index(c) for c in token.lower() if c in LOWER]
+    elif token.rstrip("=").isdigit() or (found := inferred(token)) is None:
+        return None
+    if len(found[1]) < LEAST_TOKEN:
+        return None
+    *tests, language = battery(*found)
+    if min(tests) < REJECT:
+        return None
+    length = int(np.searchsorted(LENGTHS, len(found[1]), "right")) + (len(LENGTHS) + 1) * (found[0] is LETTERS)
+    return length, min(BINS - 1, int(-math.log10(max(language, 1e-300)) / BIN))
+
+
+def _in_token(token: str) -> list[tuple[int, int, int, int]]:
+    """(start, end, class of length, bin) of the token if it passes, else of its parts that do."""
+    if whole := _tested(token):
+        return [(0, len(token), *whole)]
+    parts = {m.span() for p in PARTS for m in p.finditer(token) if m.end() - m.start() >= LEAST_TOKEN} - {(0, len(token))}
+    found = [(s, e, *passed) for s, e in parts if (passed := _tested(token[s:e]))]
+    taken: list[spans.Span] = []
+    out = []
+    # A part of one case only stands where no other does: its bins are of other classes.
+    for s, e, length, at in sorted(found, key=lambda x: (x[2] > len(LENGTHS), -x[3], x[0] - x[1], x[0])):
+        if not spans.overlaps(s, e, taken):
+            taken.append((s, 0, e))
+            out.append((s, e, length, at))
+    return sorted(out)
+
+
 def candidates(text: str, base: list[spans.Span]) -> Iterator[tuple[int, int, int, int]]:
-    """(start, end, class of length, bin) of each token outside base spans that no test rejects."""
+    """(start, end, class of length, bin) of each token, or part of one, outside base spans that no test rejects."""
     for m in TOKEN.finditer(text):
-        token = m[0]
-        if token.isdigit() or not (any(c in DIGITS for c in token) or (token[1:].lower() != token[1:] and token.upper() != token)):
-            continue
-        if spans.overlaps(m.start(), m.end(), base) or (found := inferred(token)) is None or len(found[1]) < 16:
-            continue
-        *tests, language = battery(*found)
-        if min(tests) >= REJECT:
-            at = min(BINS - 1, int(-math.log10(max(language, 1e-300)) / BIN))
-            yield m.start(), m.end(), int(np.searchsorted(LENGTHS, len(found[1]), "right")), at
+        if not spans.overlaps(m.start(), m.end(), base):
+            for start, end, length, at in _in_token(m[0]):
+                yield m.start() + start, m.start() + end, length, at
 
 
 def _scan() -> tuple[Callable, str]:

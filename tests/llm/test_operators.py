@@ -190,6 +190,25 @@ def test_battery_tells_random_tokens_from_language(spark, ws):
     assert sum(found[i] for i in range(40)) >= 36 and sum(found[i] for i in range(40, 80)) <= 1
 
 
+def test_secrets_beside_names_and_in_one_case(spark, ws):
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    draw = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    values = [draw(letters, 12) + "+" + draw(letters, 12) + "/" + draw(letters, 18) for _ in range(60)]
+    names = ["AccountKey=", "sig=", "auth_id/"]
+    texts = [f"see {names[i % 3]}{v}{'==' * (i % 2)} here" for i, v in enumerate(values)]
+    lower = [draw(letters[26:52], 150) for _ in range(20)]
+    words = ["".join(rng.choice(["under", "standing", "inter", "nation", "al", "ment", "tion", "ness"]) for _ in range(25)) for _ in range(20)]
+    texts += [f"see {w} here" for w in lower + words] + [f"see {w.upper()[:60]} and {'-'.join([w[:9]] * 4)}" for w in words]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [(x["start"], x["end"]) for x in r["spans"]] for r in secrets.secret_spans(table, ws).collect()}
+    whole = [(texts[i].index(v), texts[i].index(" here")) for i, v in enumerate(values)]
+    near = [len(found[i]) == 1 and found[i][0][0] in (w[0], w[0] - 3) and found[i][0][1] == w[1] for i, w in enumerate(whole)]  # at most "id/" with it
+    assert sum(near) >= 50 and all(sum(near[i::3]) >= 14 for i in range(3))
+    assert sum(found[60 + i] == [(4, 154)] for i in range(20)) >= 16
+    assert not any(found[i] for i in range(80, 120))
+
+
 def test_personal_data(docs, empty, ws):
     found = pii.personal_spans(docs, ws).collect()
     for r, (_, *counts, _) in zip(sorted(found, key=lambda r: repr(r["doc_id"])), sorted(brute.personal(PLAIN), key=lambda r: repr(r[0])), strict=True):
