@@ -1,16 +1,22 @@
 """Personal data: fixed patterns, and boosted trees over candidates of wider generators.
 
 The patterns give the base spans. Generators of high recall propose more spans, which may overlap: number
-groups, national phone formats, account numbers, spelled-out addresses. Gradient-boosted trees judge
-each by its format and by the words before it. They learn from the corpus itself: base spans are
-examples, candidates that the patterns reject are counterexamples, and neither validators nor the
-pattern's own kind are features. The threshold is set on a held-out fold, at the least score from which
-``PRECISION`` of its candidates are examples. Among overlapping candidates the best score wins.
+groups, national phone formats, account numbers, spelled-out addresses. Each form has a check (``checked``):
+a card's or account's check digits, an address that is a base one when written with @ and dots. Candidates
+that it proves are added as they are. Gradient-boosted trees judge the others by their format and by the
+words before them. They learn from the corpus itself: examples are base spans, base spans rewritten into
+national, spelled-out and grouped forms that a generator takes, and proven candidates; counterexamples are
+candidates that a check refutes (wrong check digits, dates, a byte over 255); those without proof either
+way have no label. Neither checks nor the pattern's own kind are features. Each form has a threshold, set on
+a held-out fold: the least score from which ``PRECISION`` of its labelled candidates and rewritten spans are
+examples. A form without such a score adds proven candidates only, so that examples of one form never
+outweigh the counterexamples of another. Among overlapping candidates proven ones come first, then the best score.
 
 The trees learn from a bounded sample (``SAMPLE`` candidates by hash); every candidate is scored.
 
 Cases: null and empty texts have no spans; equal rows get equal results; null ids are kept; without both
-examples and counterexamples nothing is added; an empty table gives no rows; other columns are ignored.
+examples and counterexamples only proven candidates are added; undivided numbers that are no cards, and divided ones of
+less than 9 or over 15 digits, have no examples and are not added, as nothing proves them; an empty table gives no rows; other columns are ignored.
 Patterns are matched in linear time.
 """
 
@@ -46,7 +52,10 @@ GENERATORS = (
     re.compile(r"(?<![0-9])[0-9]{9,19}(?![0-9])"),
     re.compile(r"(?<![0-9.])[0-9]{1,4}(?:\.[0-9]{1,4}){3}(?![0-9.])"),
     re.compile(r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Z0-9])"),
-    re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z]{2,10}"),
+    re.compile(
+        r"[A-Za-z0-9._%+-]{1,64}\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{2,63}"
+        r"(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]{1,63}){0,8}"
+    ),
     CARD,
 )
 CUES = {
@@ -56,6 +65,11 @@ CUES = {
     "other": ("version", "isbn", "page", "figure", "chapter", "§", "no.", "nr."),
 }
 BEFORE = 40
+SPELLED_AT, SPELLED_DOT = re.compile(r"\x20?(?:\(at\)|\[at\])\x20?"), re.compile(r"\x20?(?:\(dot\)|\[dot\])\x20?")
+ADDRESS = re.compile(rf"[A-Za-z0-9._%+-]+@{DOMAIN.pattern}")
+FORMS = ("address", "account", "run", "card", "dotted", "phone", "number")
+#: Digits per group of card numbers.
+CARD_GROUPS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3))
 
 
 def luhn(digits: str) -> bool:
@@ -109,15 +123,89 @@ def features(text: str, start: int, end: int) -> list[float]:
     ]
 
 
+def _date(groups: list[str]) -> bool:
+    """Begins with a calendar date, or has years only."""
+    sizes, n = [len(g) for g in groups], [int(g) for g in groups]
+    if len(n) > 1 and set(sizes) == {4}:
+        return all(1000 <= x <= 2100 for x in n)
+    if sorted(sizes[:3]) != [2, 2, 4] or sizes[1] == 4:
+        return False
+    year, *days = sorted(zip(sizes[:3], n, strict=False), reverse=True)
+    return 1000 <= year[1] <= 2100 and all(1 <= d <= 31 for _, d in days) and min(d for _, d in days) <= 12
+
+
+def mod97(account: str) -> bool:
+    return len(account) >= 15 and int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97 == 1
+
+
+def checked(text: str, start: int, end: int) -> tuple[int, int | None]:
+    """The candidate's form, and 1 if the form's check holds, 0 if it fails, none if it does not decide."""
+    body = text[start:end]
+    if "@" in body or SPELLED_AT.search(body):
+        return FORMS.index("address"), 1 if ADDRESS.fullmatch(SPELLED_DOT.sub(".", SPELLED_AT.sub("@", body))) else None
+    if body[0].isalpha():
+        return FORMS.index("account"), int(mod97(body.replace(" ", "")))
+    groups = re.findall(r"[0-9]+", body)
+    sizes, digits = tuple(map(len, groups)), "".join(groups)
+    inside = text[max(0, start - 1) : start].isalnum() or text[end : end + 1].isalnum()
+    if sizes in CARD_GROUPS or (len(sizes) == 1 and 12 <= sizes[0] <= 19):
+        return FORMS.index("run" if len(sizes) == 1 else "card"), (None if inside else 1) if luhn(digits) else 0
+    if len(sizes) == 4 and body.count(".") == 3:
+        return FORMS.index("dotted"), None if all(_byte(g) for g in groups) else 0
+    numbered = any(w in text[max(0, start - BEFORE // 2) : start].lower() for w in CUES["other"])
+    form = "phone" if len(sizes) > 1 and 9 <= len(digits) <= 15 else "number"
+    return FORMS.index(form), 0 if inside or numbered or _date(groups) or len(digits) > 19 else None
+
+
+def _inner(text: str, match: re.Match[str]) -> Iterator[tuple[int, int]]:
+    """Stretches of a number's groups that are grouped like a card, or like an account in front of other words."""
+    if SPELLED_AT.search(match[0]):
+        return
+    if match[0][0].isalpha():
+        yield from ((match.start(), match.start() + m.start()) for m in re.finditer(r"\x20", match[0]))
+        return
+    groups = [m.span() for m in re.finditer(r"[0-9]+", match[0])]
+    sizes = tuple(e - s for s, e in groups)
+    for sought in CARD_GROUPS:
+        for i in range(len(sizes) - len(sought) + 1):
+            if sizes[i : i + len(sought)] == sought:
+                yield match.start() + groups[i][0], match.start() + groups[i + len(sought) - 1][1]
+
+
 def candidate_spans(text: str) -> set[tuple[int, int]]:
-    return {(m.start(), m.end()) for g in GENERATORS for m in g.finditer(text) if 7 <= m.end() - m.start() <= 64}
+    out = set()
+    for g in GENERATORS:
+        for m in g.finditer(text):
+            if m.end() - m.start() <= 64:
+                out.add(m.span())
+            out.update(x for x in _inner(text, m) if checked(text, *x)[1])
+    return {(s, e) for s, e in out if e - s >= 7}
+
+
+def rewritten(body: str, kind: int) -> list[str]:
+    """A base span in other forms that a generator takes as a whole."""
+    forms: list[str] = []
+    if KINDS[kind] == "email":
+        local, domain = body.split("@", 1)
+        forms = [f"{local} (at) {domain}", f"{local}[at]{domain}", f"{local} (at) {domain.replace('.', ' (dot) ')}"]
+    elif KINDS[kind] == "card":
+        digits = re.sub(r"[^0-9]", "", body)
+        forms = [".".join(digits[i : i + 4] for i in range(0, 16, 4))] if len(digits) == 16 else []
+    elif KINDS[kind] == "phone":
+        groups = re.findall(r"[0-9]+", body)
+        if len(groups) < 3:
+            digits = "".join(groups)[-10:]
+            groups = ["", digits[:3], digits[3:6], digits[6:]]
+        first, *rest = groups[1:]
+        forms = [f"({first}) {'-'.join(rest)}", *[c.join([first, *rest]) for c in "-. "], " ".join(["0" + first, *rest])]
+    return [f for f in forms if (0, len(f)) in candidate_spans(f)]
 
 
 def _scan() -> tuple[Callable, str]:
-    """Per row its base spans; per candidate a row with features and whether it is an example."""
+    """Per row its base spans; per candidate, base span and rewritten one a row with features and label."""
     fields = pa.schema(
         [("doc_id", pa.int64()), ("row_a", pa.int64()), ("row_b", pa.int64()), ("base", spans.ARROW)]
-        + [("start", pa.int32()), ("end", pa.int32()), ("example", pa.int32()), ("features", pa.list_(pa.float64()))]
+        + [("start", pa.int32()), ("end", pa.int32()), ("wider", pa.int32()), ("form", pa.int32()), ("example", pa.int32()), ("features", pa.list_(pa.float64()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,39 +214,47 @@ def _scan() -> tuple[Callable, str]:
             for i, text in enumerate(plain(b.column(1))):
                 text = text.as_py() or ""
                 own = base_spans(text)
-                ids.append(i)
-                rest.append((spans.as_rows(own), None, None, None, None))
-                for s, _, e in own:
-                    ids.append(i)
-                    rest.append((None, s, e, 1, features(text, s, e)))
+                found = [(spans.as_rows(own), None, None, None, None, None, None)]
+                for s, k, e in own:
+                    found.append((None, None, None, 0, checked(text, s, e)[0], 1, features(text, s, e)))
+                    before, after = text[max(0, s - BEFORE) : s], text[e : e + 1]
+                    for other in rewritten(text[s:e], k):
+                        where = before + other + after, len(before), len(before) + len(other)
+                        found.append((None, None, None, 1, checked(*where)[0], 1, features(*where)))
                 for s, e in candidate_spans(text):
                     if not spans.overlaps(s, e, own):
-                        ids.append(i)
-                        rest.append((None, s, e, 0, features(text, s, e)))
+                        found.append((None, s, e, 1, *checked(text, s, e), features(text, s, e)))
+                ids += [i] * len(found)
+                rest += found
             if ids:
                 keys = [plain(b.column(c)).take(pa.array(ids)) for c in (0, 2, 3)]
                 yield batch(fields, dict(zip(fields.names, [*keys, *map(list, zip(*rest, strict=True))], strict=True)))
 
-    return run, f"doc_id long, row_a long, row_b long, base {spans.SQL}, start int, end int, example int, features array<double>"
+    return run, f"doc_id long, row_a long, row_b long, base {spans.SQL}, start int, end int, wider int, form int, example int, features array<double>"
 
 
 def added_spans(found: DataFrame, ws: Workspace) -> DataFrame:
-    """(row key, start, end, score) of candidates that the trees accept."""
-    found = found.filter("example is not null").withColumn("score", F.lit(None).cast("double"))
-    nothing = found.filter("false").select(*ROW_KEY, "start", "end", "score")
-    order = F.xxhash64(*ROW_KEY, "start", "end")
-    sample = ws.save(found.select("example", "features", order.alias("at")).orderBy("at").limit(SAMPLE), "candidate-sample")
-    sample = sample.select(F.col("example").cast("double").alias("label"), array_to_vector("features").alias("features"), (F.pmod("at", F.lit(5)) == 0).alias("held"))
+    """(row key, start, end, score) of candidates that are proven (score 1) or that the trees accept."""
+    found = found.filter("features is not null")  # told before the vectors are made: a base row has none
+    candidates = found.filter("start is not null")
+    sure = candidates.filter("example = 1").select(*ROW_KEY, "start", "end", F.lit(1.0).alias("score")).distinct()
+    order = F.xxhash64(*ROW_KEY, "start", "end", "features")
+    labelled = found.filter("example is not null")
+    sample = ws.save(labelled.select("example", "wider", "form", "features", order.alias("at")).orderBy("at").limit(SAMPLE), "candidate-sample")
+    sample = sample.select(F.col("example").cast("double").alias("label"), "wider", "form", array_to_vector("features").alias("features"), (F.pmod("at", F.lit(5)) == 0).alias("held"))
     learned = sample.filter("not held")
     if learned.select("label").distinct().count() < 2:
-        return nothing
+        return sure
     model = GBTClassifier(maxIter=20, maxDepth=3, seed=SEED).fit(learned)
     judged = lambda df: model.transform(df).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
-    threshold = calibrated([(r["score"], r["label"]) for r in judged(sample.filter("held")).select("score", "label").collect()])  # a fifth of SAMPLE
-    if threshold is None:
-        return nothing
-    wider = found.filter("example = 0").select(*ROW_KEY, "start", "end", array_to_vector("features").alias("features"))
-    return judged(wider).filter(F.col("score") >= threshold).select(*ROW_KEY, "start", "end", "score").distinct()
+    held = judged(sample.filter("held and wider = 1")).select("form", "score", "label").collect()  # a fifth of SAMPLE
+    accepted = F.lit(False)
+    for form in range(len(FORMS)):
+        least = calibrated([(r["score"], r["label"]) for r in held if r["form"] == form])
+        if least is not None:
+            accepted = accepted | ((F.col("form") == form) & (F.col("score") >= least))
+    others = candidates.filter("example is null or example = 0").select(*ROW_KEY, "start", "end", "form", array_to_vector("features").alias("features"))
+    return sure.unionByName(judged(others).filter(accepted).select(*ROW_KEY, "start", "end", "score").distinct())
 
 
 def calibrated(held: list[tuple[float, float]]) -> float | None:
@@ -174,9 +270,9 @@ def calibrated(held: list[tuple[float, float]]) -> float | None:
 
 
 def _best(found):
-    """Candidates of one row, best first, each unless it overlaps a better one."""
+    """Candidates of one row, best first and longer before shorter, each unless it overlaps an earlier one."""
     taken: list[spans.Span] = []
-    for x in sorted(found, key=lambda x: (-x["score"], x["start"], x["end"])):
+    for x in sorted(found, key=lambda x: (-x["score"], x["start"], -x["end"])):
         if not spans.overlaps(x["start"], x["end"], taken):
             taken.append((x["start"], KINDS.index("other"), x["end"]))
     return spans.as_rows(taken)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,6 +218,48 @@ def test_personal_data(docs, empty, ws):
     assert pii.personal_spans(empty, ws).count() == 0
 
 
+def _check_digit(digits: str) -> str:
+    return digits + next(c for c in "0123456789" if pii.luhn(digits + c))
+
+
+def _personal_table(items: int) -> tuple[list[str], dict[int, str], list[int]]:
+    """Texts with base items, then planted items of other forms by row, then rows with numbers that are none."""
+    rng = random.Random(13)
+    draw = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    words = lambda: " ".join(rng.choice("lorem ipsum dolor sit amet erat".split()) for _ in range(8))
+    base = lambda i: (f"a{draw(3)}@mail{draw(1)}.example.com", f"+1 (2{draw(2)}) 555-{draw(4)}", _check_digit("4" + draw(14)))[i % 3]
+    other = lambda i: (
+        f"(3{draw(2)}) 555-{draw(4)}", f"3{draw(2)}-555-{draw(4)}", f"jo{draw(2)} (at) mail (dot) example (dot) org", f"jo{draw(2)}[at]example.net",
+        "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", ".".join(re.findall("....", _check_digit("5" + draw(14)))),
+    )[i % 7]
+    texts = [f"{words()} {base(i)} {words()}" for i in range(items)]
+    planted = {}
+    for i in range(items):
+        planted[i + items] = other(i)
+        texts.append(f"{words()} {planted[i + items]} {words()}")
+    for _ in range(items // 10):  # a card beside another number
+        card = _check_digit("4" + draw(14))
+        planted[len(texts)] = card
+        texts.append(f"{words()} 93{draw(3)} {card} {words()}")
+    none = list(range(len(texts), len(texts) + items))
+    for i in none:
+        wrong = _check_digit("7" + draw(14))
+        texts.append(f"{words()} {(wrong[:-1] + str((int(wrong[-1]) + 1) % 10), '2024-0%s-1%s' % (1 + i % 9, i % 7), '300.10.400.2', 'GB82 WEST 1234 5698 7654 33')[i % 4]} {words()}")
+    return texts, planted, none
+
+
+def _added(spark, texts, ws):
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    return {r["doc_id"]: [texts[r["doc_id"]][x["start"] : x["end"]] for x in r["spans"] if x["kind"] == 4] for r in pii.personal_spans(table, ws).collect()}
+
+
+def test_personal_data_of_other_forms_is_added(spark, ws):
+    texts, planted, none = _personal_table(210)
+    found = _added(spark, texts, ws)
+    assert [(i, found[i]) for i, item in planted.items() if found[i] != [item]] == []
+    assert sum(bool(found[i]) for i in none) <= 0.05 * len(none)
+
+
 def test_classifiers_score_every_row(spark, docs, empty, ws):
     labels = spark.createDataFrame([(i, int(i % 3 != 0), int(i == 5)) for i in range(45)] + [(None, 1, 0), (1, 0, None)], "doc_id long, quality int, toxic int")
     none = labels.limit(0)
