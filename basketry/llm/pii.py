@@ -12,7 +12,9 @@ a held-out fold: the least score from which ``PRECISION`` of its labelled candid
 examples. A form without such a score adds proven candidates only, so that examples of one form never
 outweigh the counterexamples of another. Among overlapping candidates proven ones come first, then the best score.
 
-The trees learn from a bounded sample (``SAMPLE`` candidates by hash); every candidate is scored.
+The trees learn from a bounded sample, an equal share of ``SAMPLE`` by hash for each form and label, so that no form
+crowds out another; thresholds come from all of the held-out fold's rows, as counts per bin of scores. Every
+candidate without proof is scored.
 
 Cases: null and empty texts have no spans; equal rows get equal results; null ids are kept; without both
 examples and counterexamples only proven candidates are added; undivided numbers that are no cards, and divided ones of
@@ -37,6 +39,7 @@ from basketry.workspace import Workspace
 
 KINDS = ("email", "ip", "card", "phone", "other")
 SAMPLE, PRECISION, SEED = 20_000, 0.95, 5
+FOLDS, BINS = 5, 1000  # every fifth row is held out; bins of scores
 
 # The base patterns. A digit run is entered at its first digit only, as a match that starts
 # inside a run would have started before; an address is found from its @.
@@ -238,34 +241,44 @@ def added_spans(found: DataFrame, ws: Workspace) -> DataFrame:
     found = found.filter("features is not null")  # told before the vectors are made: a base row has none
     candidates = found.filter("start is not null")
     sure = candidates.filter("example = 1").select(*ROW_KEY, "start", "end", F.lit(1.0).alias("score")).distinct()
-    order = F.xxhash64(*ROW_KEY, "start", "end", "features")
-    labelled = found.filter("example is not null")
-    sample = ws.save(labelled.select("example", "wider", "form", "features", order.alias("at")).orderBy("at").limit(SAMPLE), "candidate-sample")
-    sample = sample.select(F.col("example").cast("double").alias("label"), "wider", "form", array_to_vector("features").alias("features"), (F.pmod("at", F.lit(5)) == 0).alias("held"))
-    learned = sample.filter("not held")
-    if learned.select("label").distinct().count() < 2:
+    labelled = found.filter("example is not null").withColumn("held", F.pmod(F.xxhash64(*ROW_KEY, F.lit(SEED)), F.lit(FOLDS)) == 0)
+    learned = ws.save(sampled(labelled.filter("not held")), "candidate-sample")
+    if learned.select("example").distinct().count() < 2:
         return sure
+    learned = learned.select(F.col("example").cast("double").alias("label"), array_to_vector("features").alias("features"))
     model = GBTClassifier(maxIter=20, maxDepth=3, seed=SEED).fit(learned)
-    judged = lambda df: model.transform(df).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
-    held = judged(sample.filter("held and wider = 1")).select("form", "score", "label").collect()  # a fifth of SAMPLE
+    score = F.get(vector_to_array("probability"), F.lit(1))
+    judged = lambda df: model.transform(df.withColumn("features", array_to_vector("features"))).withColumn("score", score).withColumn("bin", F.floor(F.col("score") * BINS))
+    held = judged(labelled.filter("held and wider = 1").select("form", "example", "features"))
+    bins = held.groupBy("form", "bin").agg(F.sum("example").alias("good"), F.count(F.lit(1)).alias("all")).collect()  # forms × bins
     accepted = F.lit(False)
     for form in range(len(FORMS)):
-        least = calibrated([(r["score"], r["label"]) for r in held if r["form"] == form])
+        least = calibrated([(r["bin"], r["good"], r["all"]) for r in bins if r["form"] == form])
         if least is not None:
-            accepted = accepted | ((F.col("form") == form) & (F.col("score") >= least))
-    others = candidates.filter("example is null or example = 0").select(*ROW_KEY, "start", "end", "form", array_to_vector("features").alias("features"))
+            accepted = accepted | ((F.col("form") == form) & (F.col("bin") >= least))
+    others = candidates.filter("example is null or example = 0").select(*ROW_KEY, "start", "end", "form", "features")
     return sure.unionByName(judged(others).filter(accepted).select(*ROW_KEY, "start", "end", "score").distinct())
 
 
-def calibrated(held: list[tuple[float, float]]) -> float | None:
-    """The least score from which at least ``PRECISION`` of the held-out candidates are examples."""
-    least, good = None, 0.0
-    held = sorted(held, reverse=True)
-    for i, (score, label) in enumerate(held):
-        good += label
-        tied = i + 1 < len(held) and held[i + 1][0] == score
-        if not tied and good >= PRECISION * (i + 1):
-            least = score
+def sampled(labelled: DataFrame) -> DataFrame:
+    """About ``SAMPLE`` rows, as many of each form and label; those with fewer are whole."""
+    share = SAMPLE // (2 * len(FORMS))
+    parts = 1 << 30
+    kept = F.lit(False)
+    at = F.pmod(F.xxhash64(*ROW_KEY, "features"), F.lit(parts))
+    for r in labelled.groupBy("form", "example").count().collect():  # forms × labels
+        kept = kept | ((F.col("form") == r["form"]) & (F.col("example") == r["example"]) & (at < parts * share // max(share, r["count"])))
+    return labelled.filter(kept).select("form", "example", "features")
+
+
+def calibrated(bins: list[tuple[int, int, int]]) -> int | None:
+    """The least of (bin, examples, all) from which at least ``PRECISION`` of the candidates are examples."""
+    least, good, total = None, 0, 0
+    for at, examples, count in sorted(bins, reverse=True):
+        good += examples
+        total += count
+        if good >= PRECISION * total:
+            least = at
     return least
 
 

@@ -260,6 +260,23 @@ def test_personal_data_of_other_forms_is_added(spark, ws):
     assert sum(bool(found[i]) for i in none) <= 0.05 * len(none)
 
 
+def test_personal_data_among_many_page_numbers(spark, ws, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE", 600)  # of about 25000 labelled candidates
+    texts, planted, none = _personal_table(210)
+    rng = random.Random(4)
+    wrong = lambda: next(n for n in iter(lambda: str(rng.randrange(10**13, 10**14)), "") if not pii.luhn(n))
+    texts += ["orders: " + ", ".join(wrong() for _ in range(400)) for _ in range(60)]
+    found = _added(spark, texts, ws)
+    assert [(i, found[i]) for i, item in planted.items() if found[i] != [item]] == []
+    assert sum(bool(found[i]) for i in none) <= 0.05 * len(none)
+    assert sum(len(found[i]) for i in range(none[-1] + 1, len(texts))) == 0
+
+
+def test_threshold_is_the_least_bin_of_enough_examples():
+    assert pii.calibrated([(3, 95, 100), (9, 100, 100), (2, 10, 10), (1, 0, 40)]) == 2
+    assert pii.calibrated([(3, 0, 5)]) is None and pii.calibrated([]) is None
+
+
 def test_classifiers_score_every_row(spark, docs, empty, ws):
     labels = spark.createDataFrame([(i, int(i % 3 != 0), int(i == 5)) for i in range(45)] + [(None, 1, 0), (1, 0, None)], "doc_id long, quality int, toxic int")
     none = labels.limit(0)
