@@ -13,7 +13,8 @@ splits a fingerprint that many documents share. A bitmap of fixed size over the
 fingerprints drops nearly all document fingerprints before they move.
 
 Cases: null and empty texts have no words and no hits; equal rows get equal results; an empty benchmark
-hits nothing, an empty table returns no rows; null item ids are not counted; other columns are ignored.
+hits nothing, an empty table returns no rows; items with a null id hit like others, but the id is not counted
+among a document's items; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -163,7 +164,7 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, ws: Workspace, s
     """Every document row with its number of words, and every hit window (row key, first word, size, items)."""
     spark = docs.sparkSession
     run, schema = _benchmark_places(span, gram)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text")).filter("item is not null")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text"))
     places = ws.save(items.mapInArrow(run, schema), "benchmark-places")
     bits = spark.sparkContext.broadcast(bitmap(places, "fp", log_bits))
     sizes = sorted(r[0] for r in places.select("size").distinct().collect() if r[0] < span)  # fewer than span values
@@ -191,7 +192,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, ws: Workspace, span: in
         windows.select(*ROW_KEY, F.explode("items").alias("item")).distinct()
         .groupBy(*ROW_KEY).agg(F.array_sort(F.collect_list("item")).alias("items"))
     )
-    hits = words.join(items, ROW_KEY)
+    hits = words.join(items, ROW_KEY, "left")  # hits of null ids only have no items
     return found.filter("n_words is not null").select("doc_id", *ROW_KEY, "n_words").join(hits, ROW_KEY, "left").select(
         "doc_id", *ROW_KEY, "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),

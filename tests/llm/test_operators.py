@@ -147,6 +147,18 @@ def test_decontamination(spark, docs, empty, ws):
     assert decontamination.decontaminated(docs, benchmark, ws).columns == docs.columns
 
 
+def test_decontamination_by_items_without_id(spark, docs, ws):
+    w, v = TABLE[2][1].split(), TABLE[3][1].split()
+    items = [(None, " ".join(w[5:40])), (None, "one"), (7, " ".join(v[5:25])), (None, " ".join(v[10:40]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontamination.contamination(docs, benchmark, ws).filter("doc_id is not null").collect()}
+    wanted = {d: n_hit for d, _, n_hit, _, _ in brute.contamination(PLAIN, items)}
+    assert all(found[d][0] == wanted[d] for d in found)
+    assert found[2] == (35, []) and found[3] == (35, ["7"])
+    kept = decontamination.decontaminated(docs, benchmark, ws)
+    assert rows(kept, "doc_id") == sorted(((d,) for d, _ in PLAIN if not wanted[d]), key=repr)
+
+
 @pytest.mark.parametrize(("words", "share"), [(3, 90), (5, 80)])
 def test_near_duplicates(docs, empty, ws, words, share):
     similarity = near_duplicates.Similarity(words, share)
