@@ -3,7 +3,7 @@
 Words become classes (insult, threat, target, negation, report, quote), and clauses run through composed
 transducers: negation and reported speech rewrite insults and threats that they govern, a target shortly
 before one binds it, and the last machine sums weights per kind of matched clause. Documents are
-scored on these sums, not on isolated words.
+scored on these sums and on the share of plain and bound matches, not on isolated words.
 
 Learned from a bounded sample (up to ``PER_CLASS`` documents of each class outside the held-out fold): the
 insult lexicon, words and word beginnings by log odds, and the weights of the kinds, by a logistic
@@ -151,7 +151,7 @@ class Lexicon:
 
 
 def matched(text: str, lexicon: Lexicon, machine: Composed, own: int | None = None) -> list[float]:
-    """Per kind, the log of 1 plus the sum of matched clause weights; then the log of 1 plus matches per 100 words."""
+    """Per kind, the log of 1 plus the sum of matched clause weights; then the log of 1 plus plain and bound insults per 100 words."""
     sums = dict.fromkeys(KINDS, 0.0)
     state, words, hits = START, 0, 0
     for token in TOKEN.findall(text.lower()):
@@ -169,7 +169,7 @@ def matched(text: str, lexicon: Lexicon, machine: Composed, own: int | None = No
         state, out, factor = machine.step(state, symbol)
         if symbol in ("insult", "threat"):
             sums["plain" if out == "insult" else out] += weight * factor
-            hits += symbol == "insult"
+            hits += out in ("insult", "bound")
     return [math.log1p(sums[k]) for k in KINDS] + [math.log1p(100.0 * hits / max(words, 1))]
 
 

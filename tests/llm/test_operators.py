@@ -310,6 +310,13 @@ def test_grammar_rewrites_governed_matches():
     assert kinds("we kill you. you we will kill") == ["threat"] and kinds("not. an idiot") == ["plain"]
 
 
+def test_density_counts_matches_by_output():
+    lexicon = toxicity.Lexicon({"idiot": (100, 0)}, 100, 100)
+    density = lambda text: toxicity.matched(text, lexicon, toxicity.grammar())[-1]
+    assert density("you are not an idiot") == 0 and density('the word "idiot" is') == 0
+    assert density("you are an idiot") > 0 and density("an idiot there") > 0
+
+
 def test_pipeline_stages_keep_the_columns(spark, docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "near_duplicates", "decontamination", "mixing", "sharding"]
     assert corpus_pipeline.shard(spark, docs, "").columns == [*docs.columns, "shard"]
