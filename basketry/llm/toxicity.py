@@ -6,7 +6,7 @@ before one binds it, and the last machine sums weights per kind of matched claus
 scored on these sums and on the share of plain and bound matches, not on isolated words.
 
 Learned from a bounded sample (up to ``PER_CLASS`` documents of each class outside the held-out fold): the
-insult lexicon, words and word beginnings by log odds, and the weights of the kinds, by a logistic
+insult lexicon, words of any length and word beginnings by log odds, bounded by support and odds alone, and the weights of the kinds, by a logistic
 model; in training, a document's own share is taken out of the lexicon's counts. Closed classes are
 fixed lists. Scores use the text alone and cover whole texts.
 
@@ -36,7 +36,7 @@ from basketry.workspace import Workspace
 FOLDS, HELD_OUT = 3, 1
 PER_CLASS = 3000
 SHORTEST, LONGEST = 4, 8  # letters of word beginnings
-LEAST_DOCS, LEAST_ODDS, MOST_UNITS = 4, 2.0, 2000
+LEAST_DOCS, LEAST_ODDS = 4, 2.0
 SURE = 1.4  # standard errors by which log odds must exceed LEAST_ODDS
 
 # Closed word classes in English, German, French and Spanish.
@@ -179,7 +179,7 @@ def _document_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for b in batches:
         counts: dict[str, list[int]] = {}
         for text, label in zip(plain(b.column(0)), plain(b.column(1)), strict=True):
-            for u in {u for w in set(TOKEN.findall((text.as_py() or "").lower())) if len(w) >= SHORTEST for u in units(w)}:
+            for u in {u for w in set(TOKEN.findall((text.as_py() or "").lower())) if w[0].isalpha() for u in units(w)}:
                 counts.setdefault(u, [0, 0])[0 if label.as_py() else 1] += 1
         if counts:
             toxic, clean = zip(*counts.values(), strict=True)
@@ -197,7 +197,7 @@ def learn_lexicon(training: DataFrame) -> Lexicon:
     counts = counts.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    counts = counts.filter((F.col("toxic") >= LEAST_DOCS) & (odds - SURE * error >= LEAST_ODDS)).orderBy(F.desc("toxic"), "unit").limit(MOST_UNITS)
+    counts = counts.filter((F.col("toxic") >= LEAST_DOCS) & (odds - SURE * error >= LEAST_ODDS))  # of a bounded sample
     table = Lexicon({}, toxic, clean)
     kept: dict[str, tuple[int, int]] = {}
     for r in sorted(counts.collect(), key=lambda r: (len(r["unit"].rstrip("*")), not r["unit"].endswith("*"), r["unit"])):

@@ -317,6 +317,15 @@ def test_density_counts_matches_by_output():
     assert density("you are an idiot") > 0 and density("an idiot there") > 0
 
 
+def test_lexicon_takes_short_and_rare_words(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rare = [f"{a}{b}{c}{a}{c}{b}{b}{a}q" for a in letters for b in letters[:20] for c in "xyz"]  # 1560 words of six units, and each in four documents
+    texts = [(" ".join(rare[i : i + 40]) + " zut", 1) for i in range(0, len(rare), 40) for _ in range(4)] + [("zut", 1)] * 50 + [("calm words here", 0)] * 2000
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(texts, "text string, label int").repartition(3))
+    assert lexicon.weight("zut") > 0
+    assert all(lexicon.weight(w) > 0 for w in rare)
+
+
 def test_pipeline_stages_keep_the_columns(spark, docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "near_duplicates", "decontamination", "mixing", "sharding"]
     assert corpus_pipeline.shard(spark, docs, "").columns == [*docs.columns, "shard"]
