@@ -24,6 +24,7 @@ Patterns are matched in linear time.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -67,7 +68,7 @@ CUES = {
     "person": ("name", "born", "ssn", "passport", "mail", "contact", "address", "adresse", "nombre"),
     "other": ("version", "isbn", "page", "figure", "chapter", "§", "no.", "nr."),
 }
-BEFORE = 40
+BEFORE, LONGEST = 40, 64
 SPELLED_AT, SPELLED_DOT = re.compile(r"\x20?(?:\(at\)|\[at\])\x20?"), re.compile(r"\x20?(?:\(dot\)|\[dot\])\x20?")
 ADDRESS = re.compile(rf"[A-Za-z0-9._%+-]+@{DOMAIN.pattern}")
 FORMS = ("address", "account", "run", "card", "dotted", "phone", "number")
@@ -175,12 +176,34 @@ def _inner(text: str, match: re.Match[str]) -> Iterator[tuple[int, int]]:
                 yield match.start() + groups[i][0], match.start() + groups[i + len(sought) - 1][1]
 
 
+def _parts(match: re.Match[str]) -> Iterator[tuple[int, int]]:
+    """Of a number that is too long for one item: words of 9 digits or more, and stretches of up to 5 other groups with 9 to 19 digits."""
+    words = [(m.span(), sum(c.isdigit() for c in m[0]) >= 9) for m in re.finditer(r"[^\x20]+", match[0])]
+    runs = [list(run) for _, run in itertools.groupby(enumerate(words), lambda x: x[0] if x[1][1] else -1)]
+    for run in runs:
+        low, high = run[0][1][0][0], run[-1][1][0][1]
+        if run[0][1][1] and high - low <= LONGEST:
+            yield match.start() + low, match.start() + high
+            continue
+        groups = [(low + m.start(), low + m.end()) for m in re.finditer(r"\(?[0-9]+", match[0][low:high])]
+        for i in range(len(groups)):
+            digits = 0
+            for s, e in groups[i : i + 5]:
+                digits += sum(c.isdigit() for c in match[0][s:e]) if e - s <= 20 else 20
+                if digits > 19:
+                    break
+                if digits >= 9:
+                    yield match.start() + groups[i][0], match.start() + e
+
+
 def candidate_spans(text: str) -> set[tuple[int, int]]:
     out = set()
     for g in GENERATORS:
         for m in g.finditer(text):
-            if m.end() - m.start() <= 64:
-                out.add(m.span())
+            if m.end() - m.start() <= LONGEST or SPELLED_AT.search(m[0]):
+                out.add(m.span())  # a spelled-out address is bounded by its pattern
+            else:
+                out.update(_parts(m))
             out.update(x for x in _inner(text, m) if checked(text, *x)[1])
     return {(s, e) for s, e in out if e - s >= 7}
 

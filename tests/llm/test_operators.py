@@ -284,6 +284,16 @@ def test_personal_data_among_many_page_numbers(spark, ws, monkeypatch):
     assert sum(len(found[i]) for i in range(none[-1] + 1, len(texts))) == 0
 
 
+def test_personal_data_in_overlong_matches(spark, ws):
+    texts, planted, _ = _personal_table(210)
+    rng = random.Random(6)
+    phones = [f"3{rng.randrange(10, 99)}-555-{rng.randrange(1000, 9999)}" for _ in range(8)]
+    address = f"{'jo.' * 20}doe (at) mail (dot) {'example-' * 4}x (dot) org"
+    texts += [f"see {' '.join(phones)} here", f"see {address} here"]
+    found = _added(spark, texts, ws)
+    assert found[len(texts) - 2] == phones and found[len(texts) - 1] == [address]
+
+
 def test_threshold_is_the_least_bin_of_enough_examples():
     assert pii.calibrated([(3, 95, 100), (9, 100, 100), (2, 10, 10), (1, 0, 40)]) == 2
     assert pii.calibrated([(3, 0, 5)]) is None and pii.calibrated([]) is None
