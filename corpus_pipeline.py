@@ -54,7 +54,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("sharding", shard),
 ]
 
-#: SQL can express neither the classifier's fit nor the components; tests compare stages with plain Python.
+#: SQL can express neither the classifier's fit nor the components; a test compares a run with plain Python, given its scores and mix.
 ORACLE_SQL: str | None = None
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from basketry.llm import decontamination, line_dedup, mixing, near_duplicates, pii, quality_rules, rule_ensemble, secrets, sharding, toxicity
+from basketry.llm import decontamination, line_dedup, mixing, near_duplicates, pii, quality_rules, queries, rule_ensemble, secrets, sharding, toxicity
 from basketry.llm.rows import identified
 from basketry.workspace import Workspace
 from tests.llm import brute
@@ -336,6 +336,43 @@ def test_lexicon_takes_short_and_rare_words(spark):
     assert all(lexicon.weight(w) > 0 for w in rare)
 
 
+def test_digests_and_spans_against_brute_force(docs, ws):
+    for operator, kinds, wanted in ((secrets.secret_spans, secrets.KINDS, brute.secrets(PLAIN)), (pii.personal_spans, pii.KINDS, brute.personal(PLAIN))):
+        base = len(wanted[0]) - 2
+        found = queries._digests(operator(docs, ws), kinds, base)
+        assert rows(found.drop("spans"), "*") == sorted(wanted, key=repr)
+        texts = dict(PLAIN)
+        for r in found.filter("doc_id is not null").collect():
+            own = [x.split(":") for x in r["spans"].split(",") if x]
+            assert own == sorted(own, key=lambda x: int(x[1])) and all(0 <= int(s) < int(e) <= len(texts[r["doc_id"]]) for _, s, e in own)
+            for k in range(base):
+                assert sum(x[0] == kinds[k] for x in own) == r[f"n_{kinds[k]}"]
+
+
+def test_pipeline_run_against_brute_force(spark, docs, tmp_path):
+    table = docs.filter("doc_id is not null").dropDuplicates(["doc_id"]).drop("row_a", "_row", "size", "score")
+    w = TABLE[2][1].split()
+    items = [(1, " ".join(w[5:40])), (None, " ".join(TABLE[3][1].split()[:15]))]
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    labels = spark.createDataFrame([(i, int(i < 42), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    read = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    with Workspace(spark) as ws:
+        scores = rule_ensemble.quality_scores(read, labels, ws).collect()
+        good = {r["doc_id"] for r in scores if r["score"] >= queries.CERTAIN}
+        plain = [(r["doc_id"], r["text"]) for r in read.collect() if r["doc_id"] in good]
+        first = {c for _, _, c in brute.jaccard_components(plain, 5, 80)}
+        clean = {d for d, _, n_hit, _, _ in brute.contamination([p for p in plain if p[0] in first], items) if not n_hit}
+        taken = mixing.mixed(read.filter(F.col("doc_id").isin(clean)), ws).collect()
+        wanted = sorted(r["doc_id"] for r in taken for _ in range(r["epochs"] + r["chosen"]))
+        shards = {r["doc_id"]: r["shard"] for r in sharding.assign_shards(read, corpus_pipeline.SHARDS, ws).collect()}
+        found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert 0 < len(clean) < len(first) < len(good)
+    assert sorted(r["doc_id"] for r in found) == wanted
+    assert all(r["shard"] == shards[r["doc_id"]] for r in found)
+
+
 def test_pipeline_stages_keep_the_columns(spark, docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "near_duplicates", "decontamination", "mixing", "sharding"]
     assert corpus_pipeline.shard(spark, docs, "").columns == [*docs.columns, "shard"]
