@@ -108,8 +108,88 @@ with rows as (
 select doc_id, size, source_size, target, (size * (epochs + chosen::bigint))::bigint as taken, source, epochs, chosen from chosen
 """
 
+FACTORS = [pow(48271, r + 1, (1 << 31) - 1) for r in range(16)]
+
+OP11 = rf"""
+with docs as (
+  select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n_chars from documents
+), followed as (
+  select *, coalesce(lead(text) over o, first_value(text) over o) as following from docs window o as (order by doc_id nulls first)
+), changed as (
+  select *, text[1:n_chars - n_chars // 4] || following[1:n_chars // 4] as edited from followed
+), versions as (
+  select doc_id, 0 as version, text from changed union all select doc_id, 1, edited from changed
+), worded as (
+  select doc_id, version, list_filter(regexp_split_to_array(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from versions
+), occurring as (
+  select distinct doc_id, version, unnest(w) as term from worded
+), lexicon as (
+  select term, ('0x' || md5(term)[1:15])::bigint % 2147483646 + 1 as code
+  from (select term, count(*) as df from occurring where version = 0 group by term), (select count(*) as n from docs)
+  where df * 16 <= n and df * 2048 >= n and df >= 2
+), coded as (
+  select doc_id, version, list(code) as codes from occurring join lexicon using (term) group by doc_id, version
+), chains as (
+  select doc_id, version, codes, unnest(range(1, 17)) as r, unnest({FACTORS}::bigint[]) as f from coded
+), limited as (
+  select doc_id, version, r, list_transform(codes, lambda c: {{'c': c, 'v': c * f % 2147483647}}) as codes,
+    1::bigint << length(bin(list_min(list_transform(codes, lambda c: c * f % 2147483647))))::bigint as below from chains
+), parts as (
+  select doc_id, version,
+    string_agg(md5(array_to_string(list_sort(list_transform(list_filter(codes, lambda x: x.v < below), lambda x: x.c)), ' '))[1:8], '-' order by r) as chained
+  from limited group by doc_id, version
+), printed as (
+  select doc_id, version, case when codes is not null then md5(array_to_string(list_sort(codes), ' '))[1:16] || '-' || chained
+    else array_to_string(list_prepend(whole[1:16], list_transform(range(16), lambda i: whole[1:8])), '-') end as fingerprint
+  from (select *, case when codes is null
+      then md5(array_to_string(list_filter(w, lambda x, i: list_position(w, x) = i), ' ')) end as whole
+    from worded left join coded using (doc_id, version)) left join parts using (doc_id, version)
+), paired as (
+  select c.doc_id, c.n_chars::bigint as n_chars, sha256(c.edited) as edited_sha256, a.fingerprint, b.fingerprint as edited_fingerprint
+  from changed c join printed a on a.doc_id = c.doc_id and a.version = 0 join printed b on b.doc_id = c.doc_id and b.version = 1
+), after as (
+  select *, coalesce(lead(fingerprint) over o, first_value(fingerprint) over o) as next_fingerprint from paired window o as (order by doc_id nulls first)
+)
+select doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+  len(list_filter(list_zip(string_split(fingerprint, '-'), string_split(edited_fingerprint, '-')), lambda z: z[1] = z[2]))::double / 17 as near_edited,
+  len(list_filter(list_zip(string_split(fingerprint, '-'), string_split(next_fingerprint, '-')), lambda z: z[1] = z[2]))::double / 17 as near_next
+from after
+"""
+
+
+def _round(k: int) -> str:
+    """The nearest centroid of each vector in round ``k``, and the centroids after it."""
+    return f"""
+), d{k} as (
+  select r, cluster, list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as distance from kept v, c{k} c
+), a{k} as (
+  select r, arg_min(cluster, (distance, cluster)) as cluster, min(distance) as distance from d{k} group by r
+), s{k} as (
+  select cluster, i, sum(x)::bigint as s, count(*) as n
+  from (select cluster, unnest(range(1, 65)) as i, unnest(x) as x from a{k} join kept using (r)) group by cluster, i
+), m{k} as (
+  select cluster, list((s - ((s % n) + n) % n) // n order by i) as x from s{k} group by cluster
+), c{k + 1} as (
+  select cluster, coalesce(m.x, c.x) as x from c{k} c left join m{k} m using (cluster)"""
+
+
+OP13 = f"""
+with kept as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda e: floor(64 * e::double)::bigint) as x
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64
+), c0 as (
+  select row_number() over (order by draw) - 1 as cluster, x
+  from (select sha256('1:' || vec_id::varchar) as draw, x from kept order by draw nulls last limit 16){"".join(_round(k) for k in range(4))}
+)
+select vec_id, cluster::integer as cluster, distance, sum(distance) over (partition by cluster)::bigint as cluster_inertia,
+  sum(distance) over ()::bigint as inertia, sha256(array_to_string(c3.x, ',')) as centroid_sha256
+from a3 join kept using (r) join c3 using (cluster)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op2_jump_sharding": OP2,
     "op3_source_mixing": OP3,
+    "op11_document_fingerprints": OP11,
+    "op13_centroid_clustering": OP13,
 }

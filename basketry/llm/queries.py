@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.decontamination import contamination
-from basketry.llm import pii, rule_ensemble, secrets, spans, toxicity
+from basketry.llm import clustering, imatch, pii, rule_ensemble, secrets, spans, toxicity, whitening
 from basketry.llm.labelled import fold
 from basketry.llm.line_dedup import deduplicated
 from basketry.llm.mixing import mixed
@@ -106,6 +106,18 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return _digests(pii.personal_spans(read(spark, folder, "documents"), workspace(spark)), pii.KINDS, 4)
 
 
+def op11_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.edited_fingerprints(read(spark, folder, "documents"), workspace(spark))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(read(spark, folder, "embeddings"), workspace(spark))
+
+
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return clustering.clustered(read(spark, folder, "embeddings"), workspace(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jump_sharding": op2_jump_sharding,
@@ -117,4 +129,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_line_dedup": op9_line_dedup,
     "op10_personal_data": op10_personal_data,
+    "op11_document_fingerprints": op11_document_fingerprints,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
