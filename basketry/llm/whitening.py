@@ -8,7 +8,7 @@ the eigenvalues of V and the normalised columns its eigenvectors. Both work in e
 
 Cases: rows whose vector is null, empty or holds null or non-finite entries are left out; so are those that have
 another length than most (at equal numbers the longer length stays). Entries are floor(scale * c) + offset, and stop
-at 2^40. A null id stays null; equal rows are all returned. Directions without variance have no component, so equal
+at 2^40. A null id stays null; equal rows are all returned. Directions without variance (under 10^-14 of the largest) have no component, so equal
 vectors, or a single one, give no rows. A deviation beyond a long is null. An empty table gives no rows.
 """
 
@@ -156,14 +156,19 @@ def orthogonal_columns(factor: np.ndarray) -> np.ndarray:
     return g
 
 
+def _precise(value: Fraction) -> np.longdouble:
+    high = float(value)
+    return PRECISE(high) + PRECISE(float(value - Fraction(high)))
+
+
 def components(found: Moments, most: int = COMPONENTS) -> Components:
     """Up to ``most`` components; the largest entry of each is positive."""
     size, square = len(found.sums), found.n * found.n
-    covariance = np.array([[float(Fraction(int(v), square)) for v in row] for row in found.scatter]).reshape(size, size)
+    covariance = np.array([[_precise(Fraction(int(v), square)) for v in row] for row in found.scatter], PRECISE).reshape(size, size)
     trace = float(Fraction(sum(int(found.scatter[i, i]) for i in range(size)), square))
     g = orthogonal_columns(pivoted_factor(covariance))
     values = (g * g).sum(0)
-    order = np.argsort(-values, kind="stable")[:most]
+    order = np.argsort(-values.astype(np.float64), kind="stable")[:most]
     vectors = g[:, order] / np.sqrt(values[order])
     vectors = vectors * np.where(vectors[np.argmax(np.abs(vectors), axis=0), np.arange(len(order))] < 0, -1, 1) if len(order) else vectors
     values = values[order].astype(np.float64)
