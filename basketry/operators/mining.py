@@ -13,6 +13,11 @@ of the ``child`` node they make, its ``path`` of items, and the extensions with
 Items are numbered per country from rarest to most frequent. A path then starts with its rarest
 item, so the item a third of all orders hold comes last and leads no states of its own.
 
+``vertical`` and ``fpgrowth`` take levels only for what is large. A state's item that at most ``local_rows``
+orders hold with its node goes, with all its tails, to one task that finds everything below at once
+(``operators.growth``); the levels go on with the others. In sparse countries pairs are counted first, which cuts
+most tails. ``levelwise`` takes levels for all.
+
 Sizes. A country has at most ``mean basket size / min_support`` frequent items, and likewise
 ``mean number of k-subsets / min_support`` frequent k-itemsets, however many orders it has: these
 tables stay small as the data grows. Whether one is broadcast is Catalyst's decision from the size
@@ -27,8 +32,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators.baskets import basket_counts, with_min_count
-from basketry.operators.fpgrowth import fpgrowth_itemsets
+from basketry.operators.baskets import with_min_count
+from basketry.operators.growth import MINERS, grown_below
 from basketry.params import MiningParams
 from basketry.workspace import Workspace
 
@@ -50,16 +55,10 @@ def frequent_itemsets(
     ``items`` is sorted. The result is a table in the workspace.
     """
     workspace = workspace or Workspace(carts.sparkSession)
-    fpgrowth = params.algorithm == "fpgrowth"
-    if fpgrowth:
-        # Sorted files let each country's fit skip the pages of the others.
-        carts = workspace.save(carts.sortWithinPartitions("country_id"), "baskets")
-        wanted = basket_counts(carts, params)
-    else:
-        carts = workspace.save(carts, "baskets")
-        counts = workspace.save(item_counts(carts), "item-counts")
-        everything = counts.filter("gtin is null").select("country_id", F.col("n").alias("n_baskets"))
-        wanted = with_min_count(everything, params)
+    carts = workspace.save(carts, "baskets")
+    counts = workspace.save(item_counts(carts), "item-counts")
+    everything = counts.filter("gtin is null").select("country_id", F.col("n").alias("n_baskets"))
+    wanted = with_min_count(everything, params)
     totals, least = workspace.save_measured(
         wanted.withColumn("child", F.monotonically_increasing_id()),
         "totals",
@@ -67,10 +66,7 @@ def frequent_itemsets(
     )
     if least["min_count"] == 1 and params.max_len is None:
         log.warning(BLOW_UP)
-    if fpgrowth:
-        sets = fpgrowth_itemsets(carts, totals, params)
-    else:
-        sets = levelwise_itemsets(carts, counts, totals, params, workspace)
+    sets = grown_itemsets(carts, counts, totals, params, workspace)
     return workspace.save(
         sets.join(totals, "country_id").select(
             "country_id",
@@ -84,51 +80,86 @@ def frequent_itemsets(
     )
 
 
-def levelwise_itemsets(
+def grown_itemsets(
     carts: DataFrame,
     counts: DataFrame,
     totals: DataFrame,
     params: MiningParams,
     workspace: Workspace,
 ) -> DataFrame:
-    """(country_id, items, n) of the baskets, level by level."""
-    items = workspace.save(frequent_items(counts, totals), "items")
+    """(country_id, items, n) of the baskets; levels for what is large, one task per node and item for the rest."""
+    items, seen = workspace.save_measured(
+        frequent_items(counts, totals),
+        "items",
+        dense=F.count_if(F.col("dense")),
+        large=F.count_if(F.col("dense") & (F.col("n") > params.local_rows)),
+        sparse=F.count_if(~F.col("dense")),
+    )
     singles = items.select("country_id", F.array("gtin").alias("items"), "n")
     if params.max_len == 1:
         return singles
     coded, widest = workspace.save_measured(
         coded_baskets(carts, items), "coded", size=F.max(F.size("ids"))
     )
+    miner, limit = MINERS.get(params.algorithm), params.local_rows
     level, wide = roots(totals), None
     if (widest["size"] or 0) > params.wide_basket:
+        miner = None  # their orders are added level by level
         level = roots(workspace.save(wide_limits(coded, totals, params), "limits"))
         wide = WideBaskets(at_roots(coded, level).filter(F.size("ids") > F.col("widest")), workspace)
         known = at_roots(coded, level).filter(F.size("ids") <= F.col("widest"))
     else:
+        level = workspace.save(with_large(level, items, limit), "roots") if miner else level
         known = at_roots(coded, level)
-    states = split_tails(known.select("node", F.col("ids").alias("tail"), "weight", "least"))
-    levels: list[DataFrame] = []
-    while True:
-        size = len(levels) + 2
+    known = known.withColumnRenamed("ids", "tail")
+    found: list[DataFrame] = []
+
+    def finished(states: DataFrame, level: DataFrame, size: int) -> DataFrame:
+        """The other states, once the sets below the local ones are found."""
+        most = None if params.max_len is None else params.max_len - size
+        nodes = level.select(F.col("child").alias("node"), "country_id", "path")
+        below = grown_below(states.filter("local"), MINERS[params.algorithm], most).join(nodes, "node")
+        ids = F.concat("path", F.array("item"), "suffix")
+        found.append(workspace.save(below.select("country_id", ids.alias("ids"), "n"), f"below-{size}"))
+        return states.filter("not local").drop("local")
+
+    if miner:
+        dense, parts = known.filter("large is not null"), []
+        if seen["dense"]:
+            others = finished(split_tails(dense), level, 1)
+        if seen["large"]:
+            parts.append(others)
+        if seen["sparse"]:
+            parts.append(split_tails(known.filter("large is null").drop("large")))
+    else:
+        parts = [split_tails(known)]
+    size = 1
+    while parts:
+        states = reduce(DataFrame.unionByName, parts)
+        size += 1
         counts = extension_counts(states)
         if wide:
             counts = wide.add_to(counts)
-        level, found = workspace.save_measured(
+        level, kept = workspace.save_measured(
             next_level(counts, level), f"level-{size}", rows=F.count("*")
         )
-        if not found["rows"]:
+        if not kept["rows"]:
             break
-        levels.append(level)
+        found.append(level.select("country_id", "path", F.inline("extensions")).select(
+            "country_id", F.concat("path", F.array("next")).alias("ids"), "n"))
         if size == params.max_len:
             break
-        states, left = workspace.save_measured(
-            next_states(states, level), f"states-{size}", rows=F.count("*")
-        )
+        more = next_states(states, level, limit if miner else None)
+        going = F.count_if(~F.col("local")) if miner else F.count("*")
+        states, left = workspace.save_measured(more, f"states-{size}", rows=going)
+        if miner:
+            states = finished(states, level, size)
         if wide:
             wide.descend(level)
         elif not left["rows"]:
             break
-    return reduce(DataFrame.unionByName, [decoded(level, items) for level in levels], singles)
+        parts = [states]
+    return decoded(reduce(DataFrame.unionByName, found), items).unionByName(singles) if found else singles
 
 
 def item_counts(carts: DataFrame) -> DataFrame:
@@ -142,13 +173,18 @@ def item_counts(carts: DataFrame) -> DataFrame:
 
 
 def frequent_items(counts: DataFrame, totals: DataFrame) -> DataFrame:
-    """(country_id, gtin, id, n) with ids from the rarest item of a country to its most frequent."""
-    rarest_first = Window.partitionBy("country_id").orderBy("n", "gtin")
+    """(country_id, gtin, id, n, dense) with ids from the rarest item of a country to its most frequent.
+
+    In a ``dense`` country a pair of its items is frequent on average, so that counting pairs would prune little.
+    """
+    country = Window.partitionBy("country_id")
+    rarest_first = country.orderBy("n", "gtin")
+    dense = F.pow(F.avg("n").over(country), F.lit(2)) >= F.col("n_baskets") * F.col("min_count")
     return (
         counts.filter("gtin is not null")
         .join(totals, "country_id")
         .filter("n >= min_count")
-        .select("country_id", "gtin", F.row_number().over(rarest_first).alias("id"), "n")
+        .select("country_id", "gtin", F.row_number().over(rarest_first).alias("id"), "n", dense.alias("dense"))
     )
 
 
@@ -178,17 +214,27 @@ def roots(countries: DataFrame) -> DataFrame:
     return countries.withColumn("path", F.array().cast("array<int>"))
 
 
+def with_large(roots: DataFrame, items: DataFrame, limit: int) -> DataFrame:
+    """``roots`` with the ids of the country's items that more than ``limit`` orders hold; null if all are to go on."""
+    above = F.collect_list(F.when(F.col("n") > limit, F.col("id")))
+    large = items.groupBy("country_id", "dense").agg(above.alias("large"))
+    large = large.select("country_id", F.when(F.col("dense"), F.col("large")).alias("large"))
+    return roots.join(large, "country_id", "left")
+
+
 def at_roots(coded: DataFrame, roots: DataFrame) -> DataFrame:
     """The baskets with the node of their country."""
     return coded.join(roots.drop("path").withColumnRenamed("child", "node"), "country_id")
 
 
 def split_tails(tails: DataFrame) -> DataFrame:
-    """For each item of a tail with more behind it: the state of that item."""
+    """For each item of a tail with more behind it: the state of that item; ``local`` if it is not among the ``large``."""
+    large = [c for c in tails.columns if c == "large"]
+    local = [F.coalesce(~F.array_contains("large", F.col("item")), F.lit(False)).alias("local") for _ in large]
     return (
         # Without "outer" Spark would work the tail out again to filter empty ones before the explode.
         tails.select(
-            "node", "tail", "weight", "least", F.posexplode_outer("tail").alias("place", "item")
+            "node", "tail", "weight", "least", *large, F.posexplode_outer("tail").alias("place", "item")
         )
         .filter(F.col("place") < F.size("tail") - 1)
         .select(
@@ -197,6 +243,7 @@ def split_tails(tails: DataFrame) -> DataFrame:
             F.slice("tail", F.col("place") + 2, F.size("tail")).alias("tail"),
             "weight",
             "least",
+            *local,
         )
     )
 
@@ -235,31 +282,30 @@ def next_level(counts: DataFrame, above: DataFrame) -> DataFrame:
     )
 
 
-def next_states(states: DataFrame, level: DataFrame) -> DataFrame:
-    """The states of the level's nodes.
+def next_states(states: DataFrame, level: DataFrame, limit: int | None = None) -> DataFrame:
+    """The states of the level's nodes; with a ``limit``, those of extensions up to it are ``local``.
 
     The intersection keeps the order of its first array, sorted like the tails, and hashes the second,
     which is the shorter one.
     """
-    nodes = level.select(*PREFIX, "child", F.col("extensions.next").alias("kept"))
+    of = lambda sets: F.transform(sets, lambda e: e["next"])
+    large = [] if limit is None else [of(F.filter("extensions", lambda e: e["n"] > limit)).alias("large")]
+    nodes = level.select(*PREFIX, "child", F.col("extensions.next").alias("kept"), *large)
     tails = states.join(nodes, list(PREFIX)).select(
-        F.col("child").alias("node"), F.array_intersect("kept", "tail").alias("tail"), "weight", "least"
-    )
-    return (
-        split_tails(tails)
-        .groupBy("node", "item", "tail", "least")
-        .agg(F.sum("weight").alias("weight"))
+        F.col("child").alias("node"), F.array_intersect("kept", "tail").alias("tail"), "weight", "least", *["large" for _ in large]
     )
+    split = split_tails(tails)
+    keys = [c for c in split.columns if c != "weight"]
+    return split.groupBy(*keys).agg(F.sum("weight").alias("weight"))
 
 
-def decoded(level: DataFrame, items: DataFrame) -> DataFrame:
-    """(country_id, items, n): the level's itemsets, of codes again."""
+def decoded(sets: DataFrame, items: DataFrame) -> DataFrame:
+    """(country_id, items, n): the sets (country_id, ids, n), of codes again."""
     return (
-        level.select("country_id", "path", F.inline("extensions"))
-        .select("country_id", F.concat("path", F.array("next")).alias("ids"), "n")
-        .select("country_id", "ids", "n", F.explode("ids").alias("id"))
+        sets.withColumn("row", F.monotonically_increasing_id())
+        .select("row", "country_id", "n", F.explode("ids").alias("id"))
         .join(items.select("country_id", "id", "gtin"), ["country_id", "id"])
-        .groupBy("country_id", "ids", "n")
+        .groupBy("row", "country_id", "n")
         .agg(F.sort_array(F.collect_list("gtin")).alias("items"))
         .select("country_id", "items", "n")
     )

@@ -1,72 +1,165 @@
-"""Association rules, and the item-to-item pairs made of them."""
+"""Association rules, and the item-to-item pairs made of them.
+
+Itemsets get numbers, and a table tells for each itemset and item the number of the itemset without that item. Read
+downwards it is a lattice, and where the item is the last one, a trie. Rules grow along it: a rule with one item on
+the right comes from a row of the table; the next ones move an item from left to right, which is one step down for the
+left side and one step along the trie for the right side. Items move in rising order, so every split is made once.
+All these joins are on numbers.
+
+A split is followed no further when no split that comes of it can reach the threshold: the left side loses items, so its
+count only rises, and the right side's count is never below the least of the itemset's largest subsets. The metric with
+these two counts is a bound, in doubles too, since each step of its computation is monotonic. For confidence this is
+the rule that a failing consequent takes its supersets with it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import logging
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.metrics import METRICS
+from basketry.functions.metrics import METRICS, reaches
 from basketry.params import METRIC, MIN_THRESHOLD
+from basketry.workspace import Workspace
+
+log = logging.getLogger(__name__)
 
-BITS = 12  # of a mask that one step adds: no row holds more than 2^12 values
-STEPS = 5
 PAIR_COLUMNS = ("country_id", "antecedents", "consequents", "support", "confidence", "lift")
+COUNTS = ("n", "n_a", "n_c", "n_baskets")
+
+
+@dataclass(frozen=True)
+class Lattice:
+    """Itemsets by number.
+
+    ``named``: (number, country_id, items, n, n_baskets). ``sets``: (number, ids), the sorted numbers of its single items.
+    ``below``: (number, item, rest, n, n_rest, n_item, n_baskets, last): the itemset without one item, and whether that
+    is the last of its ids. ``size``: items of the largest.
+    """
+
+    named: DataFrame
+    sets: DataFrame
+    below: DataFrame
+    size: int
 
 
-def split_rules(itemsets: DataFrame) -> DataFrame:
-    """Every way to split every itemset into an antecedent and a consequent, with the counts.
+@dataclass(frozen=True)
+class Splits:
+    """``rules``: (antecedent, consequent, n, n_a, n_c, n_baskets) by numbers; ``made``: splits looked at, by items on the right."""
 
-    The bits of a long from 1 to 2^size - 2 tell the sides apart; it is made in steps of 12 bits, so
-    that no row holds all splits of a long itemset. Both sides are frequent themselves, so joins with the
-    itemsets find their counts. An itemset of more than 60 items would come with 2^60 others.
+    rules: DataFrame
+    made: list[int]
+
+
+def lattice(itemsets: DataFrame, ws: Workspace) -> Lattice:
+    """Number the itemsets, and find each one's subsets with one item less.
+
+    A subset is found by a hash of its ids and told by the ids, so a hash that two sets share does no harm.
     """
-    power = lambda bits: F.call_function("shiftleft", F.lit(1).cast("long"), bits.cast("int"))
-    splits = itemsets.filter(F.col("number_of_items") > 1).withColumn("mask", F.lit(0).cast("long"))
-    # High bits first: all steps but the last see a row per itemset where itemsets are short.
-    for low in reversed(range(0, BITS * STEPS, BITS)):
-        bits = F.greatest(F.lit(0), F.least(F.lit(BITS), F.col("number_of_items") - low))
-        # Outer: the array is never empty, and Spark then adds no filter that evaluates it again.
-        splits = splits.withColumn("part", F.explode_outer(F.sequence(F.lit(0).cast("long"), power(bits) - 1)))
-        splits = splits.withColumn("mask", F.col("mask") + F.call_function("shiftleft", F.col("part"), F.lit(low))).drop("part")
-    sides = F.struct(_side(1).alias("antecedents"), _side(0).alias("consequents"))
-    # The sides leave through a generator: the null tests of the joins stay above it, where they are values.
-    splits = splits.filter((F.col("mask") > 0) & (F.col("mask") < power(F.col("number_of_items")) - 1)).select(
-        "country_id", F.inline_outer(F.array(sides)), "n", "n_baskets"
+    number = F.monotonically_increasing_id().alias("number")
+    named, seen = ws.save_measured(itemsets.select(number, "country_id", "items", "n", "n_baskets"), "numbered", size=F.max(F.size("items")))
+    singles = named.filter(F.size("items") == 1).select("country_id", F.element_at("items", 1).alias("item"), F.col("number").alias("id"), F.col("n").alias("n_item"))
+    members = named.select("number", "country_id", "n", "n_baskets", F.explode("items").alias("item")).join(singles, ["country_id", "item"])
+    ids = members.groupBy("number", "n", "n_baskets").agg(F.sort_array(F.collect_list(F.struct("id", "n_item"))).alias("of"))
+    sets = ws.save(ids.select("*", F.col("of.id").alias("ids"), F.xxhash64("of.id").alias("hash")), "sets")
+    dropped = sets.filter(F.size("ids") > 1).select("number", "n", "n_baskets", "ids", F.inline("of"))
+    dropped = dropped.withColumnRenamed("id", "item")
+    rest = F.filter("ids", lambda x: x != F.col("item"))
+    dropped = dropped.select("number", "n", "n_baskets", "item", "n_item", (F.col("item") == F.element_at("ids", -1)).alias("last"), F.inline(F.array(F.struct(rest.alias("left")))))
+    known = sets.select("hash", F.col("ids").alias("known"), F.col("number").alias("rest"), F.col("n").alias("n_rest"))
+    # Not written as an equation, which would make the arrays a key of the join.
+    same = (F.col("left") <= F.col("known")) & (F.col("left") >= F.col("known"))
+    below = dropped.withColumn("hash", F.xxhash64("left")).join(known, "hash").filter(same)
+    below = below.select("number", "item", "last", "n", "n_baskets", "rest", "n_rest", "n_item")
+    return Lattice(named, sets.select("number", "ids"), ws.save(below, "below"), seen["size"] or 0)
+
+
+def grown_rules(known: Lattice, metric: str, min_threshold: float, exact: bool, ws: Workspace) -> Splits:
+    """Every split of every itemset whose metric reaches the threshold, grown from one item on the right."""
+    good = reaches(metric, min_threshold, exact)
+    hopeful = reaches(metric, min_threshold, exact, bound=True)
+    smallest = F.min("n_rest").over(Window.partitionBy("number"))
+    states = known.below.withColumn("n_least", smallest).select(
+        F.col("rest").alias("antecedent"), F.col("item").alias("consequent"), F.col("item").alias("top"),
+        "n", F.col("n_rest").alias("n_a"), F.col("n_item").alias("n_c"), "n_baskets", "n_least",
+    )
+    found, made = [], []
+    while len(made) < known.size - 1:
+        states, seen = ws.save_measured(states, f"splits-{len(made) + 1}", rows=F.count(F.lit(1)))
+        if not seen["rows"]:
+            break
+        made.append(seen["rows"])
+        found.append(states.filter(good).select("antecedent", "consequent", *COUNTS))
+        states = next_splits(states.filter(hopeful), known.below)
+    log.info("splits made, by items on the right: %s", made)
+    if not found:
+        found = [states.select("antecedent", "consequent", *COUNTS).limit(0)]
+    return Splits(reduce(DataFrame.unionByName, found), made)
+
+
+def next_splits(states: DataFrame, below: DataFrame) -> DataFrame:
+    """The splits with one item more on the right, an item behind those that are there."""
+    step = below.select(F.col("number").alias("antecedent"), F.col("item").alias("moved"), F.col("rest").alias("next_a"), F.col("n_rest").alias("next_n_a"))
+    path = below.filter("last").select(F.col("rest").alias("consequent"), F.col("item").alias("moved"), F.col("number").alias("next_c"), F.col("n").alias("next_n_c"))
+    moves = states.join(step, "antecedent").filter(F.col("moved") > F.col("top"))
+    return moves.join(path, ["consequent", "moved"]).select(
+        F.col("next_a").alias("antecedent"), F.col("next_c").alias("consequent"), F.col("moved").alias("top"),
+        "n", F.col("next_n_a").alias("n_a"), F.col("next_n_c").alias("n_c"), "n_baskets", "n_least",
     )
-    for side, count in (("antecedents", "n_a"), ("consequents", "n_c")):
-        known = itemsets.select("country_id", F.col("items").alias(side), F.col("n").alias(count))
-        # Left: only the itemsets, whose size is known, may be broadcast, and never the splits, whose size
-        # Spark takes for that of the rows they are made of. The count is there; 0 would fail in a division.
-        splits = splits.join(known, ["country_id", side], "left").withColumn(count, F.coalesce(count, F.lit(0)))
-    return splits
 
 
 def association_rules(
-    itemsets: DataFrame, metric: str = METRIC, min_threshold: float = MIN_THRESHOLD
+    itemsets: DataFrame, metric: str = METRIC, min_threshold: float = MIN_THRESHOLD, exact: bool = False, workspace: Workspace | None = None
 ) -> DataFrame:
-    """Rules whose metric reaches the threshold, with counts and all metrics."""
-    rules = _above(split_rules(itemsets), metric, min_threshold)
-    return rules.select("*", *[value().alias(name) for name, value in METRICS.items()])
+    """Rules whose metric reaches the threshold, with counts and all metrics.
+
+    The threshold is met by the doubles that the metrics are; with ``exact`` by the whole numbers behind them.
+    """
+    _check(metric)
+    ws = workspace or Workspace(itemsets.sparkSession)
+    known = lattice(itemsets, ws)
+    rules = grown_rules(known, metric, min_threshold, exact, ws).rules
+    left = known.named.select(F.col("number").alias("antecedent"), "country_id", F.col("items").alias("antecedents"))
+    right = known.named.select(F.col("number").alias("consequent"), F.col("items").alias("consequents"))
+    named = rules.join(left, "antecedent").join(right, "consequent")
+    return named.select("country_id", "antecedents", "consequents", *COUNTS, *[value().alias(name) for name, value in METRICS.items()])
 
 
 def recommendation_pairs(
-    itemsets: DataFrame, metric: str = METRIC, min_threshold: float = MIN_THRESHOLD
+    itemsets: DataFrame, metric: str = METRIC, min_threshold: float = MIN_THRESHOLD, exact: bool = False, workspace: Workspace | None = None
 ) -> DataFrame:
-    """(country_id, antecedents, consequents, support, confidence, lift), item to item.
+    """(country_id, antecedents, consequents, support, confidence, lift), item to item; and ``metric`` if it is another.
 
     Each rule gives a row for every item of one side with every item of the other; of the rows of a
-    pair with equal support and confidence the best lift stays. In one country these two are equal
+    pair with equal support and confidence the best value stays. In one country these two are equal
     exactly when n and n_a are, and lift is best where n_c is least, so the grouping is on integers.
     """
-    return (
-        _above(split_rules(itemsets), metric, min_threshold)
-        .withColumn("antecedents", F.explode_outer("antecedents"))
-        .withColumn("consequents", F.explode_outer("consequents"))
-        .groupBy("country_id", "antecedents", "consequents", "n", "n_a", "n_baskets")
-        .agg(F.min("n_c").alias("n_c"))
-        .withColumns({name: METRICS[name]() for name in ("support", "confidence", "lift")})
-        .select(*PAIR_COLUMNS)
+    _check(metric)
+    ws = workspace or Workspace(itemsets.sparkSession)
+    known = lattice(itemsets, ws)
+    rules = grown_rules(known, metric, min_threshold, exact, ws).rules
+    left = known.sets.select(F.col("number").alias("antecedent"), F.col("ids").alias("ids_a"))
+    right = known.sets.select(F.col("number").alias("consequent"), F.col("ids").alias("ids_c"))
+    # Of the metrics only the right side's own support is best where its count is greatest.
+    best = F.max("n_c") if metric == "consequent_support" else F.min("n_c")
+    pairs = (
+        rules.join(left, "antecedent").join(right, "consequent")
+        .withColumn("a", F.explode_outer("ids_a"))
+        .withColumn("c", F.explode_outer("ids_c"))
+        .groupBy("a", "c", "n", "n_a", "n_baskets")
+        .agg(F.min("n_c").alias("n_c"), best.alias("n_best"))
     )
+    alone = known.named.filter(F.size("items") == 1).select("number", "country_id", F.element_at("items", 1).alias("code"))
+    antecedent = alone.select(F.col("number").alias("a"), "country_id", F.col("code").alias("antecedents"))
+    consequent = alone.select(F.col("number").alias("c"), F.col("code").alias("consequents"))
+    values = {name: METRICS[name]() for name in PAIR_COLUMNS[3:]}
+    named = pairs.join(antecedent, "a").join(consequent, "c").withColumns(values)
+    if metric in PAIR_COLUMNS:
+        return named.select(*PAIR_COLUMNS)
+    return named.withColumn("n_c", F.col("n_best")).select(*PAIR_COLUMNS, METRICS[metric]().alias(metric))
 
 
 def pair_best_metric(pairs: DataFrame, metric: str = METRIC) -> DataFrame:
@@ -76,14 +169,6 @@ def pair_best_metric(pairs: DataFrame, metric: str = METRIC) -> DataFrame:
     )
 
 
-def _side(bit: int) -> Column:
-    return F.filter(
-        "items",
-        lambda _, place: F.call_function("shiftright", F.col("mask"), place).bitwiseAND(1) == bit,
-    )
-
-
-def _above(rules: DataFrame, metric: str, min_threshold: float) -> DataFrame:
+def _check(metric: str) -> None:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {sorted(METRICS)}, not {metric!r}")
-    return rules.filter(METRICS[metric]() >= F.lit(float(min_threshold)))

@@ -31,7 +31,7 @@ COUNTRIES = (
     "Honduras",
 )
 
-ALGORITHMS = ("levelwise", "fpgrowth")
+ALGORITHMS = ("vertical", "levelwise", "fpgrowth")
 
 
 @dataclass(frozen=True)
@@ -73,14 +73,16 @@ class MiningParams:
     ``min_support`` is relative to the baskets of each country. ``max_len`` (None: no limit) stops
     at itemsets of that size; ``min_count_floor`` raises the least count a country may come out with.
     ``wide_basket`` is the number of frequent items above which a basket is counted by joining it
-    with candidates instead of expanding it (see ``operators.mining``); it changes no result.
+    with candidates instead of expanding it (see ``operators.mining``); it changes no result. Nor does
+    ``local_rows``, the number of orders up to which ``vertical`` and ``fpgrowth`` leave a node and item to one task.
     """
 
     min_support: float = MIN_SUPPORT
     max_len: int | None = None
     min_count_floor: int = 1
-    algorithm: str = "levelwise"
+    algorithm: str = "vertical"
     wide_basket: int = 256
+    local_rows: int = 1 << 16
 
     def __post_init__(self) -> None:
         if not 0.0 < self.min_support <= 1.0:
@@ -93,3 +95,5 @@ class MiningParams:
             raise ValueError(f"algorithm must be one of {ALGORITHMS}, not {self.algorithm!r}")
         if self.wide_basket < 2:
             raise ValueError("wide_basket must be at least 2")
+        if self.local_rows < 1:
+            raise ValueError("local_rows must be at least 1")

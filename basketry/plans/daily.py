@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from basketry.functions.metrics import METRICS
 from basketry.operators import (
     baskets,
     frequent_itemsets,
@@ -19,7 +20,6 @@ from basketry.operators import (
 )
 from basketry.operators.dataset import eligible_lines
 from basketry.operators.documents import MBA, RANKING
-from basketry.operators.rules import PAIR_COLUMNS
 from basketry.params import METRIC, MIN_THRESHOLD, TOP_K, MiningParams, OrderFilter, RunWindow
 from basketry.sinks import replace_table, upsert_history, write_if_nonempty, write_outbox
 from basketry.sources import Sources, read_table, table_exists
@@ -63,10 +63,11 @@ def recommendations_by_country(
     metric: str = METRIC,
     min_threshold: float = MIN_THRESHOLD,
     workspace: Workspace | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """Basket rows, repeated or not, to item-to-item pairs; all countries together."""
     itemsets = frequent_itemsets(baskets(rows), mining, workspace)
-    return recommendation_pairs(itemsets, metric, min_threshold)
+    return recommendation_pairs(itemsets, metric, min_threshold, exact, workspace)
 
 
 def run_daily(
@@ -81,11 +82,12 @@ def run_daily(
 ) -> Outputs:
     """One run.
 
+    A metric that pairs do not always carry is a further column of the pairs and their history.
     An empty mining result leaves the pairs and the history as they were; documents and messages
     are made of the pairs as they then stand.
     """
-    if metric not in PAIR_COLUMNS[3:]:
-        raise ValueError(f"pairs carry {', '.join(PAIR_COLUMNS[3:])}, not {metric!r}")
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {sorted(METRICS)}, not {metric!r}")
     spark = sources.orders.sparkSession
     out = Outputs(root)
     with Workspace(spark) as workspace:

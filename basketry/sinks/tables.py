@@ -9,8 +9,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.rules import PAIR_COLUMNS
-
 
 def replace_table(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
     """Replace the table. ``sort`` orders the rows of each file, with no shuffle for it.
@@ -48,7 +46,7 @@ def upsert_history(pairs: DataFrame, path: str, run_date: dt.date) -> None:
     Only that date's partition is rewritten, so running a date again leaves one copy of it.
     """
     (
-        pairs.select(*PAIR_COLUMNS, F.lit(run_date).alias("audit_date"))
+        pairs.withColumn("audit_date", F.lit(run_date))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("audit_date")

@@ -1,11 +1,18 @@
 from __future__ import annotations
 
+import itertools
 import random
 
+import numpy as np
 import pytest
+from pyspark.ml.fpm import FPGrowth
+from pyspark.sql import functions as F
 
 from basketry import MiningParams
 from basketry import operators as op
+from basketry.operators import mining
+from basketry.operators.growth import by_bit_arrays, by_tree
+from basketry.params import ALGORITHMS
 from tests import brute
 
 ROWS = "order_id long, country_name string, country_id int, partner_id long, gtin string"
@@ -38,13 +45,13 @@ def random_baskets(seed: int, sizes=(40, 15, 5)) -> dict:
     return baskets
 
 
-@pytest.mark.parametrize("algorithm", ["levelwise", "fpgrowth"])
+@pytest.mark.parametrize("algorithm", ALGORITHMS)
 def test_golden(spark, algorithm):
     found = mined(rows_of(spark, GOLDEN), min_support=0.3, algorithm=algorithm)
     assert found == {(1, tuple(k)): n for k, n in GOLDEN_SETS.items()}
 
 
-@pytest.mark.parametrize("algorithm", ["levelwise", "fpgrowth"])
+@pytest.mark.parametrize("algorithm", ALGORITHMS)
 @pytest.mark.parametrize(("seed", "support"), [(1, 0.1), (2, 0.25)])
 def test_equals_brute_force(spark, algorithm, seed, support):
     baskets = random_baskets(seed)
@@ -71,7 +78,7 @@ def test_wide_limit_rises_where_many_baskets_are_wide(spark):
 
 
 @pytest.mark.parametrize("max_len", [1, 2, 3])
-@pytest.mark.parametrize("algorithm", ["levelwise", "fpgrowth"])
+@pytest.mark.parametrize("algorithm", ALGORITHMS)
 def test_max_len(spark, algorithm, max_len):
     baskets = random_baskets(3)
     found = mined(rows_of(spark, baskets), min_support=0.15, max_len=max_len, algorithm=algorithm)
@@ -103,7 +110,7 @@ def test_duplicates_order_and_nulls_change_nothing(spark):
     assert mined(df, min_support=0.3) == {(1, tuple(k)): n for k, n in GOLDEN_SETS.items()}
 
 
-@pytest.mark.parametrize("algorithm", ["levelwise", "fpgrowth"])
+@pytest.mark.parametrize("algorithm", ALGORITHMS)
 def test_no_rows(spark, algorithm):
     assert mined(spark.createDataFrame([], ROWS), min_support=0.1, algorithm=algorithm) == {}
 
@@ -117,7 +124,7 @@ def test_only_single_item_baskets(spark):
 def test_text_countries(spark):
     rows = [(o, n, f"c{c}", p, g) for o, n, c, p, g in brute.basket_rows(GOLDEN)]
     df = spark.createDataFrame(rows, ROWS.replace("country_id int", "country_id string"))
-    for algorithm in ("levelwise", "fpgrowth"):
+    for algorithm in ALGORITHMS:
         found = mined(df, min_support=0.3, algorithm=algorithm)
         assert found == {("c1", tuple(k)): n for k, n in GOLDEN_SETS.items()}
 
@@ -149,8 +156,67 @@ def test_baskets_are_sorted_sets(spark):
 @pytest.mark.parametrize(
     "bad",
     [{"min_support": 0.0}, {"min_support": 1.5}, {"max_len": 0}, {"min_count_floor": 0},
-     {"algorithm": "magic"}, {"wide_basket": 1}],
+     {"algorithm": "magic"}, {"wide_basket": 1}, {"local_rows": 0}],
 )
 def test_bad_parameters(bad):
     with pytest.raises(ValueError):
         MiningParams(**bad)
+
+
+@pytest.mark.parametrize("algorithm", ["vertical", "fpgrowth"])
+@pytest.mark.parametrize("local_rows", [1, 3, 12])
+def test_levels_and_local_mining_meet(spark, algorithm, local_rows):
+    """Whatever part is left to one task, and whatever max_len cuts, the sets are the same."""
+    baskets = random_baskets(6, sizes=(60, 25, 4))
+    found = mined(rows_of(spark, baskets), min_support=0.08, algorithm=algorithm, local_rows=local_rows)
+    assert found == brute.itemsets(baskets, 0.08)
+    found = mined(rows_of(spark, baskets), min_support=0.08, algorithm=algorithm, local_rows=local_rows, max_len=3)
+    assert found == brute.itemsets(baskets, 0.08, 3)
+
+
+def test_sparse_and_dense_countries_together(spark):
+    rng = random.Random(21)
+    many = [f"{i:03d}" for i in range(120)]
+    sparse = [frozenset(rng.sample(many, 4)) for _ in range(300)]
+    baskets = {1: sparse, 2: [frozenset(rng.sample(many[:6], 4)) for _ in range(50)]}
+    assert mined(rows_of(spark, baskets), min_support=0.01) == brute.itemsets(baskets, 0.01)
+
+
+@pytest.mark.parametrize("miner", [by_bit_arrays, by_tree])
+@pytest.mark.parametrize("most", [1, 2, 99])
+def test_local_miners_on_weighted_tails(miner, most):
+    rng = random.Random(31)
+    tails = [sorted(rng.sample(range(5, 25), rng.randint(1, 9))) for _ in range(200)]
+    weights = [rng.choice([1, 1, 2, 7, 130]) for _ in tails]
+    wanted: dict = {}
+    for tail, w in zip(tails, weights, strict=True):
+        for size in range(1, min(len(tail), most) + 1):
+            for s in itertools.combinations(tail, size):
+                wanted[s] = wanted.get(s, 0) + w
+    flat = np.array([x for t in tails for x in t], np.int32)
+    found = list(miner(flat, np.array([len(t) for t in tails]), np.array(weights, np.int64), 150, most))
+    assert dict(found) == {s: n for s, n in wanted.items() if n >= 150} and len(found) == len(dict(found))
+
+
+def test_equals_the_fp_growth_of_spark(spark):
+    baskets = random_baskets(8, sizes=(80, 30))
+    found = mined(rows_of(spark, baskets), min_support=0.1, algorithm="fpgrowth")
+    for country, orders in baskets.items():
+        frame = spark.createDataFrame([(sorted(b),) for b in orders], "items array<string>")
+        sets = FPGrowth(itemsCol="items", minSupport=0.1, minConfidence=0.0).fit(frame).freqItemsets.collect()
+        assert {tuple(sorted(r["items"])): r["freq"] for r in sets} == {i: n for (c, i), n in found.items() if c == country}
+
+
+def test_local_rows_bound_what_one_task_takes(spark, tmp_path, monkeypatch):
+    """No group of states that goes to one task holds more orders than the limit."""
+    seen = []
+    whole = mining.grown_below
+
+    def watched(states, miner, most):
+        seen.append(states.groupBy("node", "item").agg(F.sum("weight").alias("orders")).agg(F.max("orders")).first()[0])
+        return whole(states, miner, most)
+
+    monkeypatch.setattr(mining, "grown_below", watched)
+    baskets = random_baskets(6, sizes=(60, 25, 4))
+    assert mined(rows_of(spark, baskets), min_support=0.08, local_rows=9) == brute.itemsets(baskets, 0.08)
+    assert len(seen) > 1 and max(x or 0 for x in seen) <= 9

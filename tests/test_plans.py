@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from basketry import RunWindow
 from basketry import operators as op
 from basketry.operators.mining import next_states
-from basketry.operators.rules import split_rules
+from basketry.operators.rules import next_splits
 from basketry.sources import StarSchema
 from verification.queries import ALL_DATES, ORDERS, WINDOW, queries_without_actions
 
@@ -121,19 +125,58 @@ def pairs_with_a_hot_item(spark):
 
 
 def test_hot_side_of_rules_splits(spark, small_skew, tmp_path):
-    """One item is a side of every rule: the join that finds its count is split, and nothing is lost."""
+    """One item is a side of every rule: the join that names it is split, and nothing is lost."""
     path = str(tmp_path / "itemsets")
     pairs_with_a_hot_item(spark).write.parquet(path)
-    rules = split_rules(spark.read.parquet(path))
+    rules = op.association_rules(spark.read.parquet(path), min_threshold=0.0)
     assert sorted({(r.n, r.n_a, r.n_c) for r in rules.collect()}) == [(3, 5, 20000), (3, 20000, 5)]
     plan = rules._jdf.queryExecution().executedPlan().toString()
     assert "skew=true" in plan
 
 
-def test_rules_make_their_sides_once_and_never_broadcast_splits(spark, tmp_path):
+def test_hot_side_splits_where_rules_grow(spark, small_skew):
+    """Rules that share their left and right sides: both joins of a step are split."""
+    below = spark.range(20000, numPartitions=8).selectExpr(
+        "if(id % 3 > 0, 7L, id + 100) as number", "id + 50000 as item", "8L as rest", "1L as n", "2L as n_rest", "2L as n_item",
+        "20000L as n_baskets", "true as last",
+    )
+    states = spark.range(10000, numPartitions=8).selectExpr("if(id % 3 > 0, 7L, id + 100) as antecedent", "if(id % 2 = 0, 8L, id) as consequent", "0L as top")
+    moves = next_splits(states.withColumns({c: F.lit(1).cast("long") for c in ("n", "n_a", "n_c", "n_baskets", "n_least")}).filter("antecedent > 7 or consequent = 1"), below)
+    moves.collect()
+    assert "skew=true" in moves._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rules_join_on_numbers_only(spark, tmp_path):
     path = str(tmp_path / "itemsets")
     pairs_with_a_hot_item(spark).limit(50).write.parquet(path)
-    plan = plan_of(op.recommendation_pairs(spark.read.parquet(path)))
-    assert "BuildLeft" not in plan and plan.count("BuildRight") == 2
-    simple = plan.split("+- == Initial Plan ==")[0]
-    assert simple.count("filter(items") == 2
+    with RecordedPlans(spark) as plans:
+        op.association_rules(spark.read.parquet(path)).collect()
+        op.recommendation_pairs(spark.read.parquet(path)).collect()
+    joins = [line for plan in plans for line in plan.splitlines() if re.search(r"Join \[", line)]
+    assert joins and not any(re.search(r"\b(items|ids|left|known|antecedents|consequents)#", re.search(r"Join (\[.*?\], \[.*?\])", line)[1]) for line in joins)
+
+
+class RecordedPlans:
+    """Final plans of all queries that run inside."""
+
+    def __init__(self, spark) -> None:
+        self.spark, self.plans = spark, []
+
+    def __enter__(self) -> list[str]:
+        self.write, self.collect = DataFrameWriter.parquet, DataFrame.collect
+        plans = self.plans
+
+        def parquet(writer, *a, **b):
+            plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+            return self.write(writer, *a, **b)
+
+        def collect(frame):
+            rows = self.collect(frame)
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+            return rows
+
+        DataFrameWriter.parquet, DataFrame.collect = parquet, collect
+        return plans
+
+    def __exit__(self, *_) -> None:
+        DataFrameWriter.parquet, DataFrame.collect = self.write, self.collect

@@ -146,7 +146,7 @@ splits as (
 ),
 rules as (
     select s.country_id, s.a, s.c, s.n, sa.n as n_a, sc.n as n_c,
-           sa.n / s.n_baskets as antecedent_support,
+           s.n_baskets, sa.n / s.n_baskets as antecedent_support,
            sc.n / s.n_baskets as consequent_support,
            s.n / s.n_baskets as support,
            (s.n / s.n_baskets) / (sa.n / s.n_baskets) as confidence,
@@ -169,6 +169,22 @@ best as (
     select country_id, antecedents, consequents, max(lift) as lift from pairs group by 1, 2, 3
 )"""
 
+def _leverage_steps(least: str) -> str:
+    """Pairs by leverage, with their best leverage beside the lift."""
+    return f"""crossed as (
+    select country_id, antecedents, unnest(c) as consequents, support, confidence, lift, leverage
+    from (select *, unnest(a) as antecedents, support - antecedent_support * consequent_support as leverage from rules)
+    where leverage >= cast({least} as double)
+),
+pairs as (
+    select country_id, antecedents, consequents, support, confidence, max(lift) as lift, max(leverage) as leverage
+    from crossed group by 1, 2, 3, 4, 5
+),
+best as (
+    select country_id, antecedents, consequents, max(leverage) as leverage from pairs group by 1, 2, 3
+)"""
+
+
 BRAND_ENTRIES = f"""{LINES},
 entries as (
     select distinct country_id, order_id, p_brand as gtin from lines join part on product_id = p_partkey
@@ -224,6 +240,8 @@ select country_id, count(distinct order_id) as n_baskets,
        cast(ceil(cast(0.005 as double) * count(distinct order_id)) as bigint) as min_count
 from lines group by 1""",
     "frequent_itemsets": ITEMSET_ROWS,
+    "frequent_itemsets_levelwise": ITEMSET_ROWS,
+    "frequent_itemsets_mixed": ITEMSET_ROWS,
     "frequent_itemsets_fpgrowth": ITEMSET_ROWS,
     "frequent_itemsets_wide": ITEMSET_ROWS,
     "association_rules": f"""{RULES}
@@ -236,7 +254,11 @@ select country_id, array_to_string(a, '|') as antecedents, array_to_string(c, '|
        support - antecedent_support * consequent_support as leverage,
        case when confidence < 1 then (1 - consequent_support) / (1 - confidence) end as conviction
 from rules where confidence >= 0.15""",
+    "association_rules_exact": f"""{RULES}
+select country_id, array_to_string(a, '|') as antecedents, array_to_string(c, '|') as consequents, n, n_a, n_c
+from rules where 4::hugeint * n * n_baskets >= 5::hugeint * n_a * n_c""",
     "recommendation_pairs": f"{PAIRS} from pairs",
+    "leverage_pairs": f"{RULES}, {_leverage_steps('0.0002')} from pairs",
     "pair_best_metric": f"{PAIRS} from best",
     "units_sold": f"""with {LINES}, {PRODUCTS}
 select l.country_id, l.partner_id, p.code as gtin, sum(l.quantity) as items_sold
@@ -270,6 +292,11 @@ from nation""",
 {RULE_STEPS}, {PAIR_STEPS}
 {MBA_ENTRIES}, 'mba' as event_type from best
 union all
+{RANKING_ENTRIES}, 'ranking' as event_type from ranking""",
+    "daily_run_leverage": f"""with recursive {_itemsets(f"{RANKING_STEPS}, {CODE_ENTRIES}", "0.0005")},
+{RULE_STEPS}, {_leverage_steps('0.002')}
+{MBA_ENTRIES.replace('lift', 'leverage')}, 'mba' as event_type from best
+union all
 {RANKING_ENTRIES}, 'ranking' as event_type from ranking""",
     "history_upsert": f"""{PAIRS}
 select country_id, antecedents, consequents, support, confidence, lift,

@@ -21,6 +21,7 @@ WINDOW = RunWindow(dt.date(2001, 8, 2), from_days=365, to_days=1)
 ALL_DATES = RunWindow(dt.date(2001, 8, 2), from_days=3650, to_days=0)
 ORDERS = OrderFilter(business_type=2, countries=("AMERICA", "EUROPE"))
 MINING = MiningParams(min_support=0.005)
+LEAST_LEVERAGE = 0.0002
 HISTORY_DAYS = (dt.date(2001, 8, 1), dt.date(2001, 8, 2))
 HISTORY_LIFTS = (1.2, 1.4)
 SEPARATOR = "|"
@@ -96,6 +97,15 @@ def frequent_itemsets(
     return _itemsets(spark, folder, mining).withColumn("items", _text("items"))
 
 
+def frequent_itemsets_levelwise(spark: SparkSession, folder: str) -> DataFrame:
+    return frequent_itemsets(spark, folder, replace(MINING, algorithm="levelwise"))
+
+
+def frequent_itemsets_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Levels for what more than 200 orders hold, bit arrays for the rest."""
+    return frequent_itemsets(spark, folder, replace(MINING, local_rows=200))
+
+
 def frequent_itemsets_fpgrowth(
     spark: SparkSession, folder: str, mining: MiningParams = MINING
 ) -> DataFrame:
@@ -108,7 +118,7 @@ def frequent_itemsets_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def association_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return op.association_rules(_itemsets(spark, folder)).select(
+    return op.association_rules(_itemsets(spark, folder), workspace=workspace(spark)).select(
         "country_id", _text("antecedents"), _text("consequents"), "n", "n_a", "n_c",
         "support", "confidence", "lift",
     )
@@ -117,7 +127,7 @@ def association_rules(spark: SparkSession, folder: str) -> DataFrame:
 def rule_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Rules by another metric, with all metrics; an infinite conviction shows as null."""
     finite = F.when(F.col("conviction") < float("inf"), F.col("conviction"))
-    return op.association_rules(_itemsets(spark, folder), "confidence", 0.15).select(
+    return op.association_rules(_itemsets(spark, folder), "confidence", 0.15, workspace=workspace(spark)).select(
         "country_id", _text("antecedents"), _text("consequents"),
         "antecedent_support", "consequent_support", "support", "confidence", "lift", "leverage",
         finite.alias("conviction"),
@@ -127,7 +137,18 @@ def rule_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def recommendation_pairs(
     spark: SparkSession, folder: str, mining: MiningParams = MINING
 ) -> DataFrame:
-    return op.recommendation_pairs(_itemsets(spark, folder, mining))
+    return op.recommendation_pairs(_itemsets(spark, folder, mining), workspace=workspace(spark))
+
+
+def association_rules_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """A threshold that many rules meet exactly, compared in whole numbers."""
+    rules = op.association_rules(_itemsets(spark, folder), "lift", 1.25, exact=True, workspace=workspace(spark))
+    return rules.select("country_id", _text("antecedents"), _text("consequents"), "n", "n_a", "n_c")
+
+
+def leverage_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs by a metric that they do not carry otherwise."""
+    return op.recommendation_pairs(_itemsets(spark, folder), "leverage", LEAST_LEVERAGE, workspace=workspace(spark))
 
 
 def pair_best_metric(spark: SparkSession, folder: str) -> DataFrame:
@@ -253,6 +274,13 @@ def daily_run(
     return _entries(_read_messages(read_outbox(spark, out.outbox)), "event_type")
 
 
+def daily_run_leverage(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily run by a metric that pairs do not carry otherwise."""
+    sources = StarSchema(spark, folder).sources(WINDOW)
+    out = run_daily(sources, WINDOW, workspace(spark).folder("daily"), ORDERS, metric="leverage", min_threshold=0.002)
+    return _entries(_read_messages(read_outbox(spark, out.outbox)), "event_type")
+
+
 def history_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Two days, the second one written twice with different pairs."""
     own = workspace(spark)
@@ -277,11 +305,15 @@ QUERIES: dict[str, Query] = {
         baskets,
         basket_counts,
         frequent_itemsets,
+        frequent_itemsets_levelwise,
+        frequent_itemsets_mixed,
         frequent_itemsets_fpgrowth,
         frequent_itemsets_wide,
         association_rules,
         rule_metrics,
+        association_rules_exact,
         recommendation_pairs,
+        leverage_pairs,
         pair_best_metric,
         units_sold,
         ranking_topk,
@@ -296,6 +328,7 @@ QUERIES: dict[str, Query] = {
         partner_copies,
         fanout,
         daily_run,
+        daily_run_leverage,
         history_upsert,
     )
 }
