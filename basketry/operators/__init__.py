@@ -1,5 +1,6 @@
 from basketry.operators.baskets import basket_counts, baskets
 from basketry.operators.checks import assert_unique, fanout
+from basketry.operators.closed import closed_itemsets, expanded
 from basketry.operators.dataset import (
     basket_rows,
     eligible_lines,
@@ -22,7 +23,9 @@ __all__ = [
     "basket_counts",
     "basket_rows",
     "baskets",
+    "closed_itemsets",
     "eligible_lines",
+    "expanded",
     "fanout",
     "frequent_itemsets",
     "latest_snapshot",

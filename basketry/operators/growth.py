@@ -110,31 +110,46 @@ MINERS: dict[str, Miner] = {"vertical": by_bit_arrays, "fpgrowth": by_tree}
 
 
 def grown_below(states: DataFrame, miner: Miner, most: int | None) -> DataFrame:
-    """(node, item, suffix, n): every frequent itemset that adds up to ``most`` items to a node's item.
+    """(node, item, ids, n): every frequent itemset that adds up to ``most`` items, ``ids``, to a node's item.
 
-    ``states`` are (node, item, tail, weight, least); a node's rows of an item go to one task, which takes them in turn.
+    ``states`` are (node, item, tail, weight, least).
     """
-    dealt = states.select("node", "item", "tail", "weight", "least").repartition("node", "item").sortWithinPartitions("node", "item")
-    names = ["node", "item", "suffix", "n"]
-    types = pa.schema([("node", pa.int64()), ("item", pa.int32()), ("suffix", pa.list_(pa.int32())), ("n", pa.int64())])
-
-    def mined(group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(group).combine_chunks()
-        tails = table["tail"].combine_chunks() if isinstance(table["tail"], pa.ChunkedArray) else table["tail"]
-        tails = tails.chunk(0) if isinstance(tails, pa.ChunkedArray) else tails
-        node, item, least = (table[c][0].as_py() for c in ("node", "item", "least"))
-        flat = tails.flatten().to_numpy(zero_copy_only=False)
-        lengths = tails.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        found = miner(flat, lengths, table["weight"].to_numpy(), least, NO_LIMIT if most is None else most)
-        suffixes, counts = [], []
-        for suffix, n in found:
-            suffixes.append(suffix)
+
+    def mined(group: pa.Table) -> Found:
+        flat, lengths = flattened(group["tail"])
+        return miner(flat, lengths, group["weight"].to_numpy(), group["least"][0].as_py(), NO_LIMIT if most is None else most)
+
+    return one_task_each(states.select("node", "item", "tail", "weight", "least"), mined)
+
+
+def flattened(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and lengths of a column of arrays."""
+    column = pa.concat_arrays(lists.chunks)
+    return column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def one_task_each(states: DataFrame, mined: Callable[[pa.Table], Found]) -> DataFrame:
+    """(node, item, ids, n) of what ``mined`` finds in the rows of each (node, item), which start the columns.
+
+    The rows of a group go to one task, which takes its groups in turn and sends on what it finds in batches.
+    """
+    dealt = states.repartition("node", "item").sortWithinPartitions("node", "item")
+    types = pa.schema([("node", pa.int64()), ("item", pa.int32()), ("ids", pa.list_(pa.int32())), ("n", pa.int64())])
+
+    def batch(key: tuple[int, int], ids: list, counts: list[int]) -> pa.RecordBatch:
+        columns = [[key[0]] * len(counts), [key[1]] * len(counts), ids, counts]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, types, strict=True)], schema=types)
+
+    def found(key: tuple[int, int], group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, counts = [], []
+        for own, n in mined(pa.Table.from_batches(group)):
+            ids.append(own)
             counts.append(n)
             if len(counts) == BATCH:
-                yield _batch(node, item, suffixes, counts, names, types)
-                suffixes, counts = [], []
+                yield batch(key, ids, counts)
+                ids, counts = [], []
         if counts:
-            yield _batch(node, item, suffixes, counts, names, types)
+            yield batch(key, ids, counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[pa.RecordBatch] = []
@@ -147,16 +162,11 @@ def grown_below(states: DataFrame, miner: Miner, most: int | None) -> DataFrame:
                     continue
                 key = tuple(keys[x].tolist())
                 if group and key != last:
-                    yield from mined(group)
+                    yield from found(last, group)
                     group = []
                 group.append(b.slice(x, y - x))
                 last = key
         if group:
-            yield from mined(group)
-
-    return dealt.mapInArrow(run, "node long, item int, suffix array<int>, n long")
-
+            yield from found(last, group)
 
-def _batch(node: int, item: int, suffixes: list, counts: list[int], names: list[str], types: pa.Schema) -> pa.RecordBatch:
-    columns = [[node] * len(counts), [item] * len(counts), suffixes, counts]
-    return pa.RecordBatch.from_arrays([pa.array(c, types.field(k).type) for c, k in zip(columns, names, strict=True)], schema=types)
+    return dealt.mapInArrow(run, "node long, item int, ids array<int>, n long")

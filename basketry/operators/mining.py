@@ -119,7 +119,7 @@ def grown_itemsets(
         most = None if params.max_len is None else params.max_len - size
         nodes = level.select(F.col("child").alias("node"), "country_id", "path")
         below = grown_below(states.filter("local"), MINERS[params.algorithm], most).join(nodes, "node")
-        ids = F.concat("path", F.array("item"), "suffix")
+        ids = F.concat("path", F.array("item"), "ids")
         found.append(workspace.save(below.select("country_id", ids.alias("ids"), "n"), f"below-{size}"))
         return states.filter("not local").drop("local")
 
@@ -188,17 +188,17 @@ def frequent_items(counts: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def coded_baskets(carts: DataFrame, items: DataFrame) -> DataFrame:
+def coded_baskets(carts: DataFrame, items: DataFrame, least: int = 2) -> DataFrame:
     """(country_id, ids, weight): baskets cut down to frequent items, and how many are equal.
 
-    A basket with fewer than two frequent items supports no larger itemset and goes.
+    A basket with fewer than two frequent items supports no larger itemset and goes, or with fewer than ``least``.
     """
     return (
         carts.select("country_id", "order_id", F.explode("items").alias("gtin"))
         .join(items.select("country_id", "gtin", "id"), ["country_id", "gtin"])
         .groupBy("country_id", "order_id")
         .agg(F.sort_array(F.collect_list("id")).alias("ids"))
-        .filter(F.size("ids") > 1)
+        .filter(F.size("ids") >= least)
         .groupBy("country_id", "ids")
         .agg(F.count("*").alias("weight"))
     )

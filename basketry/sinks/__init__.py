@@ -1,4 +1,16 @@
-from basketry.sinks.outbox import publish, read_outbox, write_outbox
+from basketry.sinks.outbox import Delivery, NotSent, Retries, publish, publish_once, read_ledger, read_outbox, write_outbox
 from basketry.sinks.tables import replace_table, upsert_history, write_if_nonempty
 
-__all__ = ["publish", "read_outbox", "replace_table", "upsert_history", "write_if_nonempty", "write_outbox"]
+__all__ = [
+    "Delivery",
+    "NotSent",
+    "Retries",
+    "publish",
+    "publish_once",
+    "read_ledger",
+    "read_outbox",
+    "replace_table",
+    "upsert_history",
+    "write_if_nonempty",
+    "write_outbox",
+]

@@ -9,24 +9,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.sources.tables import POINTERS, pointers
 
-def replace_table(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
+
+def replace_table(df: DataFrame, path: str, sort: Sequence[str] = (), keep: int = 1) -> None:
     """Replace the table. ``sort`` orders the rows of each file, with no shuffle for it.
 
-    The new table is written beside the old one and takes its place when it is complete, so a broken
-    write leaves the old one as it was.
+    The rows are written to a folder of their own below ``path``. Then an empty file is made whose name is a number and
+    that folder's name: whoever reads the table (``read_table``) takes the folder with the greatest number, so the table
+    changes from the old rows to the new ones in that one step, and no data is renamed or copied. A write that breaks
+    off leaves the old table. Of the older versions ``keep`` stay, for those who are reading them.
     """
-    sc = df.sparkSession.sparkContext
-    mark = uuid.uuid4().hex
-    hadoop = sc._jvm.org.apache.hadoop.fs.Path
-    old, fresh, aside = (hadoop(path.rstrip("/") + end) for end in ("", f".new-{mark}", f".old-{mark}"))
-    files = old.getFileSystem(sc._jsc.hadoopConfiguration())
-    (df.sortWithinPartitions(*sort) if sort else df).write.parquet(fresh.toString())
-    replaced = files.exists(old)
-    if replaced and not files.rename(old, aside) or not files.rename(fresh, old):
-        raise OSError(f"{path} could not be replaced; the new table is in {fresh.toString()}")
-    if replaced:
-        files.delete(aside, True)
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root, hadoop = path.rstrip("/"), jvm.org.apache.hadoop.fs.Path
+    data = f"_rows-{uuid.uuid4().hex}"
+    (df.sortWithinPartitions(*sort) if sort else df).write.parquet(f"{root}/{data}")
+    earlier = pointers(spark, root)
+    number = earlier[-1][0] + 1 if earlier else 1
+    files = hadoop(root).getFileSystem(conf)
+    files.mkdirs(hadoop(f"{root}/{POINTERS}"))
+    name = f"{number:012d}.{data}"
+    if not files.createNewFile(hadoop(f"{root}/{POINTERS}/{name}")):
+        raise OSError(f"{path} could not be replaced; the new rows are in {data}")
+    # From here on the new table stands. A pointer goes before its rows, so none leads to a folder that is gone.
+    for at, old in earlier[: len(earlier) - keep]:
+        files.delete(hadoop(f"{root}/{POINTERS}/{at:012d}.{old}"), False)
+        files.delete(hadoop(f"{root}/{old}"), True)
 
 
 def write_if_nonempty(df: DataFrame, path: str) -> bool:

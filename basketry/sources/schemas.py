@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    DataType,
     DateType,
     DoubleType,
     IntegerType,
@@ -13,7 +14,16 @@ from pyspark.sql.types import (
     StructType,
 )
 
-ORDER_FACTS = StructType([
+
+def order_facts(quantity: DataType) -> StructType:
+    """Nested order facts whose quantities have the type."""
+    return StructType([*_ORDER_HEADS, StructField("details", ArrayType(StructType([
+        StructField("product", StructType([StructField("product_id", LongType())])),
+        StructField("quantity", quantity),
+    ])))])
+
+
+_ORDER_HEADS = [
     StructField("order_id", LongType()),
     StructField("registered_date", DateType()),
     StructField("business_type_id", IntegerType()),
@@ -23,11 +33,9 @@ ORDER_FACTS = StructType([
         StructField("country_name", StringType()),
     ])),
     StructField("restaurant", StructType([StructField("id", LongType())])),
-    StructField("details", ArrayType(StructType([
-        StructField("product", StructType([StructField("product_id", LongType())])),
-        StructField("quantity", DoubleType()),
-    ]))),
-])
+]
+
+ORDER_FACTS = order_facts(DoubleType())
 
 PARTNER_SNAPSHOTS = StructType([
     StructField("restaurant_id", LongType()),

@@ -6,10 +6,12 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql.types import LongType
 
 from basketry import MiningParams, OrderFilter, RunWindow
 from basketry.plans import run_daily
-from basketry.sources import read_sources, schemas
+from basketry import operators as op
+from basketry.sources import read_orders, read_sources, read_table, schemas
 from tests import brute
 from tests.test_mining import random_baskets
 
@@ -61,7 +63,7 @@ def test_run(spark, baskets, run):
     out = run()
     sets = brute.itemsets(baskets, 0.2)
     wanted = brute.pairs(brute.rules(baskets, sets, 1.0))
-    pairs = spark.read.parquet(out.pairs).collect()
+    pairs = read_table(spark, out.pairs).collect()
     assert {
         (r.country_id, r.antecedents, r.consequents, r.support, r.confidence): r.lift for r in pairs
     } == {(c, code(a), code(b), s, f): lift for (c, a, b, s, f), lift in wanted.items()}
@@ -83,7 +85,7 @@ def test_run(spark, baskets, run):
         for (c, p), sold in units.items()
         for place, gtin in enumerate(sorted(sold, key=lambda g: (-sold[g], g))[:30], start=1)
     }
-    assert {tuple(r) for r in spark.read.parquet(out.ranking).collect()} == ranked
+    assert {tuple(r) for r in read_table(spark, out.ranking).collect()} == ranked
 
     outbox = spark.read.json(out.outbox).collect()
     documents = [(m.event_type, json.loads(json.loads(m.message)["default"])) for m in outbox]
@@ -106,12 +108,12 @@ def test_next_day_adds_to_the_history(spark, run):
 
 def test_empty_run_keeps_the_pairs(spark, run):
     out = run()
-    before = spark.read.parquet(out.pairs).count()
+    before = read_table(spark, out.pairs).count()
     empty = RunWindow(dt.date(2030, 1, 1))
     run(empty)
-    assert spark.read.parquet(out.pairs).count() == before
+    assert read_table(spark, out.pairs).count() == before
     assert empty.run_date not in {r.audit_date for r in spark.read.parquet(out.history).collect()}
-    assert spark.read.parquet(out.ranking).count() == 0
+    assert read_table(spark, out.ranking).count() == 0
     assert {r.event_type for r in spark.read.json(out.outbox).collect()} == {"mba"}
 
 
@@ -119,5 +121,18 @@ def test_empty_first_run(spark, source, tmp_path):
     out = run_daily(
         read_sources(spark, source), RUN, str(tmp_path), orders=OrderFilter(business_type=9)
     )
-    assert spark.read.parquet(out.ranking).count() == 0
+    assert read_table(spark, out.ranking).count() == 0
     assert not (tmp_path / "recommendation_by_country").exists()
+
+
+def test_quantities_may_be_whole_numbers(spark, source, tmp_path):
+    """A file of longs gives the same ranking as one of doubles."""
+    whole = spark.read.parquet(f"{source}/fact_orders")
+    as_long = "transform(details, d -> named_struct('product', d.product, 'quantity', cast(d.quantity as bigint)))"
+    whole.selectExpr(*[c for c in whole.columns if c != "details"], f"{as_long} as details").write.parquet(str(tmp_path / "fact_orders"))
+    longs, doubles = read_orders(spark, str(tmp_path / "fact_orders")), read_orders(spark, f"{source}/fact_orders")
+    assert longs.schema == schemas.order_facts(LongType()) and doubles.schema == schemas.ORDER_FACTS
+    products = spark.read.parquet(f"{source}/dim_product")
+    catalogue = spark.read.parquet(f"{source}/catalogue")
+    units = [sorted(tuple(r) for r in op.units_sold(op.order_lines(o), products, catalogue, RUN, OrderFilter()).collect()) for o in (longs, doubles)]
+    assert units[0] == units[1] and units[0]

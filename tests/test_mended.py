@@ -10,7 +10,7 @@ from basketry.operators.rules import association_rules
 from basketry.params import RunWindow
 from basketry.plans import run_daily
 from basketry.sinks import replace_table
-from basketry.sources.tables import table_exists
+from basketry.sources.tables import read_table, table_exists
 
 
 def test_number_text_reads_back(spark):
@@ -37,9 +37,9 @@ def test_broken_write_keeps_the_old_table(spark, tmp_path):
     replace_table(spark.range(3).toDF("x"), path)
     with pytest.raises(Exception, match="broken"):
         replace_table(spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("x")), path)
-    assert spark.read.parquet(path).count() == 3
+    assert read_table(spark, path).count() == 3
     replace_table(spark.range(5).toDF("x"), path)
-    assert spark.read.parquet(path).count() == 5
+    assert read_table(spark, path).count() == 5
 
 
 def test_table_exists_only_asks_for_the_path(spark, tmp_path):

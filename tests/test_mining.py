@@ -220,3 +220,31 @@ def test_local_rows_bound_what_one_task_takes(spark, tmp_path, monkeypatch):
     baskets = random_baskets(6, sizes=(60, 25, 4))
     assert mined(rows_of(spark, baskets), min_support=0.08, local_rows=9) == brute.itemsets(baskets, 0.08)
     assert len(seen) > 1 and max(x or 0 for x in seen) <= 9
+
+
+def closed_of(sets):
+    return {k: n for k, n in sets.items() if not any(k[0] == c and set(k[1]) < set(i) and m == n for (c, i), m in sets.items())}
+
+
+@pytest.mark.parametrize("local_rows", [1, 6, 1 << 16])
+@pytest.mark.parametrize(("seed", "support"), [(1, 1e-9), (12, 0.1), (13, 0.3)])
+def test_closed_itemsets_and_their_expansion(spark, seed, support, local_rows):
+    rng = random.Random(seed)
+    baskets = random_baskets(seed, sizes=(30, 12, 3))
+    baskets[3] = [frozenset("abc") | frozenset(rng.sample("defg", 2)) for _ in range(9)]  # three items are everywhere
+    baskets[4] = [frozenset("xy")] * 5 + [frozenset("z")]
+    carts = op.baskets(rows_of(spark, baskets))
+    closed = op.closed_itemsets(carts, MiningParams(min_support=support, local_rows=local_rows))
+    as_dict = lambda df: {(r.country_id, tuple(r["items"])): r.n for r in df.collect()}
+    every = brute.itemsets(baskets, support)
+    assert as_dict(closed) == closed_of(every) and closed.count() == len(closed_of(every))
+    whole = op.expanded(closed)
+    assert as_dict(whole) == every and whole.count() == len(every)
+    assert as_dict(op.expanded(closed, max_len=2)) == {k: n for k, n in every.items() if len(k[1]) <= 2}
+
+
+def test_closed_itemsets_of_nothing(spark):
+    empty = op.baskets(spark.createDataFrame([], ROWS))
+    assert op.closed_itemsets(empty).count() == 0 and op.expanded(op.closed_itemsets(empty)).count() == 0
+    with pytest.raises(ValueError, match="max_len"):
+        op.closed_itemsets(empty, MiningParams(max_len=3))

@@ -15,7 +15,7 @@ from basketry import RunWindow
 from basketry import operators as op
 from basketry.operators.mining import next_states
 from basketry.operators.rules import next_splits
-from basketry.sources import StarSchema
+from basketry.sources import StarSchema, read_bucketed_orders, write_bucketed_orders
 from verification.queries import ALL_DATES, ORDERS, WINDOW, queries_without_actions
 
 FOLDER = "/root/testdata/sf0.001"
@@ -113,6 +113,18 @@ def test_hot_prefix_splits(spark, small_skew):
     assert "skew=true" in pruned._jdf.queryExecution().executedPlan().toString()
 
 
+def test_bucketed_orders_become_baskets_without_an_exchange(spark, star):
+    write_bucketed_orders(star.brand_rows(), "bucketed_rows", 8)
+    try:
+        baskets = op.baskets(read_bucketed_orders(spark, "bucketed_rows"))
+        assert len(baskets.collect()) > 100
+        plan = baskets._jdf.queryExecution().executedPlan().toString()
+        assert "collect_set" in plan and "Exchange" not in plan
+        assert sorted(baskets.collect()) == sorted(op.baskets(star.brand_rows()).collect())
+    finally:
+        spark.sql("drop table bucketed_rows")
+
+
 def pairs_with_a_hot_item(spark):
     names = "format_string('item %05d', id)"
     rest = spark.range(20000, numPartitions=8)

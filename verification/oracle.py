@@ -244,6 +244,19 @@ from lines group by 1""",
     "frequent_itemsets_mixed": ITEMSET_ROWS,
     "frequent_itemsets_fpgrowth": ITEMSET_ROWS,
     "frequent_itemsets_wide": ITEMSET_ROWS,
+    "closed_itemsets": f"""with recursive {_itemsets(BRAND_ENTRIES, '0.0000001')},
+below as (
+    select country_id, list_filter(items, lambda x: x <> d) as items, max(n) as most
+    from (select country_id, items, n, unnest(items) as d from itemsets where len(items) > 1) group by 1, 2
+)
+select country_id, array_to_string(items, '|') as items, len(items) as number_of_items,
+       n, n_baskets, n / n_baskets as support
+from itemsets left join below using (country_id, items) where most is null or most < n""",
+    "expanded_itemsets": ITEMSET_ROWS,
+    "bucketed_baskets": f"""with {LINES}
+select country_id, order_id, count(distinct p_brand) as n_items,
+       string_agg(distinct p_brand, '|' order by p_brand) as items
+from lines join part on product_id = p_partkey group by 1, 2""",
     "association_rules": f"""{RULES}
 select country_id, array_to_string(a, '|') as antecedents, array_to_string(c, '|') as consequents,
        n, n_a, n_c, support, confidence, lift

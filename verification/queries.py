@@ -15,7 +15,7 @@ from basketry import operators as op
 from basketry.operators.documents import MBA, RANKING
 from basketry.plans import run_daily
 from basketry.sinks import read_outbox, upsert_history
-from basketry.sources import StarSchema, read_table
+from basketry.sources import StarSchema, read_bucketed_orders, read_table, write_bucketed_orders
 
 WINDOW = RunWindow(dt.date(2001, 8, 2), from_days=365, to_days=1)
 ALL_DATES = RunWindow(dt.date(2001, 8, 2), from_days=3650, to_days=0)
@@ -112,6 +112,26 @@ def frequent_itemsets_fpgrowth(
     return frequent_itemsets(spark, folder, replace(mining, algorithm="fpgrowth"))
 
 
+def closed_itemsets(spark: SparkSession, folder: str) -> DataFrame:
+    """With a least count of 1: the intersections of baskets."""
+    carts = op.baskets(StarSchema(spark, folder).brand_rows())
+    return op.closed_itemsets(carts, replace(MINING, min_support=1e-7, local_rows=500), workspace(spark)).withColumn("items", _text("items"))
+
+
+def expanded_itemsets(spark: SparkSession, folder: str) -> DataFrame:
+    """All frequent itemsets, from the closed ones."""
+    carts, own = op.baskets(StarSchema(spark, folder).brand_rows()), workspace(spark)
+    return op.expanded(op.closed_itemsets(carts, MINING, own), own).withColumn("items", _text("items"))
+
+
+def bucketed_baskets(spark: SparkSession, folder: str) -> DataFrame:
+    """Baskets from order facts that lie in buckets."""
+    own = workspace(spark)
+    table = f"orders_{own.path[-32:]}"
+    write_bucketed_orders(StarSchema(spark, folder).brand_rows(), table, 16, own.folder("orders"))
+    return op.baskets(read_bucketed_orders(spark, table)).select("country_id", "order_id", F.size("items").alias("n_items"), _text("items"))
+
+
 def frequent_itemsets_wide(spark: SparkSession, folder: str) -> DataFrame:
     """Baskets above four items (or what the country's limit rises to) are looked up, not expanded."""
     return frequent_itemsets(spark, folder, replace(MINING, wide_basket=4))
@@ -309,6 +329,9 @@ QUERIES: dict[str, Query] = {
         frequent_itemsets_mixed,
         frequent_itemsets_fpgrowth,
         frequent_itemsets_wide,
+        closed_itemsets,
+        expanded_itemsets,
+        bucketed_baskets,
         association_rules,
         rule_metrics,
         association_rules_exact,
