@@ -149,20 +149,19 @@ def _in_token(token: str) -> list[tuple[int, int, int, int]]:
         return [(0, len(token), *whole)]
     parts = {m.span() for p in PARTS for m in p.finditer(token) if m.end() - m.start() >= LEAST_TOKEN} - {(0, len(token))}
     found = [(s, e, *passed) for s, e in parts if (passed := _tested(token[s:e]))]
-    taken: list[spans.Span] = []
-    out = []
+    taken, out = spans.Disjoint(), []
     # A part of one case only stands where no other does: its bins are of other classes.
     for s, e, length, at in sorted(found, key=lambda x: (x[2] > len(LENGTHS), -x[3], x[0] - x[1], x[0])):
-        if not spans.overlaps(s, e, taken):
-            taken.append((s, 0, e))
+        if taken.take(s, e):
             out.append((s, e, length, at))
     return sorted(out)
 
 
 def candidates(text: str, base: list[spans.Span]) -> Iterator[tuple[int, int, int, int]]:
     """(start, end, class of length, bin) of each token, or part of one, outside base spans that no test rejects."""
+    covered = spans.Covered(base)
     for m in TOKEN.finditer(text):
-        if not spans.overlaps(m.start(), m.end(), base):
+        if not covered.overlaps(m.start(), m.end()):
             for start, end, length, at in _in_token(m[0]):
                 yield m.start() + start, m.start() + end, length, at
 

@@ -2,23 +2,52 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Span = tuple[int, int, int]
 ARROW = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 SQL = "array<struct<start: int, kind: int, end: int>>"
+TYPE = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("start", "kind", "end")]))
 
 
 def as_rows(spans: Iterable[Span]) -> list[dict[str, int]]:
     return [{"start": s, "kind": k, "end": e} for s, k, e in sorted(spans)]
 
 
-def overlaps(start: int, end: int, spans: Iterable[Span]) -> bool:
-    return any(s < end and start < e for s, _, e in spans)
+class Covered:
+    """Whether a span overlaps one of these, in the logarithm of their number; they may overlap each other."""
+
+    def __init__(self, spans: Iterable[Span]) -> None:
+        ordered = sorted(spans)
+        self.starts = [s for s, _, _ in ordered]
+        self.ends = list(accumulate((e for _, _, e in ordered), max))  # the furthest end so far
+
+    def overlaps(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+
+class Disjoint:
+    """Spans that are taken one by one, each unless it overlaps one that is there."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def take(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)
+        if at and self.ends[at - 1] > start:
+            return False
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+        return True
 
 
 def written(spans: Column, kinds: tuple[str, ...]) -> Column:
