@@ -28,6 +28,7 @@ import itertools
 import re
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -39,7 +40,7 @@ from basketry.llm.rows import ROW_KEY, batch, identified, plain
 from basketry.workspace import Workspace
 
 KINDS = ("email", "ip", "card", "phone", "other")
-SAMPLE, PRECISION, SEED = 20_000, 0.95, 5
+SAMPLE, PRECISION, SUPPORT, SEED = 20_000, 0.95, 20, 5
 FOLDS, BINS = 5, 1000  # every fifth row is held out; bins of scores
 
 # The base patterns. A digit run is entered at its first digit only, as a match that starts
@@ -247,8 +248,9 @@ def _scan() -> tuple[Callable, str]:
                     for other in rewritten(text[s:e], k):
                         where = before + other + after, len(before), len(before) + len(other)
                         found.append((None, None, None, 1, checked(*where)[0], 1, features(*where)))
+                covered = spans.Covered(own)
                 for s, e in candidate_spans(text):
-                    if not spans.overlaps(s, e, own):
+                    if not covered.overlaps(s, e):
                         found.append((None, s, e, 1, *checked(text, s, e), features(text, s, e)))
                 ids += [i] * len(found)
                 rest += found
@@ -279,7 +281,8 @@ def added_spans(found: DataFrame, ws: Workspace) -> DataFrame:
         least = calibrated([(r["bin"], r["good"], r["all"]) for r in bins if r["form"] == form])
         if least is not None:
             accepted = accepted | ((F.col("form") == form) & (F.col("bin") >= least))
-    others = candidates.filter("example is null or example = 0").select(*ROW_KEY, "start", "end", "form", "features")
+    others = candidates.filter("example is null").select(  # what its own check refutes is never added
+        *ROW_KEY, "start", "end", "form", "features")
     return sure.unionByName(judged(others).filter(accepted).select(*ROW_KEY, "start", "end", "score").distinct())
 
 
@@ -295,23 +298,25 @@ def sampled(labelled: DataFrame) -> DataFrame:
 
 
 def calibrated(bins: list[tuple[int, int, int]]) -> int | None:
-    """The least of (bin, examples, all) from which at least ``PRECISION`` of the candidates are examples."""
+    """The least of (bin, examples, all) from which at least ``PRECISION`` of the candidates are examples, and ``SUPPORT`` are."""
     least, good, total = None, 0, 0
     for at, examples, count in sorted(bins, reverse=True):
         good += examples
         total += count
-        if good >= PRECISION * total:
+        if good >= PRECISION * total and good >= SUPPORT:
             least = at
     return least
 
 
-def _best(found):
-    """Candidates of one row, best first and longer before shorter, each unless it overlaps an earlier one."""
-    taken: list[spans.Span] = []
-    for x in sorted(found, key=lambda x: (-x["score"], x["start"], -x["end"])):
-        if not spans.overlaps(x["start"], x["end"], taken):
-            taken.append((x["start"], KINDS.index("other"), x["end"]))
-    return spans.as_rows(taken)
+@F.pandas_udf(spans.TYPE)
+def _best(found: pd.Series) -> pd.Series:
+    """Candidates of each row, best first and longer before shorter, each unless it overlaps an earlier one."""
+    out = []
+    for own in found:
+        taken = spans.Disjoint()
+        best = sorted(own, key=lambda x: (-x["score"], x["start"], -x["end"]))
+        out.append(spans.as_rows((x["start"], KINDS.index("other"), x["end"]) for x in best if taken.take(x["start"], x["end"])))
+    return pd.Series(out)
 
 
 def personal_spans(docs: DataFrame, ws: Workspace) -> DataFrame:
@@ -319,8 +324,7 @@ def personal_spans(docs: DataFrame, ws: Workspace) -> DataFrame:
     run, schema = _scan()
     found = ws.save(identified(docs).mapInArrow(run, schema), "candidates")
     added = ws.save(added_spans(found, ws), "accepted")
-    best = F.udf(_best, spans.SQL)
     # One row's accepted candidates are fewer than its characters.
-    added = added.groupBy(*ROW_KEY).agg(best(F.collect_list(F.struct("start", "end", "score"))).alias("more"))
+    added = added.groupBy(*ROW_KEY).agg(_best(F.collect_list(F.struct("start", "end", "score"))).alias("more"))
     rows = found.filter("base is not null").select("doc_id", *ROW_KEY, "base").join(added, ROW_KEY, "left")
     return rows.select("doc_id", "base", F.array_sort(F.when(F.col("more").isNull(), F.col("base")).otherwise(F.concat("base", "more"))).alias("spans"))
