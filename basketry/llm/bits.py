@@ -6,7 +6,10 @@ keys than bits it only filters less; what passes is always joined exactly afterw
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +34,14 @@ def present(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     log_bits = len(bits).bit_length() - 1 + 6
     bit = keys >> np.uint64(64 - log_bits)
     return (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+
+
+def passes(docs: DataFrame, bits: np.ndarray) -> Callable:
+    """Whether a key of a column passes the bitmap."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def passed(keys: pd.Series) -> pd.Series:
+        return pd.Series(present(sent.value, keys.to_numpy().view(np.uint64)))
+
+    return passed

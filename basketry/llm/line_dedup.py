@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.bits import bitmap, present
+from basketry.llm.bits import bitmap, passes, present
 from basketry.llm.rows import ROW_KEY, batch, identified, plain
 from basketry.llm.words import _POWERS, mix
 from basketry.workspace import Workspace
@@ -129,6 +129,7 @@ def repeated_runs(docs: DataFrame, ws: Workspace, least: int = LEAST) -> tuple[D
     places = ws.save(lines.mapInArrow(run, schema).distinct(), "windows")
     place = F.struct("doc_id", "row_a", "row_b", "first", "last")
     firsts = places.groupBy("content").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("content", "origin")
+    firsts = ws.save(firsts, "first-occurrences")  # written, so that the join's sides are plain and a hot passage is split
     joined = places.join(firsts, "content")
     same = (F.col("origin.row_a") == F.col("row_a")) & (F.col("origin.row_b") == F.col("row_b")) & F.col("origin.doc_id").eqNullSafe(F.col("doc_id"))
     return lines, joined.filter(~same | (F.col("origin.last") < F.col("first"))).select(*ROW_KEY, "first", "last")
@@ -146,9 +147,16 @@ def deduplicated(docs: DataFrame, ws: Workspace, least: int = LEAST) -> DataFram
     covered = covered.agg(F.collect_set("line").alias("covered"))
     table = lines.select(*ROW_KEY, "line").join(covered, ROW_KEY).dropDuplicates(ROW_KEY)
     table = ws.save(table.select(*ROW_KEY, F.array_sort(F.array_intersect("line", "covered")).alias("removed")), "removed")
-    # Texts meet their removals in one shuffle at every size; removals of a corpus have no bound to broadcast by.
-    rows = identified(docs).join(table.hint("merge"), ROW_KEY, "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
-    text = F.when(F.size("removed") == 0, F.col("text")).otherwise(kept)
+    # Only texts that may lose lines move: a bitmap tells them, and those that it confuses with them meet no removals.
+    # Removals of a corpus have no bound to broadcast by.
+    table = table.filter(F.size("removed") > 0)
+    may_lose = passes(docs, bitmap(table, "row_a"))
+    none = F.array().cast("array<int>")
+    moved = identified(docs).filter(may_lose("row_a")).join(table.hint("merge"), ROW_KEY, "left").withColumn("removed", F.coalesce("removed", none))
+    rows = identified(docs).filter(~may_lose("row_a")).withColumn("removed", none).unionByName(moved)
+    # Numbers of the lines that stay, then the lines; the lines are bound once.
+    stay = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
+    kept = F.transform(F.array(F.split("text", "\n")), lambda lines: F.array_join(F.transform(stay(lines), lambda i: F.get(lines, i)), "\n"))
+    text = F.when(F.size("removed") == 0, F.col("text")).otherwise(F.get(kept, F.lit(0)))
     worded = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != ""))
     return rows.select("doc_id", text.alias("text"), worded.cast("long").alias("n_lines"), "removed")
