@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.bits import bitmap, present
+from basketry.llm.bits import bitmap, passes, present
 from basketry.llm.components import connected_components
 from basketry.llm.rows import ROW_KEY, batch, identified, plain, row_key
 from basketry.llm.words import SPACED_LOWER, grams, mix, slices, words_of
@@ -357,7 +357,8 @@ class _Join:
         self.texts = docs.select("text", "row_a")
         # Two classes in one run are verified as a pair at first; the later rounds need longer runs only.
         rows = shared.select("key", "set")
-        long_runs = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 2")
+        # Aggregates are written before they are joined: only plain exchanges on both sides let a hot key be split.
+        long_runs = ws.save(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 2"), "long-runs")
         self.crowded = ws.save(rows.join(long_runs, "key").select("key", "set", "rows"), "crowded-parts")
         bits = self.made_of(shared.select("set").distinct(), "bits", _parities)
         self.parities = ws.save(bits.join(classes.select("set", F.col("n_shingles").alias("n")), "set").select("set", "n", "bits"), "parities")
@@ -396,7 +397,8 @@ class _Join:
         rows = self.crowded.join(labels, "set", "left")
         rows = self.ws.save(rows.select("key", "set", "rows", F.coalesce("component", "set").alias("component")), "labelled-parts")
         several = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        rows = rows.join(several.filter("least < most").select("key"), "key")
+        several = self.ws.save(several.filter("least < most").select("key"), "several-components")
+        rows = rows.join(several, "key")
         rows = rows.withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("set"), "blocks").cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         cells = rows.select("key", "set", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
@@ -432,7 +434,9 @@ def near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similarity) -> D
     rows = features.select("doc_id", "row_a", "row_b", "n_shingles", "set")
     classes = rows.filter("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     classes = classes.join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    classes = ws.save(classes, "labelled-classes")
     named = classes.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("copies"))
+    named = ws.save(named, "named-components")
     named = ws.save(classes.select("set", "component").join(named, "component").select("set", "component", "component_id", "copies"), "components")
     # Most classes have one row; only the others are joined back.
     named = named.filter("copies > 1")
@@ -454,14 +458,14 @@ def without_near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similari
     place = F.struct("doc_id", *ROW_KEY)
     rows = every.filter("copies > 1").groupBy("component", "doc_id", *ROW_KEY).agg(F.count(F.lit(1)).alias("rows"))
     rows = ws.save(rows, "repeated-rows")
-    first = rows.groupBy("component").agg(F.min(place).alias("first"))
+    first = ws.save(rows.groupBy("component").agg(F.min(place).alias("first")), "first-rows")
     rows = rows.join(first, "component").withColumn("stays", (F.col("first.row_a") == F.col("row_a")) & (F.col("first.row_b") == F.col("row_b")))
     rows = ws.save(rows.select(*ROW_KEY, "stays", "rows"), "decided")
     # Rows whose bit is not set stay where they are. Of the others only those move that have the bit of a row to keep.
     listed = rows.filter("not stays or rows > 1")
-    passes_first = _passes(docs, bitmap(listed, "row_a"))
+    passes_first = passes(docs, bitmap(listed, "row_a"))
     kept = every.filter("copies = 1").select(*ROW_KEY).union(rows.filter("stays").select(*ROW_KEY))
-    passes_second = _passes(docs, bitmap(kept.filter(passes_first("row_a")), "row_b"))
+    passes_second = passes(docs, bitmap(kept.filter(passes_first("row_a")), "row_b"))
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         *[k.alias(c) for c, k in zip(ROW_KEY, row_key(F.col("doc_id").cast("long"), F.col("text")), strict=True)],
@@ -472,14 +476,3 @@ def without_near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similari
     equal = moved.join(rows.filter("stays and rows > 1").select(*ROW_KEY), ROW_KEY, "left_semi").dropDuplicates(ROW_KEY)
     out = keyed.filter(~passes_first("row_a")).unionByName(alone).unionByName(equal)
     return out.select(*[F.col(f"row.`{c}`") for c in docs.columns])
-
-
-def _passes(docs: DataFrame, bits: np.ndarray) -> Callable:
-    """Whether a key passes the bitmap."""
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def passes(keys: pd.Series) -> pd.Series:
-        return pd.Series(present(sent.value, keys.to_numpy().view(np.uint64)))
-
-    return passes
