@@ -160,8 +160,8 @@ def _matched(doc, doc_lead, item, item_lead, size):
     return pd.Series(out)
 
 
-def contaminated_windows(docs: DataFrame, benchmark: DataFrame, ws: Workspace, span: int = SPAN, gram: int = GRAM, log_bits: int = LOG_BITS) -> tuple[DataFrame, DataFrame]:
-    """Every document row with its number of words, and every hit window (row key, first word, size, items)."""
+def contaminated_windows(docs: DataFrame, benchmark: DataFrame, ws: Workspace, span: int = SPAN, gram: int = GRAM, log_bits: int = LOG_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every document row with its number of words, and every hit window (row key, first word, size, items_of), and the sets (items, items_of)."""
     spark = docs.sparkSession
     run, schema = _benchmark_places(span, gram)
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text"))
@@ -171,16 +171,20 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, ws: Workspace, s
     run, schema = _document_places(span, gram, bits, sizes)
     found = ws.save(identified(docs).mapInArrow(run, schema), "document-places")
     # The same place in several items is one row; a place is told by its words, not by chance of its hash.
-    known = places.groupBy("fp", "size", "lead", "around").agg(F.collect_set("item").alias("items"))
+    # Windows carry the number of their set of items, and the sets travel on their own.
+    known = places.groupBy("fp", "size", "lead", "around").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    known = ws.save(known, "known-places")
+    sets = ws.save(known.select("items").distinct().withColumn("items_of", F.monotonically_increasing_id()), "item-sets")
+    known = ws.save(known.join(sets, "items").drop("items"), "numbered-places")
     candidates = found.filter("fp is not null").alias("d").join(known.alias("k"), ["fp", "size"])
     start = F.explode(_matched("d.around", "d.lead", "k.around", "k.lead", "size")).alias("start")
-    windows = candidates.select(*ROW_KEY, "at", "size", "items", start)
-    return found, windows.select(*ROW_KEY, (F.col("at") + F.col("start")).alias("first_word"), "size", "items")
+    windows = candidates.select(*ROW_KEY, "at", "size", "items_of", start)
+    return found, windows.select(*ROW_KEY, (F.col("at") + F.col("start")).alias("first_word"), "size", "items_of"), sets
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, ws: Workspace, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """Per document row: doc_id, row key, n_words, n_hit (words inside hit windows) and sorted ``items``."""
-    found, windows = contaminated_windows(docs, benchmark, ws, span, gram)
+    found, windows, sets = contaminated_windows(docs, benchmark, ws, span, gram)
     windows = ws.save(windows, "hit-windows")
     spans = windows.groupBy(*ROW_KEY, "first_word").agg(F.max("size").alias("size"))
     # A word counts once: each window adds what lies beyond all earlier ones.
@@ -189,7 +193,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, ws: Workspace, span: in
     fresh = F.greatest(F.lit(0), end - F.greatest("first_word", F.coalesce(F.max(end).over(before), F.lit(0))))
     words = spans.select(*ROW_KEY, fresh.alias("fresh")).groupBy(*ROW_KEY).agg(F.sum("fresh").alias("n_hit"))
     items = (
-        windows.select(*ROW_KEY, F.explode("items").alias("item")).distinct()
+        windows.select(*ROW_KEY, "items_of").distinct().join(sets, "items_of")
+        .select(*ROW_KEY, F.explode("items").alias("item")).distinct()
         .groupBy(*ROW_KEY).agg(F.array_sort(F.collect_list("item")).alias("items"))
     )
     hits = words.join(items, ROW_KEY, "left")  # hits of null ids only have no items
@@ -202,8 +207,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, ws: Workspace, span: in
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, ws: Workspace, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """The rows of ``docs`` without hits, all columns as they are."""
-    _, windows = contaminated_windows(docs, benchmark, ws, span, gram)
-    a, b = (f"_{c}" for c in ROW_KEY)
-    hit = ws.save(windows.select(F.col("row_a").alias(a), F.col("row_b").alias(b)).distinct(), "hit-rows")
-    keyed = docs.withColumns(dict(zip((a, b), row_key(F.col("doc_id").cast("long"), F.col("text")), strict=True)))
-    return keyed.join(hit, [a, b], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    _, windows, _ = contaminated_windows(docs, benchmark, ws, span, gram)
+    hit = ws.save(windows.select(*ROW_KEY).distinct(), "hit-rows")
+    keys = zip(ROW_KEY, row_key(F.col("doc_id").cast("long"), F.col("text")), strict=True)
+    # The row is carried as one value, so that none of its names can clash with a key.
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[k.alias(c) for c, k in keys])
+    return keyed.join(hit, ROW_KEY, "left_anti").select(*[F.col(f"row.`{c}`") for c in docs.columns])
