@@ -15,7 +15,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -66,6 +66,10 @@ class RuleEnsemble:
     weights: tuple[float, ...]
     intercept: float
 
+    def shifted(self, log_odds: float) -> RuleEnsemble:
+        """The model for other shares of the labels than it was taught by."""
+        return replace(self, intercept=self.intercept + log_odds)
+
     def score(self) -> Column:
         """The probability of label 1 as a column over the statistics."""
         total = F.lit(self.intercept)
@@ -123,16 +127,16 @@ def fit(rows: DataFrame, ws: Workspace) -> RuleEnsemble:
 
 def quality_model(rows: DataFrame, labels: DataFrame, ws: Workspace) -> RuleEnsemble:
     """The ensemble that ``labels`` teach; ``rows`` are statistics with doc_id."""
-    sample = labelled_sample(labels, "quality", FOLDS, HELD_OUT, PER_CLASS, ws)
-    return fit(ws.save(rows.join(sample, "doc_id"), "training"), ws)
+    sample, shift = labelled_sample(labels, "quality", FOLDS, HELD_OUT, PER_CLASS, ws)
+    return fit(ws.save(rows.join(sample, "doc_id"), "training"), ws).shifted(shift)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, least: float, ws: Workspace) -> DataFrame:
     """The rows of ``docs`` with a score of ``least`` or more, all columns as they are."""
-    sample = labelled_sample(labels, "quality", FOLDS, HELD_OUT, PER_CLASS, ws)
+    sample, shift = labelled_sample(labels, "quality", FOLDS, HELD_OUT, PER_CLASS, ws)
     taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
     taught = statistics(taught, carry=True).withColumn("label", F.col(f"{CARRIED}.label")).drop(CARRIED)
-    model = fit(ws.save(taught, "training"), ws)
+    model = fit(ws.save(taught, "training"), ws).shifted(shift)
     return statistics(docs, carry=True).filter(model.score() >= least).select(f"{CARRIED}.*")
 
 

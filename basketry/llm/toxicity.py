@@ -46,9 +46,11 @@ NEGATIONS = "not no never neither nor without cannot don't isn't nicht kein kein
 REPORTS = "said says wrote writes called calls claimed quoted reported sagte schrieb nannte behauptete dit écrit appelé dijo escribió llamó"
 CLASSES = {w: c for c, ws in (("threat", THREATS), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS)) for w in ws.split()}
 
-TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.,;:!?\n|\"“”«»]")
+TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.,;:!?\n|\"“”„«»]")
 ENDS = set(".,;:!?\n|")
-QUOTES = set("\"“”«»")
+#: Marks that open a quotation, with those that close it.
+QUOTES = {'"': '"', "„": "“”", "“": "”", "«": "»", "»": "«"}
+MARKS = {*QUOTES, *"".join(QUOTES.values())}
 KINDS = ("plain", "bound", "negated", "reported", "threat")
 
 Step = tuple[int, str, float]
@@ -93,9 +95,9 @@ def _governs(trigger: str, mark: str, reach: int) -> Transducer:
 
 
 def _quotation() -> Transducer:
-    """Inside quotation marks, insults and threats are reported."""
+    """Inside paired quotation marks, insults and threats are reported."""
     return Transducer(
-        {(0, "quote"): (1, "quote", 1.0), (1, "quote"): (0, "quote", 1.0), (1, "insult"): (1, "reported", 1.0), (1, "threat"): (1, "reported", 1.0)},
+        {(0, "open"): (1, "open", 1.0), (1, "close"): (0, "close", 1.0), (1, "insult"): (1, "reported", 1.0), (1, "threat"): (1, "reported", 1.0)},
         {},
     )
 
@@ -114,6 +116,31 @@ def grammar() -> Composed:
 
 
 START = (0, 0, 0, 0)
+BACKWARDS = _binding()
+
+
+def quotations(tokens: list[str]) -> dict[int, str]:
+    """Place and symbol of the marks that pair up within a paragraph; a mark without its partner is none."""
+    found: dict[int, str] = {}
+    opened: tuple[int, str] | None = None
+    for i, token in enumerate(tokens):
+        if token == "\n" and tokens[i - 1 : i] == ["\n"]:
+            opened = None
+        elif token in MARKS:
+            if opened and token in QUOTES[opened[1]]:
+                found[opened[0]], found[i] = "open", "close"
+                opened = None
+            elif token in QUOTES and (opened is None or opened[1] != '"'):
+                opened = (i, token)
+    return found
+
+
+def bound_from_behind(clause: list[tuple[str, str, float, float]]) -> Iterator[tuple[str, str, float, float]]:
+    """The clause's (symbol, output, weight, factor) once targets that follow a match bind it, too: it is read backwards."""
+    state = 0
+    for symbol, out, weight, factor in reversed(clause):
+        state, again, more = BACKWARDS.step(state, out)
+        yield (symbol, again, weight, more) if out == "insult" or out == "threat" and factor == 1.0 else (symbol, out, weight, factor)
 
 
 def units(word: str) -> list[str]:
@@ -154,22 +181,30 @@ def matched(text: str, lexicon: Lexicon, machine: Composed, own: int | None = No
     """Per kind, the log of 1 plus the sum of matched clause weights; then the log of 1 plus plain and bound insults per 100 words."""
     sums = dict.fromkeys(KINDS, 0.0)
     state, words, hits = START, 0, 0
-    for token in TOKEN.findall(text.lower()):
+    tokens = TOKEN.findall(text.lower())
+    marks = quotations(tokens) if not MARKS.isdisjoint(tokens) else {}
+    clause: list[tuple[str, str, float, float]] = []
+    for i, token in enumerate([*tokens, "\n"]):
         if token in ENDS:
+            for symbol, out, weight, factor in bound_from_behind(clause):
+                if symbol in ("insult", "threat"):
+                    sums["plain" if out == "insult" else out] += weight * factor
+                    hits += out in ("insult", "bound")
+            clause = []
             state = (0, 0, state[2], 0)  # a clause ends; a quotation may go on
             continue
         weight = 1.0
-        if token in QUOTES:
-            symbol = "quote"
+        if token in MARKS:
+            if i not in marks:
+                continue
+            symbol = marks[i]
         else:
             words += 1
             symbol = CLASSES.get(token, "other")
             if symbol == "other" and (w := lexicon.weight(token, own)):
                 symbol, weight = "insult", w
         state, out, factor = machine.step(state, symbol)
-        if symbol in ("insult", "threat"):
-            sums["plain" if out == "insult" else out] += weight * factor
-            hits += out in ("insult", "bound")
+        clause.append((symbol, out, weight, factor))
     return [math.log1p(sums[k]) for k in KINDS] + [math.log1p(100.0 * hits / max(words, 1))]
 
 
@@ -232,14 +267,14 @@ class ToxicityModel:
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, ws: Workspace) -> ToxicityModel:
-    sample = labelled_sample(labels, "toxic", FOLDS, HELD_OUT, PER_CLASS, ws)
+    sample, shift = labelled_sample(labels, "toxic", FOLDS, HELD_OUT, PER_CLASS, ws)
     training = ws.save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id").select("text", "label"), "toxicity-training")
     lexicon = learn_lexicon(training)
     if not lexicon.toxic or not lexicon.clean:
         return ToxicityModel(Lexicon({}, lexicon.toxic, lexicon.clean), (0.0,) * (len(KINDS) + 1), math.log((lexicon.toxic + 0.5) / (lexicon.clean + 0.5)))
     table = ws.save(training.mapInArrow(_features(lexicon), "label double, features array<double>"), "toxicity-table")
     model = LogisticRegression(regParam=0.0005, maxIter=100).fit(table.select("label", array_to_vector("features").alias("features")))
-    return ToxicityModel(lexicon, tuple(map(float, model.coefficients.toArray())), float(model.intercept))
+    return ToxicityModel(lexicon, tuple(map(float, model.coefficients.toArray())), float(model.intercept) + shift)
 
 
 def _scored(model: ToxicityModel) -> Callable:
