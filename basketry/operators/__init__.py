@@ -13,11 +13,13 @@ from basketry.operators.dataset import (
 )
 from basketry.operators.documents import mba_documents, ranking_documents, to_messages
 from basketry.operators.mining import frequent_itemsets
+from basketry.operators.moving import MovingItemsets, family_counts
 from basketry.operators.ranking import ranked_units, ranking_topk, top_products
 from basketry.operators.rules import association_rules, pair_best_metric, recommendation_pairs
 from basketry.operators.snapshot import latest_snapshot, partner_copies
 
 __all__ = [
+    "MovingItemsets",
     "assert_unique",
     "association_rules",
     "basket_counts",
@@ -26,6 +28,7 @@ __all__ = [
     "closed_itemsets",
     "eligible_lines",
     "expanded",
+    "family_counts",
     "fanout",
     "frequent_itemsets",
     "latest_snapshot",

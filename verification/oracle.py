@@ -190,6 +190,8 @@ entries as (
     select distinct country_id, order_id, p_brand as gtin from lines join part on product_id = p_partkey
 )"""
 
+MOVED_ENTRIES = f"{BRAND_ENTRIES[:-1].rstrip()} where order_id % 5 <> 0\n)"
+
 CODE_ENTRIES = f"""entries as (
     select distinct l.country_id, l.order_id, p.code as gtin
     from lines l
@@ -253,6 +255,10 @@ select country_id, array_to_string(items, '|') as items, len(items) as number_of
        n, n_baskets, n / n_baskets as support
 from itemsets left join below using (country_id, items) where most is null or most < n""",
     "expanded_itemsets": ITEMSET_ROWS,
+    "moving_window": f"""with recursive {_itemsets(MOVED_ENTRIES, '0.005')}
+select country_id, array_to_string(items, '|') as items, len(items) as number_of_items,
+       n, n_baskets, n / n_baskets as support
+from itemsets""",
     "bucketed_baskets": f"""with {LINES}
 select country_id, order_id, count(distinct p_brand) as n_items,
        string_agg(distinct p_brand, '|' order by p_brand) as items

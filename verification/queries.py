@@ -132,6 +132,18 @@ def bucketed_baskets(spark: SparkSession, folder: str) -> DataFrame:
     return op.baskets(read_bucketed_orders(spark, table)).select("country_id", "order_id", F.size("items").alias("n_items"), _text("items"))
 
 
+def moving_window(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders in fifths, as days: four of them counted in full, then the window moves on by one."""
+    carts, own = op.baskets(StarSchema(spark, folder).brand_rows()), workspace(spark)
+    carts = own.save(carts.withColumn("part", F.col("order_id") % 5), "parts")
+    days = [dt.date(2024, 1, 1 + k) for k in range(5)]
+    moving = op.MovingItemsets(spark, own.folder("moving"), MINING)
+    for k, day in enumerate(days):
+        moving.store(day, carts.filter(F.col("part") == k))
+    moving.itemsets(days[:4], own)
+    return moving.itemsets(days[1:], own).withColumn("items", _text("items"))
+
+
 def frequent_itemsets_wide(spark: SparkSession, folder: str) -> DataFrame:
     """Baskets above four items (or what the country's limit rises to) are looked up, not expanded."""
     return frequent_itemsets(spark, folder, replace(MINING, wide_basket=4))
@@ -331,6 +343,7 @@ QUERIES: dict[str, Query] = {
         frequent_itemsets_wide,
         closed_itemsets,
         expanded_itemsets,
+        moving_window,
         bucketed_baskets,
         association_rules,
         rule_metrics,
