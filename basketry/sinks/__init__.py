@@ -1,5 +1,5 @@
 from basketry.sinks.outbox import Delivery, NotSent, Retries, publish, publish_once, read_ledger, read_outbox, write_outbox
-from basketry.sinks.tables import replace_table, upsert_history, write_if_nonempty
+from basketry.sinks.tables import read_history, replace_table, upsert_history, write_if_nonempty
 
 __all__ = [
     "Delivery",
@@ -7,6 +7,7 @@ __all__ = [
     "Retries",
     "publish",
     "publish_once",
+    "read_history",
     "read_ledger",
     "read_outbox",
     "replace_table",

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from basketry import Workspace
-from basketry.sinks import publish, read_outbox, replace_table, upsert_history, write_if_nonempty, write_outbox
+from basketry.sinks import publish, read_history, read_outbox, replace_table, upsert_history, write_if_nonempty, write_outbox
 from basketry.sinks import NotSent, Retries, publish_once, read_ledger, tables
 from basketry.sources import read_table, table_folder
 from basketry.workspace import checkpoint_root
@@ -50,6 +50,18 @@ def test_history_of_one_day_reads_one_partition(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(audit_date" in plan
 
 
+def test_history_without_a_row_is_read(spark, tmp_path):
+    path, columns = str(tmp_path / "history"), [*pairs(spark, 1).columns, "audit_date"]
+    assert read_history(spark, path, pairs(spark, 1).schema).columns == columns
+    upsert_history(pairs(spark, 0), path, D1)
+    upsert_history(pairs(spark, 0), path, D2)
+    found = read_history(spark, path, pairs(spark, 1).schema)
+    assert (found.columns, found.count()) == (columns, 0)
+    upsert_history(pairs(spark, 2), path, D2)
+    found = read_history(spark, path, pairs(spark, 1).schema)
+    assert (found.columns, [r.audit_date for r in found.collect()]) == (columns, [D2, D2])
+
+
 def test_write_if_nonempty(spark, tmp_path):
     path = str(tmp_path / "table")
     assert write_if_nonempty(pairs(spark, 3), path)
