@@ -43,6 +43,7 @@ from basketry.llm.words import SPACED_LOWER, grams, mix, slices, words_of
 from basketry.workspace import Workspace
 
 GROWTH = 1.5
+PIECE = 1 << 18  # keys, or bytes, that a task holds before it sends them on
 
 
 @dataclass(frozen=True)
@@ -163,19 +164,29 @@ def _features(similarity: Similarity) -> tuple[Callable, str]:
 
 
 def _of_listed(similarity: Similarity, listed: Broadcast, name: str, kind: pa.DataType, made: Callable) -> Callable:
-    """Rows (text, row_a) that the bitmap passes → (set, ``name``), the latter ``made`` of their shingles."""
+    """Rows (text, row_a) that the bitmap passes → (set, ``name``), the latter ``made`` of their shingles.
+
+    What is made of a batch is many times its rows, so it is sent on in pieces.
+    """
     fields = pa.schema([("set", pa.int64()), (name, kind)])
 
+    def rows(sets: list, values: list) -> pa.RecordBatch:
+        return batch(fields, {"set": np.array(sets, np.uint64).view(np.int64), name: pa.array(values, kind)})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             passed = present(listed.value, plain(b.column(1)).to_numpy(zero_copy_only=False).view(np.uint64))
-            sets, values = [], []
+            sets, values, size = [], [], 0
             for _, s in _shingle_sets(plain(b.column(0)).filter(pa.array(passed)), similarity.words):
                 if len(s):
                     sets.append(_set_id(s))
                     values.append(made(s))
+                    size += len(values[-1])
+                if size >= PIECE:
+                    yield rows(sets, values)
+                    sets, values, size = [], [], 0
             if sets:
-                yield batch(fields, {"set": np.array(sets, np.uint64).view(np.int64), name: pa.array(values, kind)})
+                yield rows(sets, values)
 
     return run
 

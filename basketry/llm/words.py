@@ -1,6 +1,6 @@
 """Words of whole Arrow text columns as NumPy arrays: where they lie, which row they belong to, 64-bit hashes.
 
-Rows are handled in slices of a few megabytes, so memory follows the longest text, not the batch.
+Rows are handled in slices of half a megabyte, so memory follows the longest text, not the batch.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +68,15 @@ def test_ablation_of_nothing_and_of_null_texts(spark):
     rows = quality_rules.ledger(frame(spark, [(1, None), (2, ""), (None, TEXT)]))
     assert rows.count() == 3 and rows.filter("n_words = 0").count() == 2
     assert rows.filter(F.col("doc_id").isNull()).first()["n_words"] == 80
+
+
+def test_values_made_of_a_batch_leave_a_task_in_pieces():
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(500)]
+    every = SimpleNamespace(value=np.full(1 << 10, ~np.uint64(0), np.uint64))
+    similarity = near_duplicates.Similarity(words=5, share=80)
+    run = near_duplicates._of_listed(similarity, every, "shingles", pa.binary(), np.ndarray.tobytes)
+    rows = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(500), pa.int64())], names=["text", "row_a"])
+    pieces = list(run(iter([rows])))
+    assert sum(p.num_rows for p in pieces) == 500 and max(p.nbytes for p in pieces) < 2 * near_duplicates.PIECE
+    whole = {x for p in pieces for x in p.column(0).to_pylist()}
+    assert whole == {int(near_duplicates._set_id(s).view(np.int64)) for _, s in near_duplicates._shingle_sets(pa.array(texts), 5)}
