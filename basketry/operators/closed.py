@@ -7,8 +7,8 @@ baskets, not all their subsets.
 Each closed set is made once, by prefix-preserving extension: a closed set takes an item behind its last one, and all items
 that are in every order of the two are merged with it. The set counts only if none of them stands before the new item
 and is not in the old set, since then it is reached from there. Rows are whole baskets, as items before the new one are
-tested, too. Items that at most ``local_rows`` orders hold with their set go to one task that finds all closed sets
-below; the others take a level each: one explode, one sum, and a join on numbers.
+tested, too. Items that at most ``local_rows`` different baskets hold with their set, however often these come, go to one
+task that finds all closed sets below; the others take a level each: one explode, one sum, and a join on numbers.
 """
 
 from __future__ import annotations
@@ -41,7 +41,9 @@ def closed_itemsets(carts: DataFrame, params: MiningParams = MiningParams(), wor
     totals = ws.save(with_min_count(everything, params).withColumn("child", F.monotonically_increasing_id()), "totals")
     items = ws.save(frequent_items(counts, totals), "items")
     coded = ws.save(coded_baskets(carts, items, least=1), "coded")
-    nodes = ws.save(_roots(items, totals), "roots")
+    different = coded.select("country_id", F.explode("ids").alias("id")).groupBy("country_id", "id").agg(F.count(F.lit(1)).alias("rows"))
+    different = ws.save(different, "different-baskets")
+    nodes = ws.save(_roots(items.join(different, ["country_id", "id"]), totals), "roots")
     found = [nodes.filter(F.size("path") > 0).select("country_id", F.col("path").alias("ids"), F.col("n_baskets").alias("n"))]
     states = coded.join(nodes.drop("n_baskets"), "country_id").withColumnRenamed("child", "node")
     level = 0
@@ -94,23 +96,25 @@ def _measured(sets: DataFrame, totals: DataFrame) -> DataFrame:
 
 def _roots(items: DataFrame, totals: DataFrame) -> DataFrame:
     """(country_id, child, n_baskets, least, path, extensions): the items of all orders of a country, and the other frequent ones."""
-    rows = items.select("country_id", "id", "n").join(totals, "country_id")
+    rows = items.select("country_id", "id", "n", "rows").join(totals, "country_id")
     every = F.col("n") == F.col("n_baskets")
     return rows.groupBy("country_id", "child", "n_baskets", F.col("min_count").alias("least")).agg(
         F.sort_array(F.collect_list(F.when(every, F.col("id")))).alias("path"),
-        F.collect_list(F.when(~every, F.struct(F.col("id").alias("next"), "n"))).alias("extensions"),
+        F.collect_list(F.when(~every, F.struct(F.col("id").alias("next"), "n", "rows"))).alias("extensions"),
     )
 
 
 def _states(rows: DataFrame, limit: int) -> DataFrame:
     """(node, item, ids, weight, least, before, local): each basket with each item that may extend its set.
 
+    ``local``: at most ``limit`` different baskets hold it with the set.
+
     ``before``: how many items of the set stand before that item.
     """
     fits = F.filter("extensions", lambda e: F.array_contains("ids", e["next"]))
     split = rows.select("node", "ids", "weight", "least", "path", F.inline(fits))
     before = F.size(F.filter("path", lambda x: x < F.col("next")))
-    return split.select("node", F.col("next").alias("item"), "ids", "weight", "least", before.alias("before"), (F.col("n") <= limit).alias("local"))
+    return split.select("node", F.col("next").alias("item"), "ids", "weight", "least", before.alias("before"), (F.col("rows") <= limit).alias("local"))
 
 
 def _closures(states: DataFrame) -> DataFrame:
@@ -118,9 +122,10 @@ def _closures(states: DataFrame) -> DataFrame:
 
     An item that as many orders hold as the state has belongs to the closure.
     """
-    counts = states.select(*PREFIX, "least", "before", "weight", F.explode("ids").alias("next")).groupBy(*PREFIX, "least", "before", "next").agg(F.sum("weight").alias("n"))
+    counts = states.select(*PREFIX, "least", "before", "weight", F.explode("ids").alias("next")).groupBy(*PREFIX, "least", "before", "next")
+    counts = counts.agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("rows"))
     own = F.max(F.when(F.col("next") == F.col("item"), F.col("n")))
-    sets = counts.filter("n >= least").groupBy(*PREFIX, "before").agg(own.alias("n"), F.sort_array(F.collect_list(F.struct("next", "n"))).alias("counted"))
+    sets = counts.filter("n >= least").groupBy(*PREFIX, "before").agg(own.alias("n"), F.sort_array(F.collect_list(F.struct("next", "n", "rows"))).alias("counted"))
     same = F.transform(F.filter("counted", lambda e: e["n"] == F.col("n")), lambda e: e["next"])
     more = F.filter("counted", lambda e: (e["n"] < F.col("n")) & (e["next"] > F.col("item")))
     sets = sets.select(*PREFIX, "before", "n", same.alias("path"), more.alias("extensions"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketry import MiningParams
 from basketry import operators as op
-from basketry.operators import mining
+from basketry.operators import closed, mining
 from basketry.operators.growth import by_bit_arrays, by_tree
 from basketry.params import ALGORITHMS
 from tests import brute
@@ -243,6 +243,17 @@ def test_closed_itemsets_and_their_expansion(spark, seed, support, local_rows):
     assert as_dict(op.expanded(closed, max_len=2)) == {k: n for k, n in every.items() if len(k[1]) <= 2}
 
 
+def test_closed_itemsets_take_no_level_for_baskets_that_come_often(spark, monkeypatch):
+    def refused(states):
+        raise AssertionError("a level was taken")
+
+    monkeypatch.setattr(closed, "_closures", refused)
+    baskets = {1: [frozenset(x) for x in ("abc", "abd", "bcd", "ab", "cd")] * 12}
+    carts = op.baskets(rows_of(spark, baskets))
+    found = op.closed_itemsets(carts, MiningParams(min_support=1e-9, local_rows=5))
+    assert {(r.country_id, tuple(r["items"])): r.n for r in found.collect()} == closed_of(brute.itemsets(baskets, 1e-9))
+
+
 def test_closed_itemsets_of_nothing(spark):
     empty = op.baskets(spark.createDataFrame([], ROWS))
     assert op.closed_itemsets(empty).count() == 0 and op.expanded(op.closed_itemsets(empty)).count() == 0
