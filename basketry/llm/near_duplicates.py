@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.bits import bitmap, passes, present
 from basketry.llm.components import connected_components
-from basketry.llm.rows import ROW_KEY, batch, identified, plain, row_key
+from basketry.llm.rows import ROW_KEY, batch, identified, plain, row_key, text_batches
 from basketry.llm.words import SPACED_LOWER, grams, mix, slices, words_of
 from basketry.workspace import Workspace
 
@@ -372,12 +372,14 @@ class _Join:
         long_runs = ws.save(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 2"), "long-runs")
         self.crowded = ws.save(rows.join(long_runs, "key").select("key", "set", "rows"), "crowded-parts")
         bits = self.made_of(shared.select("set").distinct(), "bits", _parities)
-        self.parities = ws.save(bits.join(classes.select("set", F.col("n_shingles").alias("n")), "set").select("set", "n", "bits"), "parities")
+        with text_batches(ws.spark):
+            self.parities = ws.save(bits.join(classes.select("set", F.col("n_shingles").alias("n")), "set").select("set", "n", "bits"), "parities")
         self.verified: DataFrame | None = None
+        self.labels: DataFrame | None = None  # components of the links so far, where they are made
 
     def made_of(self, sets: DataFrame, name: str, made: Callable) -> DataFrame:
         """(set, ``name``) of these sets, made anew of one text each; others may be among them."""
-        listed = self.ws.save(self.classes.join(sets, "set").select("row_a"), f"rows-{name}")
+        listed = self.classes.join(sets, "set").select("row_a")
         listed = listed.sparkSession.sparkContext.broadcast(bitmap(listed, "row_a"))
         run = _of_listed(self.similarity, listed, name, pa.binary(), made)
         return self.texts.mapInArrow(run, f"set long, {name} binary").dropDuplicates(["set"])
@@ -391,16 +393,24 @@ class _Join:
             two = self.parities.toDF("b", "m", "y")
             pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "x", "y")
             pairs = pairs.mapInArrow(_possible(self.similarity), "a long, b long")
-        pairs = self.ws.save(pairs.select("a", "b"), "possible")
+        pairs, seen = self.ws.save_measured(pairs.select("a", "b"), "possible", pairs=F.count(F.lit(1)))
+        if self.verified is not None and not seen.get("pairs"):
+            return
         sets = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
         # Only the sets of pairs that the parities leave are made and moved.
-        sets = self.ws.save(self.made_of(sets, "shingles", np.ndarray.tobytes), "sets")
-        whole = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
-        found = self.ws.save(whole.mapInArrow(_verify(self.similarity), "a long, b long, linked boolean"), "verified")
+        with text_batches(self.ws.spark):
+            sets = self.ws.save(self.made_of(sets, "shingles", np.ndarray.tobytes), "sets")
+            whole = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+            whole = whole.mapInArrow(_verify(self.similarity), "a long, b long, linked boolean")
+            found, seen = self.ws.save_measured(whole, "verified", links=F.count_if("linked"))
         self.verified = found if self.verified is None else self.verified.union(found)
+        if seen.get("links"):
+            self.labels = None
 
     def components(self) -> DataFrame:
-        return connected_components(self.verified.filter("linked").select("a", "b"), self.ws)
+        if self.labels is None:
+            self.labels = connected_components(self.verified.filter("linked").select("a", "b"), self.ws)
+        return self.labels
 
     def across(self, nearest: bool) -> DataFrame:
         """Pairs of different components that share a part and may be linked."""
@@ -431,7 +441,8 @@ def near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similarity) -> D
     copies: rows of the component. component: its label, null where the row is alone.
     """
     run, schema = _features(similarity)
-    features = ws.save(docs.select("doc_id", "text", "row_a", "row_b").mapInArrow(run, schema), "features")
+    with text_batches(ws.spark):
+        features = ws.save(docs.select("doc_id", "text", "row_a", "row_b").mapInArrow(run, schema), "features")
     # Copies share a set, and the parts of one are enough.
     first = features.filter("n_shingles > 0").groupBy("set", "n_shingles").agg(F.min(F.struct("doc_id", "row_a")).alias("first"))
     first = ws.save(first.select("set", "n_shingles", F.col("first.row_a").alias("row_a")), "classes")
@@ -439,7 +450,8 @@ def near_duplicates(docs: DataFrame, ws: Workspace, similarity: Similarity) -> D
     run = _of_listed(similarity, listed, "keys", pa.list_(pa.int64()), _all_keys(similarity))
     # The keys are needed once, and dropped with their folder then.
     with Workspace(docs.sparkSession) as keys:
-        found = keys.save(docs.select("text", "row_a").mapInArrow(run, "set long, keys array<long>"), "keys")
+        with text_batches(ws.spark):
+            found = keys.save(docs.select("text", "row_a").mapInArrow(run, "set long, keys array<long>"), "keys")
         shared = _shared_parts(found, ws)
     labels = _Join(similarity, first, shared, docs, ws).run().withColumnRenamed("node", "set")
     rows = features.select("doc_id", "row_a", "row_b", "n_shingles", "set")

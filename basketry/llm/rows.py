@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Two hashes with different seeds: 128 bits that stand for (doc_id, text). Equal rows share them, and
 #: every operator gives equal rows equal results, so joining results back on them loses nothing.
 ROW_KEY = ["row_a", "row_b"]
 
+#: Rows of an Arrow batch of texts: the JVM and the Python worker each hold such a batch several times.
+TEXT_ROWS = 1000
+
+
+@contextmanager
+def text_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run meanwhile send at most ``TEXT_ROWS`` rows to Python at once; the setting is put back after."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
 
 def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, row_a, row_b); other columns are left out, so their names cannot clash."""

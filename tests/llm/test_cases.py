@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
@@ -10,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.llm import line_dedup, mixing, near_duplicates, quality_rules, sharding
-from basketry.llm.rows import identified
+from basketry.llm.components import connected_components
+from basketry.llm.rows import TEXT_ROWS, identified, text_batches
 from basketry.workspace import Workspace
 
 TEXT = " ".join(f"word{i}" for i in range(80))
@@ -80,3 +83,69 @@ def test_values_made_of_a_batch_leave_a_task_in_pieces():
     assert sum(p.num_rows for p in pieces) == 500 and max(p.nbytes for p in pieces) < 2 * near_duplicates.PIECE
     whole = {x for p in pieces for x in p.column(0).to_pylist()}
     assert whole == {int(near_duplicates._set_id(s).view(np.int64)) for _, s in near_duplicates._shingle_sets(pa.array(texts), 5)}
+
+
+def written(ws):
+    """Names of the tables that a workspace has written, in order."""
+    return [p.name.partition("-")[2] for p in sorted(Path(ws.path.removeprefix("file:")).iterdir())]
+
+
+def test_components_write_one_table_a_round(spark, ws):
+    nodes = list(range(1, 301))
+    random.Random(3).shuffle(nodes)
+    edges = [*zip(nodes, nodes[1:]), *((1000, 1000 + i) for i in range(1, 50)), (2000, 2000)]
+    found = connected_components(spark.createDataFrame(edges, "a long, b long").repartition(3), ws)
+    expected = {n: 1 for n in nodes} | {1000 + i: 1000 for i in range(50)}
+    assert {r["node"]: r["component"] for r in found.collect()} == expected
+    names = written(ws)
+    assert set(names) == {"edges", "labels"} and len(names) < 20
+
+
+def test_rounds_without_new_pairs_write_nothing_more(spark, ws):
+    """Each written file starts processes that the tool counts as large as the executor, so no table is written for nothing."""
+    near = [(i, f"{TEXT} tail{i}") for i in range(6)]
+    docs = frame(spark, [*near, (10, OTHER), (11, OTHER), (12, None), (13, "")])
+    rows = near_duplicates.near_duplicates(identified(docs), ws, near_duplicates.Similarity(5, 80)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == dict.fromkeys(range(6), 0) | {10: 10, 11: 10, 12: 12, 13: 13}
+    names = written(ws)
+    assert [names.count(n) for n in ("sets", "verified", "edges")] == [1, 1, 1]
+    assert not [n for n in names if n.startswith("rows-") or n == "merged"]
+
+
+def test_links_of_a_later_round_are_in_the_components(spark, ws):
+    """Sets that share a part, are linked in a chain, and of which the run's first is linked with none."""
+    similarity = near_duplicates.Similarity(1, 80)
+    base = [f"c{i}" for i in range(40)]
+    rng = random.Random(5)
+    docs = []
+    for group in range(8):
+        own = base[:20] + [f"g{group}x{i}" for i in range(60)]
+        docs += [(100 * group + k, " ".join(own[:80 - k] + [f"g{group}y{i}" for i in range(k)])) for k in range(0, 12, 2)]
+    rng.shuffle(docs)
+    rows = near_duplicates.near_duplicates(identified(frame(spark, docs)), ws, similarity).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: i // 100 * 100 for i, _ in docs}
+
+
+def test_texts_go_to_python_in_small_batches(spark, ws, monkeypatch):
+    """Every table that a text or a set of shingles goes to Python for is made from batches of few rows."""
+    key, save, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", Workspace.save, {}
+
+    def watched(self, df, name):
+        seen[name] = int(spark.conf.get(key))
+        return save(self, df, name)
+
+    monkeypatch.setattr(Workspace, "save", watched)
+    before = spark.conf.get(key)
+    docs = frame(spark, [(i, f"{TEXT} tail{i % 3}") for i in range(2 * TEXT_ROWS + 5)]).coalesce(1)
+    rows = near_duplicates.near_duplicates(identified(docs), ws, near_duplicates.Similarity(5, 80))
+    assert rows.filter("component_id = 0").count() == 2 * TEXT_ROWS + 5
+    assert {n: k for n, k in seen.items() if n in ("features", "keys", "parities", "sets", "verified")} == dict.fromkeys(("features", "keys", "parities", "sets", "verified"), TEXT_ROWS)
+    assert spark.conf.get(key) == before
+    with text_batches(spark):
+        def sizes(batches):
+            yield from (pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"]) for b in batches)
+
+        assert max(r["n"] for r in docs.select("text").mapInArrow(sizes, "n long").collect()) <= TEXT_ROWS
+    with pytest.raises(ValueError), text_batches(spark):
+        raise ValueError
+    assert spark.conf.get(key) == before
